@@ -32,20 +32,25 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk
                  lead: Mapping[str, Column] | None = None,
                  running_sum: Mapping[str, Column] | None = None,
                  carry_forward: Mapping[str, Column] | None = None,
-                 carry_backward: Mapping[str, Column] | None = None) -> DataFrame:
+                 carry_backward: Mapping[str, Column] | None = None,
+                 runs: Mapping[str, Column] | None = None) -> DataFrame:
     """Add ordered columns to `df`; each mapping is {output name: expression}.
 
     lag / lead        value on the previous / next row of the key
     running_sum       sum up to and including the row
     carry_forward     last non-null value at or before the row
     carry_backward    first non-null value at or after the row
+    runs              number (from 1) of the row's run of equal values, and NAME_starts on its first row
+
+    The rows and their chunk summaries both read `df`: give chains of scans a materialised input
+    (`tephra.session.materialize`), or each step doubles the work before it.
 
     `keys` must hold no nulls, `order` must be a total order within a key (ascending), and `chunk` must be
     non-null and non-decreasing along it. `keys` may be empty: then only the chunk summaries are ordered
     globally.
     """
     lag, lead = dict(lag or {}), dict(lead or {})
-    sums, fwd, bwd = dict(running_sum or {}), dict(carry_forward or {}), dict(carry_backward or {})
+    sums, fwd, bwd, runs = dict(running_sum or {}), dict(carry_forward or {}), dict(carry_backward or {}), dict(runs or {})
     kept = df.columns
     names = list(keys) + [CHUNK]
     inside = Window.partitionBy(*names).orderBy(*order)
@@ -60,6 +65,7 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk
             exprs[f"_{kind}"] = F.struct(*[e.alias(n) for n, e in group.items()])
     exprs |= {f"_s_{n}": e for n, e in sums.items()}
     exprs |= {f"_f_{n}": e for n, e in fwd.items()} | {f"_b_{n}": e for n, e in bwd.items()}
+    exprs |= {f"_r_{n}": e for n, e in runs.items()}
     staged = staged.select("*", *[e.alias(n) for n, e in exprs.items()])
 
     local = {"_is_last": F.lead(F.lit(1)).over(inside).isNull()}
@@ -73,7 +79,13 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk
     # the first non-null of the whole chunk, known on its last row, is what earlier chunks see
     local |= {f"_bh_{n}": F.first(f"_b_{n}", ignorenulls=True).over(sofar) for n in bwd}
     local |= {f"_bl_{n}": F.last(f"_b_{n}", ignorenulls=True).over(onward) for n in bwd}
+    for n in runs:
+        before_it = F.lag(f"_r_{n}").over(inside)
+        local[f"_rd_{n}"] = (before_it.isNotNull() & (before_it != F.col(f"_r_{n}"))).cast("bigint")
+        local[f"_r0_{n}"] = F.lag(F.lit(1)).over(inside).isNull()
+        local[f"_rf_{n}"] = F.first(f"_r_{n}").over(sofar)
     rows = staged.select("*", *[e.alias(n) for n, e in local.items()])
+    rows = rows.select("*", *[F.sum(f"_rd_{n}").over(sofar).alias(f"_rl_{n}") for n in runs])
 
     over_chunks = Window.partitionBy(*keys).orderBy(CHUNK)
     before = over_chunks.rowsBetween(Window.unboundedPreceding, -1)
@@ -87,7 +99,15 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk
     carry |= {f"_sc_{n}": F.sum(f"_sl_{n}").over(before) for n in sums}
     carry |= {f"_fc_{n}": F.last(f"_fl_{n}", ignorenulls=True).over(before) for n in fwd}
     carry |= {f"_bc_{n}": F.last(f"_bh_{n}", ignorenulls=True).over(after) for n in bwd}
+    for n in runs:
+        # the first row of a chunk starts a run unless the chunk before ended with the same value
+        last = F.lag(f"_r_{n}").over(over_chunks)
+        carry[f"_rs_{n}"] = (last.isNull() | (last != F.col(f"_rf_{n}"))).cast("bigint")
+        carry[f"_rl_{n}"] = F.col(f"_rl_{n}")
     summary = rows.where("_is_last").select(*names, *[e.alias(n) for n, e in carry.items()])
+    if runs:
+        summary = summary.select("*", *[F.coalesce(F.sum(F.col(f"_rl_{n}") + F.col(f"_rs_{n}")).over(before), F.lit(0)).alias(f"_ro_{n}")
+                                        for n in runs]).drop(*[f"_rl_{n}" for n in runs])
 
     joined = rows.join(summary, names, "left")
     out = [F.col(c) for c in kept]
@@ -100,32 +120,38 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk
     out += [(F.col(f"_sl_{n}") + F.coalesce(F.col(f"_sc_{n}"), F.lit(0))).alias(n) for n in sums]
     out += [F.coalesce(f"_fl_{n}", f"_fc_{n}").alias(n) for n in fwd]
     out += [F.coalesce(f"_bl_{n}", f"_bc_{n}").alias(n) for n in bwd]
+    for n in runs:
+        starts = F.when(F.col(f"_r0_{n}"), F.col(f"_rs_{n}")).otherwise(F.col(f"_rd_{n}")) == 1
+        out += [(F.col(f"_ro_{n}") + F.col(f"_rs_{n}") + F.col(f"_rl_{n}")).alias(n), starts.alias(f"{n}_starts")]
     return joined.select(*out)
 
 
-def asof_join(facts: DataFrame, history: DataFrame, key: str, at: str, columns: Mapping[str, str], *,
+def asof_join(facts: DataFrame, histories: Sequence[tuple[DataFrame, Mapping[str, str]]], key: str, at: str, *,
               valid_from: str = "valid_from", valid_to: str = "valid_to", unit: str = "day") -> DataFrame:
-    """Left point-in-time join: the version of `key` with valid_from <= at < valid_to (null = open).
+    """Left point-in-time join: per history the version of `key` with valid_from <= at < valid_to (null = open).
 
-    `columns` maps history columns to output names. Windows of one key must not overlap. Facts and version
-    starts are laid on one timeline and the latest version is carried forward, so the cost is one sort; a
-    range join would pair every fact of a busy key with every version of it. Facts without a key or time
-    keep null version columns.
+    `histories` pairs each history with {its column: output name}; the windows of one key must not overlap
+    within a history. Facts and the version starts of all histories are laid on one timeline and the latest
+    version of each is carried forward, so the cost is one sort; a range join would pair every fact of a
+    busy key with every version of it. Facts without a key or time keep null version columns.
     """
-    version = F.struct(F.col(valid_to).alias("_to"), *[F.col(c).alias(o) for c, o in columns.items()])
     known = F.col(key).isNotNull() & F.col(at).isNotNull()
-    left = facts.where(known).select(F.col(key).alias("_key"), F.col(at).alias("_at"), F.lit(1).alias("_side"),
+    line = facts.where(known).select(F.col(key).alias("_key"), F.col(at).alias("_at"), F.lit(1).alias("_side"), F.lit(0).alias("_which"),
                                      F.struct(*facts.columns).alias("_fact"))
-    right = (history.where(F.col(key).isNotNull() & (F.col(valid_to).isNull() | (F.col(valid_to) > F.col(valid_from))))
-             .select(F.col(key).alias("_key"), F.col(valid_from).alias("_at"), F.lit(0).alias("_side"),
-                     version.alias("_version")))
-    line = left.unionByName(right, allowMissingColumns=True)
-    seen = ordered_scan(line, ["_key"], ["_at", "_side"], by_time("_at", unit),
-                        carry_forward={"_seen": F.col("_version")}).where("_side = 1")
-    live = F.when(F.col("_seen._to").isNull() | (F.col("_at") < F.col("_seen._to")), F.col("_seen"))
-    matched = seen.select("_fact.*", *[live[o].alias(o) for o in columns.values()])
-    unknown = facts.where(~known)
-    return matched.unionByName(unknown, allowMissingColumns=True)
+    for i, (history, columns) in enumerate(histories):
+        version = F.struct(F.col(valid_to).alias("_to"), *[F.col(c).alias(o) for c, o in columns.items()])
+        line = line.unionByName(
+            history.where(F.col(key).isNotNull() & (F.col(valid_to).isNull() | (F.col(valid_to) > F.col(valid_from))))
+            .select(F.col(key).alias("_key"), F.col(valid_from).alias("_at"), F.lit(0).alias("_side"), F.lit(i).alias("_which"),
+                    version.alias(f"_version{i}")), allowMissingColumns=True)
+    seen = ordered_scan(line, ["_key"], ["_at", "_side", "_which"], by_time("_at", unit),
+                        carry_forward={f"_seen{i}": F.col(f"_version{i}") for i in range(len(histories))}).where("_side = 1")
+    out = []
+    for i, (_, columns) in enumerate(histories):
+        last = F.col(f"_seen{i}")
+        live = F.when(last["_to"].isNull() | (F.col("_at") < last["_to"]), last)
+        out += [live[o].alias(o) for o in columns.values()]
+    return seen.select("_fact.*", *out).unionByName(facts.where(~known), allowMissingColumns=True)
 
 
 def covering_versions(points: DataFrame, history: DataFrame, keys: Sequence[str], at: str, ids: Sequence[str], *,

@@ -14,10 +14,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Buckets per power of two. The histogram of a group holds at most this many rows per octave its values
-# span, whatever the number of rows; a bucket holds the values that agree to 1 part in 65536.
-STEPS = 65_536
-_OFFSET = 1_100 * STEPS
+from .ordered import ordered_scan
+
+# Buckets per power of two. The histogram of a group holds at most COARSE rows per octave its values span,
+# whatever the number of rows. The values of a wanted bucket are ranked in chunks of FINE digits.
+COARSE = 64
+FINE = COARSE * 4_096
 
 
 @dataclass(frozen=True)
@@ -31,16 +33,16 @@ class Quantile:
     interpolate: bool = False
 
 
-def leading_digits(value: Column) -> Column:
+def leading_digits(value: Column, steps: int) -> Column:
     """A bucket number that never decreases as the value grows.
 
-    floor(log2) may be off by one next to a power of two; exponent * STEPS + floor(mantissa * STEPS) gives
+    floor(log2) may be off by one next to a power of two; exponent * steps + floor(mantissa * steps) gives
     the same number either way.
     """
     size = F.abs(value)
     exponent = F.floor(F.log2(size))
-    finite = exponent * F.lit(STEPS) + F.floor(size / F.pow(F.lit(2.0), exponent) * F.lit(STEPS)) + F.lit(_OFFSET)
-    top = F.lit(4_000_000_000).cast("bigint")
+    finite = (exponent + 1_100) * F.lit(steps) + F.floor(size / F.pow(F.lit(2.0), exponent) * F.lit(steps))
+    top = F.lit(4_000 * steps).cast("bigint")
     return (F.when(F.isnan(value), top + 1)
             .when(size == F.lit(float("inf")), F.signum(value).cast("bigint") * top)
             .when(size == 0, F.lit(0).cast("bigint"))
@@ -63,7 +65,7 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], wanted: Sequence[Quantil
     wide = df.select(key.alias("_k"), *[m.cast("double").alias(f"_v{i}") for i, m in enumerate(measures)])
     pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("m"), F.col(f"_v{i}").alias("v")) for i in range(len(measures))]))
     values = (wide.select("_k", pairs.alias("p")).where("p.v is not null")
-              .select("_k", F.col("p.m").alias("_m"), F.col("p.v").alias("_v"), leading_digits(F.col("p.v")).alias("_b")))
+              .select("_k", F.col("p.m").alias("_m"), F.col("p.v").alias("_v"), leading_digits(F.col("p.v"), COARSE).alias("_b")))
 
     group = Window.partitionBy("_k", "_m")
     upto = group.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -85,10 +87,10 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], wanted: Sequence[Quantil
     targets = (hist.select("_k", "_m", "_b", (F.col("_upto") - F.col("_n")).alias("_below"), F.explode(here).alias("t"))
                .select("_k", "_m", "_b", (F.col("t.rank") - F.col("_below")).alias("_rank"), "t.w", "t.end", "t.part"))
 
-    bucket = Window.partitionBy("_k", "_m", "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = (values.join(targets.select("_k", "_m", "_b"), ["_k", "_m", "_b"], "left_semi")
-              .groupBy("_k", "_m", "_b", "_v").agg(F.count("*").alias("_n"))
-              .withColumn("_upto", F.sum("_n").over(bucket)))
+    inside = (values.join(targets.select("_k", "_m", "_b"), ["_k", "_m", "_b"], "left_semi")
+              .groupBy("_k", "_m", "_b", "_v").agg(F.count("*").alias("_n")))
+    ranked = ordered_scan(inside, ["_k", "_m", "_b"], ["_v"], leading_digits(F.col("_v"), FINE),
+                          running_sum={"_upto": F.col("_n")})
     found = (ranked.join(targets, ["_k", "_m", "_b"])
              .where((F.col("_rank") <= F.col("_upto")) & (F.col("_rank") > F.col("_upto") - F.col("_n"))))
 

@@ -83,7 +83,7 @@ def wrong_current_rows(observations: DataFrame, polls: DataFrame, history: DataF
 
 def rebuild_mismatches(observations: DataFrame, history: DataFrame, key: str, at: str, columns: Sequence[str]) -> DataFrame:
     """Observations whose values differ from the version rebuilt for their time, or that have no version."""
-    joined = asof_join(observations, history, key, at, {"version_no": "version_no", **{c: f"rebuilt_{c}" for c in columns}})
+    joined = asof_join(observations, [(history, {"version_no": "version_no", **{c: f"rebuilt_{c}" for c in columns}})], key, at)
     equal = F.lit(True)
     for c in columns:
         equal = equal & F.col(c).eqNullSafe(F.col(f"rebuilt_{c}"))

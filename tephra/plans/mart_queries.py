@@ -54,12 +54,13 @@ def q_request_metrics(spark, sf_dir):
 def q_batch_unit_cost(spark, sf_dir):
     batches = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("batch_id"), F.floor("o_totalprice").cast("bigint").alias("wall_ms"),
-        (F.col("o_custkey") % 50).cast("int").alias("n"), F.round(F.col("o_totalprice") / 1e5, 4).alias("est_cost_usd"))
+        F.when(F.col("o_custkey") % 50 == 0, 0).otherwise((F.col("o_custkey") % 25) * 2 + 1).cast("int").alias("n"),
+        (F.col("o_totalprice") / 30_000).alias("est_cost_usd"))
     items = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("batch_id"), F.col("l_linenumber").alias("score"), (F.col("l_returnflag") != "R").alias("parse_ok"),
         F.floor("l_extendedprice").cast("bigint").alias("wall_ms"), F.col("l_quantity").cast("bigint").alias("prompt_tokens"),
         F.when(F.col("l_tax") > 0, F.col("l_suppkey")).alias("completion_tokens"))
-    return marts.batch_unit_cost(batches, items)
+    return rounded(marts.batch_unit_cost(batches, items), "est_cost_usd", to=6)
 
 
 def q_summary_vs_records(spark, sf_dir):
@@ -200,12 +201,12 @@ from requests where ok and price_per_hr_usd is not null group by engine, model,
 select kind, gpu_tier, is_flashboot_hit, count(*) as n, count(request_duration_s) as n_duration, count(est_cost_usd) as n_cost,
   round(sum(request_duration_s), 2) as duration_s, round(sum(est_cost_usd), 4) as cost from requests group by 1, 2, 3""",
     "q_batch_unit_cost": """
-with b as (select o_orderkey as batch_id, floor(o_totalprice)::bigint as wall_ms, (o_custkey % 50)::int as n, round(o_totalprice / 1e5, 4) as est_cost_usd from orders),
+with b as (select o_orderkey as batch_id, floor(o_totalprice)::bigint as wall_ms, (case when o_custkey % 50 = 0 then 0 else (o_custkey % 25) * 2 + 1 end)::int as n, o_totalprice / 30000 as est_cost_usd from orders),
 p as (select l_orderkey as batch_id, round(avg(l_linenumber), 3) as mean_score, round(avg((l_returnflag <> 'R')::int), 3) as parse_ok_rate,
   sum(l_quantity::bigint)::bigint as prompt_tokens, sum(case when l_tax > 0 then l_suppkey end)::bigint as completion_tokens,
   quantile_disc(floor(l_extendedprice)::bigint, 0.5) as article_wall_ms_p50, quantile_disc(floor(l_extendedprice)::bigint, 0.9) as article_wall_ms_p90
   from lineitem group by 1)
-select b.batch_id, wall_ms, n, est_cost_usd, mean_score, parse_ok_rate, prompt_tokens, completion_tokens, article_wall_ms_p50, article_wall_ms_p90,
+select b.batch_id, wall_ms, n, round(est_cost_usd, 6) as est_cost_usd, mean_score, parse_ok_rate, prompt_tokens, completion_tokens, article_wall_ms_p50, article_wall_ms_p90,
   round(wall_ms / 1000.0::double / nullif(n, 0), 3) as wall_s_per_article, round(est_cost_usd / nullif(n, 0) * 1000, 4) as est_cost_usd_per_1k_articles
 from b left join p using (batch_id)""",
     "q_summary_vs_records": """

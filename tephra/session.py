@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_session(app: str = "tephra", master: str | None = None, **conf: str) -> SparkSession:
@@ -34,3 +36,23 @@ def local_session(app: str = "tephra-local", cpus: int | None = None, **conf: st
     spark = get_session(app, f"local[{n}]", **settings)
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder all executors share, as the session names it; a local one only where none is set (tests)."""
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path:
+        path = tempfile.mkdtemp(prefix="spark-")
+        spark.conf.set("spark.checkpoint.dir", path)
+    return path
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write an intermediate table to the shared folder and read it back.
+
+    Cuts the plan: what reads the result several times computes it once, survives the loss of any executor,
+    and joins it with its true size known. The folder is scratch space; nothing refers to it across sessions.
+    """
+    path = f"{shared_dir(df.sparkSession)}/tephra-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
