@@ -73,8 +73,9 @@ def mask(match: Column) -> Column:
 
 def find_secrets(df: DataFrame, text: str, patterns: Sequence[tuple[str, str, str]] = PATTERNS) -> DataFrame:
     """One row per match of any pattern on the original text: (columns of df without text, pattern, masked)."""
-    found = F.flatten(F.array(*[
-        F.transform(F.regexp_extract_all(text, F.lit(rx), F.lit(0)), lambda m, n=name: F.struct(F.lit(n).alias("pattern"), mask(m).alias("masked")))
-        for name, rx, _ in patterns]))
+    def matches(name: str, rx: str) -> Column:
+        return F.transform(F.regexp_extract_all(text, F.lit(rx), F.lit(0)), lambda m: F.struct(F.lit(name).alias("pattern"), mask(m).alias("masked")))
+
+    found = F.flatten(F.array(*[matches(name, rx) for name, rx, _ in patterns]))
     keep = [c for c in df.columns if c != text]
     return df.select(*keep, F.inline(found))

@@ -152,11 +152,12 @@ def requests(sources: Sequence[DataFrame], fast_ms: int = FAST_MS) -> DataFrame:
 def startup_phases(runs: DataFrame) -> DataFrame:
     """(series, run, name) rows out of two JSON maps: phase durations and mark instants."""
     j = runs.withColumn("j", F.from_json("cold_json", REQUEST_JSON))
-    entries = F.concat(*[
-        F.transform(F.coalesce(F.map_entries(m), F.array().cast("array<struct<key:string,value:double>>")),
-                    lambda e, k=kind: F.struct(F.lit(k).alias("kind"), e["key"].alias("name"), e["value"].alias("value")))
-        for kind, m in (("phase", F.col("j.phases_s")), ("mark", F.col("j.timeline.marks")))])
-    x = j.select("*", F.explode(entries).alias("e"))
+    def entries(kind: str, m: Column) -> Column:
+        rows = F.coalesce(F.map_entries(m), F.array().cast("array<struct<key:string,value:double>>"))
+        return F.transform(rows, lambda e: F.struct(F.lit(kind).alias("kind"), e["key"].alias("name"), e["value"].alias("value")))
+
+    both = F.concat(entries("phase", F.col("j.phases_s")), entries("mark", F.col("j.timeline.marks")))
+    x = j.select("*", F.explode(both).alias("e"))
     value = F.col("e.value")
     return x.select(F.col("label").alias("series_label"), F.col("endpoint").alias("endpoint_id"),
                     F.col("run_index").cast("int").alias("run_index"), F.col("j.worker_id").alias("worker_id"),

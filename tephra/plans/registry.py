@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-FAMILIES = ("mart_queries", "history_queries", "log_queries", "ingest_queries")
+FAMILIES = ("mart_queries", "history_queries", "log_queries", "ingest_queries", "text_queries", "campaign_queries")
 
 
 def _collect(attribute: str) -> dict:
