@@ -53,10 +53,10 @@ def _lineage() -> dict[str, Column]:
 
 
 def unpivot_pair(df: DataFrame, cold: str = "cold_json", warm: str = "warm_json") -> DataFrame:
-    """One row per run -> two rows, `kind` cold / warm with the request in `body`."""
+    """One row per run -> two rows, `kind` cold / warm (in place of any document kind) with the request in `body`."""
     both = F.array(F.struct(F.lit("cold").alias("kind"), F.col(cold).alias("body")),
                    F.struct(F.lit("warm").alias("kind"), F.col(warm).alias("body")))
-    return df.withColumn("_pair", F.explode(both)).select(*df.columns, "_pair.kind", "_pair.body")
+    return df.withColumn("_pair", F.explode(both)).select(*[c for c in df.columns if c != "kind"], "_pair.kind", "_pair.body")
 
 
 def enrich(runs: DataFrame, series: DataFrame, gpus: DataFrame, notes: DataFrame) -> DataFrame:

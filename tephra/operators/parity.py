@@ -19,13 +19,18 @@ def close(a: Column, b: Column) -> Column:
     return F.coalesce((a == b) | (gap <= F.greatest(F.lit(REL) * F.greatest(F.abs(a), F.abs(b)), F.lit(ABS))), a.isNull() & b.isNull())
 
 
-def comparable(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Numbers as doubles (NaN null), timestamps as UTC text to the second, everything else as text."""
+WHOLE = ("int", "bigint", "smallint", "tinyint")
+
+
+def comparable(df: DataFrame, columns: Sequence[str], key: Sequence[str]) -> DataFrame:
+    """Numbers as doubles (NaN null; whole numbers of the key stay whole), timestamps as UTC text to the second, the rest as text."""
     kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
 
     def one(c: str) -> Column:
         kind = kinds[c]
-        if kind in REAL or kind.startswith("decimal") or kind in ("int", "bigint", "smallint", "tinyint"):
+        if c in key and kind in WHOLE:
+            return F.col(c).cast("bigint")
+        if kind in REAL or kind.startswith("decimal") or kind in WHOLE:
             x = F.col(c).cast("double")
             return F.when(~F.isnan(x), x)
         if kind in ("timestamp", "timestamp_ntz"):
@@ -39,22 +44,23 @@ def table_parity(left: DataFrame, right: DataFrame, key: Sequence[str], *, ignor
     """One row per difference: key (JSON), `problem` (only left, only right, or the columns that differ).
 
     Rows of one key are paired in column order. Equal rows collapse to a count before pairing, and the pairing
-    number runs in chunks of a hash-free prefix of the row order, so a key with very many rows is spread over tasks.
+    number runs in chunks by the first characters of that order, so a key with very many rows is spread over tasks.
     """
     shared = [c for c in left.columns if c in right.columns and c not in ignore]
     rest = [c for c in shared if c not in key]
 
     def prepared(df: DataFrame, side: str) -> DataFrame:
-        c = comparable(df, shared)
+        c = comparable(df, shared, key)
         text = c.select(F.to_json(F.struct(*key), {"ignoreNullFields": "false"}).alias("_key"), F.struct(*rest).alias("_row"))
-        order = text.withColumn("_sort", F.to_json("_row", {"ignoreNullFields": "false"}))
+        short = F.struct(*[F.col(f"_row.{c}").alias(str(i)) for i, c in enumerate(rest)]) if rest else F.struct(F.lit(0).alias("0"))
+        order = text.withColumn("_sort", F.to_json(short, {"ignoreNullFields": "false"}))
         distinct = order.groupBy("_key", "_sort", "_row").agg(F.count("*").alias("_n"))
-        numbered = ordered_scan(distinct, ["_key"], ["_sort"], F.left("_sort", F.lit(24)), running_sum={"_upto": F.col("_n")})
+        numbered = ordered_scan(distinct, ["_key"], ["_sort"], F.left("_sort", F.lit(64)), running_sum={"_upto": F.col("_n")})
         return numbered.select("_key", F.explode(F.sequence(F.col("_upto") - F.col("_n") + 1, F.col("_upto"))).alias("_i"),
                                F.col("_row").alias(side))
 
     both = prepared(left, "_l").join(prepared(right, "_r"), ["_key", "_i"], "full")
-    kinds = {f.name: f.dataType.simpleString() for f in comparable(left, shared).schema.fields}
+    kinds = {f.name: f.dataType.simpleString() for f in comparable(left, shared, key).schema.fields}
     wrong = [F.when(~(close(F.col(f"_l.{c}"), F.col(f"_r.{c}")) if kinds[c] == "double" else F.col(f"_l.{c}").eqNullSafe(F.col(f"_r.{c}"))), F.lit(c))
              for c in rest]
     differing = F.array_join(F.filter(F.array(*wrong), lambda x: x.isNotNull()), ",") if rest else F.lit("")

@@ -162,6 +162,6 @@ union all select o_custkey, count(*), 'warn', 'customer' from orders where o_cus
     "q_no_duplicates": """select 'orders' as grain, o_custkey::varchar || '|' || strftime(o_orderdate, '%Y-%m-%d') as key, count(*) as n from orders group by o_custkey, o_orderdate having count(*) > 1
 union all select 'events', user_id::varchar || '|' || round(value * 100)::bigint::varchar, count(*) from events group by user_id, value having count(*) > 1""",
     "q_table_parity": """with b as (select distinct l_partkey as k, l_returnflag as f from lineitem)
-select '{"l_partkey":' || k::varchar || '.0,"l_returnflag":"' || f || '"}' as key, case when k % 97 = 0 then 'only left' when k % 89 = 0 and k % 83 = 0 then 'qty,n' when k % 89 = 0 then 'qty' else 'n' end as problem
-from b where k % 97 = 0 or k % 89 = 0 or k % 83 = 0 union all select '{"l_partkey":' || (case when k + 1000000 >= 10000000 then null else '1.' || rtrim(lpad((k)::varchar, 6, '0'), '0') || 'E6' end) || ',"l_returnflag":"' || f || '"}', 'only right' from b where k % 101 = 0""",
+select '{"l_partkey":' || k::varchar || ',"l_returnflag":"' || f || '"}' as key, case when k % 97 = 0 then 'only left' when k % 89 = 0 and k % 83 = 0 then 'qty,n' when k % 89 = 0 then 'qty' else 'n' end as problem
+from b where k % 97 = 0 or k % 89 = 0 or k % 83 = 0 union all select '{"l_partkey":' || (k + 1000000)::varchar || ',"l_returnflag":"' || f || '"}', 'only right' from b where k % 101 = 0""",
 }

@@ -35,8 +35,14 @@ def scan(spark: SparkSession, folder: str, glob: str | None = None) -> DataFrame
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     f = reader.load(folder)
-    return f.select(below(folder).alias("relpath"), F.col("_metadata.file_name").alias("name"), F.col("length").alias("bytes"),
+    rows = f.select(below(folder).alias("relpath"), F.col("_metadata.file_name").alias("name"), F.col("length").alias("bytes"),
                     F.col("modificationTime").alias("mtime_utc"), F.sha2("content", 256).alias("sha256"), F.decode("content", "UTF-8").alias("text"))
+    # a scan skips zero-byte files; the file index it keeps on the driver still names them
+    named = spark.createDataFrame([(p,) for p in f.inputFiles()], "path string").select(below(folder, "path").alias("relpath"))
+    empty = named.join(f.select(below(folder).alias("relpath")), "relpath", "left_anti").select(
+        "relpath", F.element_at(F.split("relpath", "/"), -1).alias("name"), F.lit(0).cast("bigint").alias("bytes"),
+        F.lit(None).cast("timestamp").alias("mtime_utc"), F.sha2(F.lit("").cast("binary"), 256).alias("sha256"), F.lit("").alias("text"))
+    return rows.unionByName(empty)
 
 
 def discover(files: DataFrame, root: str, rules: Sequence[Rule]) -> DataFrame:
