@@ -15,8 +15,10 @@ REAL = ("double", "float")
 
 def close(a: Column, b: Column) -> Column:
     """Equal within max(REL * larger size, ABS); NaN counts as null; infinities only equal themselves."""
+    inf = F.lit(float("inf"))
+    finite = (F.abs(a) < inf) & (F.abs(b) < inf)
     gap = F.abs(a - b)
-    return F.coalesce((a == b) | (gap <= F.greatest(F.lit(REL) * F.greatest(F.abs(a), F.abs(b)), F.lit(ABS))), a.isNull() & b.isNull())
+    return F.coalesce((a == b) | (finite & (gap <= F.greatest(F.lit(REL) * F.greatest(F.abs(a), F.abs(b)), F.lit(ABS)))), a.isNull() & b.isNull())
 
 
 WHOLE = ("int", "bigint", "smallint", "tinyint")

@@ -6,7 +6,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 VERSION = ["source_file", "source_sha256"]
 LEDGER = ("run_label string, table string, source_file string, source_sha256 string, rows bigint, ingested_at timestamp, reconciled boolean")
@@ -91,12 +90,16 @@ def run_history(ledger: DataFrame) -> DataFrame:
 # ---- storage ---------------------------------------------------------------------------------------------------
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def load(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
     """A raw table with the schemas of all its appends merged; an empty frame of `schema`, or None, when it does not exist."""
-    try:
+    if exists(spark, path):
         return spark.read.option("mergeSchema", "true").parquet(path)
-    except AnalysisException:
-        return spark.createDataFrame([], schema) if schema else None
+    return spark.createDataFrame([], schema) if schema else None
 
 
 def append(df: DataFrame, path: str) -> int:
