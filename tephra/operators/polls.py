@@ -40,6 +40,12 @@ def instant(text: Column) -> Column:
     return F.try_to_timestamp(text)
 
 
+def exploded(df: DataFrame, keep: list, array: str, schema: str, out: str) -> DataFrame:
+    """One row per JSON text of `array`, parsed as `out`; `keep` columns (or aliased expressions) stay."""
+    rows = df.select(*keep, F.explode(array).alias("_json"))
+    return rows.select(*[c for c in rows.columns if c != "_json"], F.from_json("_json", schema).alias(out))
+
+
 def documents(raw: DataFrame) -> DataFrame:
     """One parsed row per distinct document; a document loaded twice counts once (its latest load)."""
     single = pick_max(raw.select("doc", "source_sha256", "source_file", "ingested_at", "run_label"), ["source_sha256"],
@@ -75,8 +81,7 @@ def endpoints(docs: DataFrame) -> DataFrame:
 def workers(docs: DataFrame) -> DataFrame:
     """Poll x endpoint x active worker."""
     per = docs.select("poll_id", "polled_at_utc", F.explode("d.workers").alias("endpoint_id", "resp")).withColumn("r", F.from_json("resp", WORKERS))
-    one = per.select("poll_id", "polled_at_utc", "endpoint_id", F.col("r.endpointVersion").alias("endpoint_version"),
-                     F.from_json(F.explode("r.workers"), WORKER).alias("w"))
+    one = exploded(per, ["poll_id", "polled_at_utc", "endpoint_id", F.col("r.endpointVersion").alias("endpoint_version")], "r.workers", WORKER, "w")
     w = lambda path: F.col(f"w.{path}")
     return one.select("poll_id", "polled_at_utc", "endpoint_id", w("id").alias("worker_id"), w("status").alias("status"),
                       w("gpuTypeId").alias("gpu_type_id"), w("dataCenterId").alias("data_center_id"),
@@ -95,7 +100,7 @@ def health(docs: DataFrame) -> DataFrame:
 
 def billing_hourly(docs: DataFrame) -> DataFrame:
     """Each poll re-reads recent buckets; the newest reading of a bucket wins."""
-    rows = docs.select("poll_id", "polled_at_utc", F.from_json(F.explode("d.billing.records"), BILL).alias("b"))
+    rows = exploded(docs, ["poll_id", "polled_at_utc"], "d.billing.records", BILL, "b")
     b = lambda path: F.col(f"b.{path}")
     typed = rows.select("poll_id", "polled_at_utc", b("serverlessId").alias("endpoint_id"), instant(b("startTime")).alias("bucket_start_utc"),
                         instant(b("endTime")).alias("bucket_end_utc"), b("totalAmount").alias("total_usd"), b("gpuAmount").alias("gpu_usd"),
@@ -104,7 +109,7 @@ def billing_hourly(docs: DataFrame) -> DataFrame:
 
 
 def jobs(docs: DataFrame) -> DataFrame:
-    rows = docs.select("poll_id", "polled_at_utc", F.from_json(F.explode("d.jobs"), JOB).alias("j"))
+    rows = exploded(docs, ["poll_id", "polled_at_utc"], "d.jobs", JOB, "j")
     j = lambda path: F.col(f"j.{path}")
     typed = rows.select("poll_id", "polled_at_utc", j("endpoint_id").alias("endpoint_id"), j("job_id").alias("job_id"),
                         instant(j("submitted_at")).alias("submitted_at_utc"), j("status.status").alias("status"),

@@ -59,8 +59,7 @@ def discover(files: DataFrame, root: str, rules: Sequence[Rule]) -> DataFrame:
 
 def manifest_entries(found: DataFrame, patterns=PATTERNS) -> DataFrame:
     """One manifest row per discovered file plus its redacted text in `landed`: sizes and checksums before and after redaction."""
-    c = redaction_counts(found, "text", patterns)
-    out = c.withColumn("landed", F.col("redacted")).join(found.select("source_root", "relpath", F.col("text").alias("_src")), ["source_root", "relpath"])
+    out = redaction_counts(found.withColumn("_src", F.col("text")), "text", patterns).withColumnRenamed("redacted", "landed")
     src = F.col("_src")
     n = F.regexp_count(src, F.lit("\n"))
     return out.select(
