@@ -8,16 +8,22 @@ from ..operators import conform, snapshot
 from ..sources import bronze, landing
 from .views import table, ts_text
 
-T1, T2 = F.lit("2024-01-01").cast("timestamp"), F.lit("2024-02-01").cast("timestamp")
+
+
+def at(day: str):
+    return F.lit(day).cast("timestamp")
+
+
+T1, T2 = "2024-01-01", "2024-02-01"
 
 
 def rows(spark, sf_dir):
     """Orders in nine files; file 3 and 4 have a second version, file 5 was ingested twice."""
     o = table(spark, sf_dir, "orders")
     base = o.select("o_orderkey", "o_custkey", "o_totalprice", F.concat(F.lit("f"), F.col("o_orderkey") % 9).alias("source_file"), (F.col("o_orderkey") % 9).alias("_f"))
-    first = base.select("*", F.lit("v1").alias("source_sha256"), T1.alias("ingested_at"), F.lit("r1").alias("run_label"))
-    second = base.where("_f in (3, 4)").select("*", F.lit("v2").alias("source_sha256"), T2.alias("ingested_at"), F.lit("r2").alias("run_label"))
-    again = base.where("_f = 5").select("*", F.lit("v1").alias("source_sha256"), T2.alias("ingested_at"), F.lit("r2").alias("run_label"))
+    first = base.select("*", F.lit("v1").alias("source_sha256"), at(T1).alias("ingested_at"), F.lit("r1").alias("run_label"))
+    second = base.where("_f in (3, 4)").select("*", F.lit("v2").alias("source_sha256"), at(T2).alias("ingested_at"), F.lit("r2").alias("run_label"))
+    again = base.where("_f = 5").select("*", F.lit("v1").alias("source_sha256"), at(T2).alias("ingested_at"), F.lit("r2").alias("run_label"))
     return first.unionByName(second).unionByName(again).drop("_f")
 
 
@@ -72,7 +78,7 @@ def q_idempotent_append(spark, sf_dir):
 
 def q_ledger_counts(spark, sf_dir):
     appended = rows(spark, sf_dir).where("run_label = 'r1'").withColumn("table", F.lit("orders"))
-    return bronze.ledger_rows(expected(spark, sf_dir), appended, "r9", T2).withColumn("ingested_at", ts_text("ingested_at"))
+    return bronze.ledger_rows(expected(spark, sf_dir), appended, "r9", at(T2)).withColumn("ingested_at", ts_text("ingested_at"))
 
 
 def q_ledger_reconcile(spark, sf_dir):
@@ -101,7 +107,7 @@ def q_manifest_prune(spark, sf_dir):
 
 def q_lineage(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select("o_orderkey", F.concat(F.lit("f"), F.col("o_orderkey") % 9).alias("source_file"))
-    return bronze.add_lineage(o, manifest(spark, sf_dir), "r1", T1).withColumn("ingested_at", ts_text("ingested_at"))
+    return bronze.add_lineage(o, manifest(spark, sf_dir), "r1", at(T1)).withColumn("ingested_at", ts_text("ingested_at"))
 
 
 def q_verify_counts(spark, sf_dir):
