@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+Pattern = tuple[str, str, str]
+
 # Fixed values: (name, pattern, replacement), applied in this order. A whole key block goes before a truncated one.
 PATTERNS = [
     ("hf_token", r"hf_[A-Za-z0-9]{20,}", "<redacted:hf_token>"),
@@ -54,34 +56,58 @@ def may_match(name: str, text: Column) -> Column:
     return found
 
 
-def redact(df: DataFrame, text: str, patterns: Sequence[tuple[str, str, str]] = PATTERNS) -> DataFrame:
-    """Replace every credential in column `text` by <redacted:NAME>; already redacted text stays as it is.
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body(value)` with `value` computed once, however often `body` uses it.
 
-    One projection per pattern: nested in a single expression, each step would repeat all the steps before it.
+    A pattern's step needs the text three times; written plainly, nineteen nested steps (or a filter pushed
+    below them) would grow threefold each.
     """
-    for name, pattern, replacement in patterns:
-        t = F.col(text)
-        df = df.withColumn(text, F.when(may_match(name, t), F.regexp_replace(t, F.lit(pattern), F.lit(replacement))).otherwise(t))
-    return df
+    return F.transform(F.array(value), body)[0]
+
+
+def replaced(text: Column, name: str, pattern: str, replacement: str) -> Column:
+    return F.when(may_match(name, text), F.regexp_replace(text, F.lit(pattern), F.lit(replacement))).otherwise(text)
+
+
+def redact(text: Column, patterns: Sequence[Pattern] = PATTERNS) -> Column:
+    """Replace every credential by <redacted:NAME>; already redacted text stays as it is."""
+    def step(p: Pattern) -> Callable[[Column], Column]:
+        return lambda t: replaced(t, *p)
 
+    for p in patterns:
+        text = bound(text, step(p))
+    return text
 
-def redaction_counts(df: DataFrame, text: str, patterns: Sequence[tuple[str, str, str]] = PATTERNS) -> DataFrame:
+
+def redaction_counts(df: DataFrame, text: str, patterns: Sequence[Pattern] = PATTERNS) -> DataFrame:
     """`df` without `text` plus `redacted` and `hits` (map name -> count > 0).
 
     Each pattern counts on the text as the earlier ones left it, so a token is counted once.
     """
-    step = df.withColumnRenamed(text, "_t")
-    for name, pattern, _ in patterns:
-        n = F.when(may_match(name, F.col("_t")), F.regexp_count("_t", F.lit(pattern))).otherwise(0)
-        step = redact(step.withColumn(f"_n_{name}", n), "_t", [p for p in patterns if p[0] == name])
-    pairs = F.map_from_entries(F.array(*[F.struct(F.lit(n), F.col(f"_n_{n}").cast("bigint")) for n, _, _ in patterns]))
+    def step(i: int) -> Callable[[Column], Column]:
+        name, pattern, _ = patterns[i]
+
+        def body(s: Column) -> Column:
+            n = F.when(may_match(name, s["t"]), F.regexp_count(s["t"], F.lit(pattern))).otherwise(0)
+            return F.struct(replaced(s["t"], *patterns[i]).alias("t"), *[s[f"n{j}"].alias(f"n{j}") for j in range(i)], n.alias(f"n{i}"))
+        return body
+
+    def result(s: Column) -> Column:
+        pairs = F.map_from_entries(F.array(*[F.struct(F.lit(p[0]), s[f"n{i}"].cast("bigint")) for i, p in enumerate(patterns)]))
+        return F.struct(s["t"].alias("redacted"), F.map_filter(pairs, lambda _, v: v > 0).alias("hits"))
+
+    state = F.struct(F.col(text).alias("t"))
+    for i in range(len(patterns)):
+        state = bound(state, step(i))
     keep = [c for c in df.columns if c != text]
-    return step.select(*keep, F.col("_t").alias("redacted"), F.map_filter(pairs, lambda _, v: v > 0).alias("hits"))
+    return df.select(*keep, bound(state, result).alias("_s")).select(*keep, "_s.redacted", "_s.hits")
 
 
-def total_hits(counted: DataFrame) -> DataFrame:
-    """Hits per pattern over the whole table."""
-    return counted.select(F.explode("hits").alias("pattern", "n")).groupBy("pattern").agg(F.sum("n").alias("n"))
+def total_hits(counted: DataFrame, patterns: Sequence[Pattern] = PATTERNS) -> DataFrame:
+    """Hits per pattern over the whole table (patterns without hits have no row)."""
+    sums = [F.sum(F.coalesce(F.try_element_at("hits", F.lit(p[0])), F.lit(0))).alias(f"n{i}") for i, p in enumerate(patterns)]
+    rows = F.array(*[F.struct(F.lit(p[0]).alias("pattern"), F.col(f"n{i}").alias("n")) for i, p in enumerate(patterns)])
+    return counted.agg(*sums).select(F.inline(rows)).where("n > 0")
 
 
 def mask(match: Column) -> Column:
@@ -91,7 +117,7 @@ def mask(match: Column) -> Column:
         F.concat(F.left(match, F.lit(3)), dots))
 
 
-def find_secrets(df: DataFrame, text: str, patterns: Sequence[tuple[str, str, str]] = PATTERNS) -> DataFrame:
+def find_secrets(df: DataFrame, text: str, patterns: Sequence[Pattern] = PATTERNS) -> DataFrame:
     """One row per match of any pattern on the original text: (columns of df without text, pattern, masked)."""
     def matches(name: str, rx: str) -> Column:
         all_of = F.when(may_match(name, F.col(text)), F.regexp_extract_all(text, F.lit(rx), F.lit(0))).otherwise(F.array().cast("array<string>"))

@@ -27,11 +27,11 @@ def secrets(spark, sf_dir):
 
 def q_redact(spark, sf_dir):
     # the text's digest stands for the whole redacted text
-    return redaction.redact(secrets(spark, sf_dir), "text", redaction.PORTABLE).select("doc_id", F.md5("text").alias("digest"), F.length("text").alias("n_chars"))
+    return secrets(spark, sf_dir).select("doc_id", redaction.redact(F.col("text"), redaction.PORTABLE).alias("r")).select("doc_id", F.md5("r").alias("digest"), F.length("r").alias("n_chars"))
 
 
 def q_redact_counts(spark, sf_dir):
-    return redaction.total_hits(redaction.redaction_counts(secrets(spark, sf_dir), "text", redaction.PORTABLE))
+    return redaction.total_hits(redaction.redaction_counts(secrets(spark, sf_dir), "text", redaction.PORTABLE), redaction.PORTABLE)
 
 
 def q_redact_full(spark, sf_dir):
