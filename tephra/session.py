@@ -38,13 +38,18 @@ def local_session(app: str = "tephra-local", cpus: int | None = None, **conf: st
     return spark
 
 
+_own_dir: str | None = None
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as the session names it; a local one only where none is set (tests)."""
+    global _own_dir
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    if path:
+        return path
+    if _own_dir is None:
+        _own_dir = tempfile.mkdtemp(prefix="spark-")
+    return _own_dir
 
 
 def materialize(df: DataFrame) -> DataFrame:
