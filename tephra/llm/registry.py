@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, line_dedup, minhash, quality_rules, secrets, warc
+from . import bpe, decontaminate, line_dedup, lm, minhash, quality_rules, secrets, toxicity, warc
 
-MODULES = (quality_rules, decontaminate, bpe, secrets, warc, minhash, line_dedup)
+MODULES = (quality_rules, toxicity, decontaminate, lm, bpe, secrets, warc, minhash, line_dedup)
 
 
 def queries() -> dict:
