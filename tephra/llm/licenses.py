@@ -70,10 +70,10 @@ def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return base.select("id", F.xxhash64("text").alias("version"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_lines: int = 20_000, rare: float = 0.002, l1: float = 0.002) -> Model:
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_lines: int = 20_000, rare: float = 0.01, l1: float = 0.002) -> Model:
     """Multinomial logistic regression on template notices against lines of the corpus, a sample of at most `max_lines` by hash.
 
-    Features are the template n-grams that are rare in the sample: single words in under a share `rare` of its lines, and pairs that
+    Features are the template n-grams that are rare in the sample: single words in under ten lines or a share `rare` of them, and pairs that
     hold such a word. The L1 penalty leaves few with a weight. The sample's lines are the class unknown, except those that hold two
     such words: they may be notices. A second regression turns the margin over unknown into the probability of being a
     notice at all, fitted on lines and mutilated templates that the first has not seen.
@@ -84,7 +84,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_l
     n = max(1, sample.count())
     phrases = materialize(template_rows(spark))
     grams = phrases.select(F.explode(n_grams(F.col("words"))).alias("gram")).distinct()
-    seen = sample.select(F.explode(F.array_distinct("words")).alias("word")).groupBy("word").count().where(F.col("count") >= rare * n).select("word")
+    seen = sample.select(F.explode(F.array_distinct("words")).alias("word")).groupBy("word").count().where(F.col("count") >= max(10, rare * n)).select("word")
     single = sorted(r.gram for r in grams.where(~F.col("gram").contains(" ") & (F.length("gram") >= 2)).join(seen, F.col("gram") == F.col("word"), "left_anti").collect())
     keys = set(single)
     features = single + sorted(r.gram for r in grams.where(F.col("gram").contains(" ")).collect() if keys & set(r.gram.split(" ")))
