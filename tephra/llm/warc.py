@@ -34,7 +34,7 @@ def sha1_base32(payload: bytes) -> str:
 
 def record_bytes(page_id, url: str | None, payload: bytes, digest: str, first_id) -> bytes:
     """One record: headers, block, two line ends. A revisit has the headers of its response, and its length, but no payload."""
-    revisit = first_id is not None and first_id != page_id
+    revisit = None not in (page_id, first_id) and first_id != page_id
     http = HTTP_HEAD % len(payload)
     block = http if revisit else http + payload
     head = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>",
