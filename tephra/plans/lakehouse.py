@@ -38,12 +38,10 @@ RAW_SCHEMAS = {
     "sweep_records": "source_file string, system string, run_index int, request_rate double, request_id string, arrival_s double, first_token_s double, "
                      "finish_s double, prompt_tokens bigint, output_tokens bigint, success boolean, error string",
     "log_lines": "source_file string, line_no int, raw_line string",
-    **{t: ", ".join(f"{c} string" for c in cols.split()) + ", source_file string" for t, cols in readers.CSV_COLUMNS.items()},
+    **{t: ", ".join(f"{c} string" for c in cols) + ", source_file string" for t, cols in readers.CSV_COLUMNS.items()},
 }
 TYPED_TABLES = ["requests", "startup_phases", "sweep_summaries", "sweep_requests", "log_events", "scored_items", "scored_batches"]
 GOLD_TABLES = ["latency_distribution", "hit_rate", "cohort_comparison", "boot_phases", "cost_per_job", "scoring_cost_per_batch", "sweep_latency", "cold_events"]
-# Beyond this many new files the whole landing folder is scanned and filtered instead of naming the files.
-NAMED_FILES = 10_000
 
 
 class BuildError(RuntimeError):
@@ -83,21 +81,27 @@ def _stop_on(rows: DataFrame, what: str) -> None:
 
 
 def build_manifest(lake: Lake, rules: Sequence[landing.Rule], roots: Sequence[str]) -> int:
-    """List the landed files below each root and record what they are; files must hold no credential."""
+    """List the landed files below each root and record what they are; files must hold no credential.
+
+    Entries of other roots stay as the manifest has them. Returns the number of entries of `roots`.
+    """
     parts = []
     for root in roots:
         files = landing.scan(lake.spark, f"{lake.landing}/{root}")
         parts.append(landing.manifest_entries(landing.discover(files, root, rules), PATTERNS).drop("landed"))
-    entries = bronze.evolve(parts)
-    n = bronze.overwrite(entries, lake.path("landing", "manifest"), stamp="listed_at")
+    entries = materialize(bronze.evolve(parts).withColumn("listed_at", F.current_timestamp()))
+    path = lake.path("landing", "manifest")
+    merged = bronze.load(lake.spark, path, entries.schema)
+    for root in roots:
+        merged = landing.merge_manifest(merged, entries.where(F.col("source_root") == root), root)
+    bronze.overwrite(materialize(merged), path, F.col("listed_at"), stamp="listed_at")    # written aside first: the old manifest is one of its sources
     _stop_on(lake.manifest().where("cardinality(redactions) > 0").select("landed_relpath", "redactions"), "unredacted credentials in the landing folder")
-    return n
+    return entries.count()
 
 
 def _paths(lake: Lake, files: DataFrame) -> list[str]:
-    """The new files by name, or the whole folder when they are too many to name (rows of others drop out in the lineage join)."""
-    named = files.select("source_file").distinct().limit(NAMED_FILES + 1).collect()
-    return [lake.landing] if len(named) > NAMED_FILES else [f"{lake.landing}/{r.source_file}" for r in named]
+    """The new files by name. The driver holds the names of what it reads, as the file index of any scan does, and nothing of their content."""
+    return [f"{lake.landing}/{r.source_file}" for r in files.select("source_file").distinct().toLocalIterator()]
 
 
 def expected_rows(lake: Lake) -> DataFrame:
@@ -105,9 +109,9 @@ def expected_rows(lake: Lake) -> DataFrame:
     files = landing.scan(lake.spark, lake.landing).select(F.col("relpath").alias("source_file"), "sha256", "text")
     m = landing.snapshot(lake.manifest()).join(files, "source_file").where("sha256 = source_sha256")
     text = F.col("text")
-    lines = F.regexp_count(text, F.lit("\n")) + F.when((F.length(text) == 0) | text.endswith("\n"), 0).otherwise(1)
+    lines = F.regexp_count(text, F.lit("\r\n|\r|\n")) + F.when((F.length(text) == 0) | text.endswith("\n") | text.endswith("\r"), 0).otherwise(1)
     csv_text = F.regexp_replace(text, r'"[^"]*"', "q")
-    csv_lines = F.regexp_count(csv_text, F.lit(r"(?m)^.+$")) - 1
+    csv_lines = F.greatest(F.regexp_count(csv_text, F.lit(r"(?m)^.+$")) - 1, F.lit(0))     # an empty file has no header either
     runs = F.from_json(text, "runs array<struct<records:array<string>>>")["runs"]
     n_runs = F.greatest(F.coalesce(F.size(runs), F.lit(0)), F.lit(0))
     n_records = F.aggregate(F.coalesce(runs, F.array().cast("array<struct<records:array<string>>>")), F.lit(0),
@@ -125,8 +129,6 @@ def expected_rows(lake: Lake) -> DataFrame:
 
 def _read(lake: Lake, table: str, files: DataFrame) -> DataFrame | None:
     paths = _paths(lake, files)
-    if not paths:
-        return None
     if table in readers.CSV_COLUMNS:
         rows = readers.csv_table(lake.spark, paths, lake.landing, table, files)
     elif table == "log_lines":
@@ -154,10 +156,10 @@ def ingest(lake: Lake, run_label: str, *, force: bool = False) -> dict[str, int]
         known = bronze.known_versions(bronze.load(spark, lake.path("raw", table)), ledger_now, table)
         # written out before the append: what counts as new must not change while the table grows
         fresh = materialize(bronze.new_versions(want, known, force))
-        rows = _read(lake, table, fresh)
-        if rows is None:
+        if fresh.isEmpty():
             continue
-        done[table] = bronze.append(bronze.add_lineage(rows, fresh, run_label, now), lake.path("raw", table))
+        rows = _read(lake, table, fresh)                           # None: only files without a line, which get their ledger rows all the same
+        done[table] = 0 if rows is None else bronze.append(bronze.add_lineage(rows, fresh, run_label, now), lake.path("raw", table))
         mine = lake.raw(table).where((F.col("run_label") == run_label) & (F.col("ingested_at") == now)).select(F.lit(table).alias("table"), *bronze.VERSION)
         entries.append(bronze.ledger_rows(fresh.withColumn("table", F.lit(table)), mine, run_label, now))
     if entries:

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 VERSION = ["source_file", "source_sha256"]
 LEDGER = ("run_label string, table string, source_file string, source_sha256 string, rows bigint, ingested_at timestamp, reconciled boolean")
@@ -95,7 +96,7 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def load(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
+def load(spark: SparkSession, path: str, schema: str | StructType | None = None) -> DataFrame | None:
     """A raw table with the schemas of all its appends merged; an empty frame of `schema`, or None, when it does not exist."""
     if exists(spark, path):
         return spark.read.option("mergeSchema", "true").parquet(path)

@@ -144,6 +144,33 @@ def test_empty_file_is_a_complete_ingest(lake):
     assert lakehouse.ingest(lake, "r7b") == {}
 
 
+def test_landing_one_root_keeps_the_others(lake):
+    before = {(r.landed_relpath, r.sha256_landed) for r in lake.manifest().collect()}
+    assert lakehouse.build_manifest(lake, RULES, ["alpha"]) < len(before)
+    assert {(r.landed_relpath, r.sha256_landed) for r in lake.manifest().collect()} == before
+
+
+def test_progress_bars_are_counted_as_they_are_read(lake):
+    put(lake, "alpha/results/bar_worker_log.txt", "start\n 10%|\r 20%|\r\nend")
+    land(lake)
+    assert lakehouse.ingest(lake, "r7c")["log_lines"] == 4
+    assert lakehouse.verify(lake).collect() == []
+
+
+def test_csv_without_a_line_and_with_a_quoted_header(lake):
+    put(lake, "beta/requests_old.csv", "")
+    land(lake)
+    assert lakehouse.ingest(lake, "r7d") == {"request_rows": 0, "ledger": 1}
+    lakehouse.build_typed(lake)
+    assert lakehouse.verify(lake).collect() == []
+    from tephra.sources import readers
+    folder = f"{lake.root}/quoted"
+    (path := __import__("pathlib").Path(folder)).mkdir(parents=True)
+    (path / "b.csv").write_text(",".join(f'"{c}"' for c in readers.CSV_KEYS["scored_batch_rows"]) + ',"one, two"\n' + "1," * 8 + "x\n")
+    rows = readers.csv_table(lake.spark, [folder], folder, "scored_batch_rows")
+    assert rows.first()["one, two"] == "x"
+
+
 def test_forced_ingest_does_not_double_typed_rows(lake):
     before = count(lake, "typed", "requests"), count(lake, "typed", "log_events")
     done = lakehouse.ingest(lake, "r8", force=True)
