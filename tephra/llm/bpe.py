@@ -6,7 +6,9 @@ import base64
 from collections.abc import Callable
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import tiktoken
 from pyspark.sql import DataFrame
@@ -45,21 +47,28 @@ def chunk_starts(length: int, chunk: int) -> list[int]:
     return list(range(0, max(1, length), chunk))
 
 
-class Pieces:
-    """Encodes stretches of text that begin and end at pre-token boundaries."""
+class Pieces(dict):
+    """Encodes stretches of text that begin and end at pre-token boundaries. Remembers the ids of pieces, as the bytes of 32-bit numbers."""
 
     def __init__(self, path: str, pattern: str):
-        self.merge, self.pattern, self.cache = merger(path, pattern), regex.compile(pattern), {}
+        super().__init__()
+        self.merge, self.pattern = merger(path, pattern), regex.compile(pattern)
 
-    def ids(self, text: str, start: int = 0, end: int | None = None) -> list[int]:
-        out, cache = [], self.cache
-        if len(cache) > CACHE:
-            cache.clear()
-        for piece in self.pattern.findall(text, start, len(text) if end is None else end):
-            if (found := cache.get(piece)) is None:
-                found = cache[piece] = self.merge(piece.encode())
-            out += found
-        return out
+    def __missing__(self, piece: str) -> bytes:
+        self[piece] = ids = np.array(self.merge(piece.encode()), np.int32).tobytes()
+        return ids
+
+    def ids(self, text: str, start: int = 0, end: int | None = None) -> bytes:
+        if len(self) > CACHE:
+            self.clear()
+        return b"".join(map(self.__getitem__, self.pattern.findall(text, start, len(text) if end is None else end)))
+
+
+def id_lists(coded: list[bytes | None]) -> pa.Array:
+    """One list of 32-bit numbers for each run of bytes."""
+    values = pa.Array.from_buffers(pa.int32(), sum(len(c or b"") for c in coded) // 4, [None, pa.py_buffer(b"".join(c or b"" for c in coded))])
+    offsets = np.concatenate([[0], np.cumsum([len(c or b"") // 4 for c in coded])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), values, mask=pa.array([c is None for c in coded]))
 
 
 def long_chunks(texts: DataFrame, chunk: int, overlap: int, pattern: str) -> DataFrame:
@@ -103,7 +112,7 @@ def encode_long(texts: DataFrame, path: str, pattern: str, chunk: int, overlap:
         pieces = Pieces(path, pattern)
         for b in batches:
             made = [pieces.ids(t, s, e) for t, s, e in zip(b.column("body").to_pylist(), b.column("begin").to_pylist(), b.column("end").to_pylist())]
-            yield pa.RecordBatch.from_arrays([b.column("row"), b.column("k"), pa.array(made, pa.list_(pa.int32()))], names=["row", "k", "ids"])
+            yield pa.RecordBatch.from_arrays([b.column("row"), b.column("k"), id_lists(made)], names=["row", "k", "ids"])
 
     parts = stretches.unionByName(whole).mapInArrow(run, "row string, k int, ids array<int>")
     return parts.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("k", "ids"))).alias("parts")).select("row", F.flatten(F.col("parts.ids")).alias("ids"))
@@ -123,7 +132,7 @@ def bpe_encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text",
 
     def start():
         pieces = Pieces(path, pattern)
-        return lambda texts: [[None if len(t) > chunk else pieces.ids(t) for t in texts]]
+        return lambda texts: [id_lists([pieces.ids(t) for t in texts])]
 
     is_long = F.coalesce(F.char_length("text") > chunk, F.lit(False))
     short = add_by_text(packs.where(~is_long), "text", "ids array<int>", start)
@@ -146,7 +155,12 @@ def bpe_decode(coded: DataFrame, path: str, ids_col: str = "ids", out_col: str =
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 b = whole.slice(at, 256)
-                made = [b"".join(map(token, ids or ())) for ids in b.column(ids_col).to_pylist()]
+                ids = b.column(ids_col)
+                flat, sizes = ids.flatten().to_numpy(zero_copy_only=False).tolist(), pc.fill_null(pc.list_value_length(ids), 0).to_pylist()
+                made, start = [], 0
+                for size in sizes:
+                    made.append(b"".join(map(token, flat[start:start + size])))
+                    start += size
                 yield pa.RecordBatch.from_arrays([b.column(n) for n in names] + [pa.array(made, pa.binary())], names=names + [out_col])
 
     return coded.mapInArrow(run, schema)

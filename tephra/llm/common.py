@@ -44,10 +44,10 @@ def unpacked(df: DataFrame, columns: list[str], **changed: Column) -> DataFrame:
     return df.select(*lead, *[v.alias(c) for c, v in changed.items()])
 
 
-def add_by_text(df: DataFrame, text_col: str, schema: str, start: Callable[[], Callable[[list[str]], list[list]]], keep_text: bool = True, rows: int = 256) -> DataFrame:
+def add_by_text(df: DataFrame, text_col: str, schema: str, start: Callable[[], Callable[[list[str]], list]], keep_text: bool = True, rows: int = 256) -> DataFrame:
     """`df` with the columns of `schema` computed from whole texts (null: empty) in Python.
 
-    `start` runs once a task and returns a function from a list of texts to one list for each new column. Rows come in
+    `start` runs once a task and returns a function from a list of texts to one list or Arrow array for each new column. Rows come in
     Arrow batches, which Spark bounds by rows and bytes, and are worked off `rows` texts at a time. An existing column of
     the same name is replaced.
     """
@@ -64,7 +64,7 @@ def add_by_text(df: DataFrame, text_col: str, schema: str, start: Callable[[], C
             for at in range(0, whole.num_rows, rows):
                 batch = whole.slice(at, rows)
                 texts = [t or "" for t in batch.column(text_col).to_pylist()]
-                made = [pa.array(v, k) for v, k in zip(work(texts), kinds, strict=True)]
+                made = [v if isinstance(v, pa.Array) else pa.array(v, k) for v, k in zip(work(texts), kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(n) for n in names] + made, names=names + new.names)
 
     return df.mapInArrow(run, out_schema)
