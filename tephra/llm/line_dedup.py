@@ -39,6 +39,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     lines = materialize(lines)
     shared = (lines.groupBy("key", "id").agg(F.lit(1).alias("one")).groupBy("key").agg(F.count("one").alias("n_docs"), F.max("id").alias("keeper"))
               .where(F.col("n_docs") >= min_docs).select("key", "keeper"))
+    shared = materialize(shared)                                   # a table of its own, so that the join can split a line that very many share
     drops = (lines.join(shared, "key").where(F.col("id") != F.col("keeper"))
              .groupBy("id", "version").agg(F.collect_set("pos").alias("drop")))
     marked = base.withColumn("version", F.xxhash64("text")).join(drops.select(F.col("id").alias("drop_id"), F.col("version").alias("drop_version"), "drop"),
