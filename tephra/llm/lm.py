@@ -264,7 +264,7 @@ ASKED_NAMES = ["shard", "batch", "contexts", "runs", "prints", "counts"]
 ASKED = [pa.int32(), pa.string(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
 
 
-def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out: str = "held_out", prior: float = 20.0, batch_tokens: int = 4_000_000, shard_tokens: int = 2_000_000) -> DataFrame:
+def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out: str = "held_out", prior: float = 20.0, batch_tokens: int = 2_000_000, shard_tokens: int = 2_000_000) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row of `docs`; rows whose boolean `held_out` is false are learnt from.
 
     The model is P(w | v) = (c(v w) + prior * P(w)) / (c(v) + prior), P(w) = (c(w) + 0.1) / (N + 0.1 * (V + 1)), over lower-cased words and an end,
