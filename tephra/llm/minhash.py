@@ -15,6 +15,8 @@ from .common import WORD_BYTES, add_by_text, table
 MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 #: Words whose hashes a task remembers at a time.
 REMEMBER = 200_000
+#: Words of 64 bits in a set's parity bitmap.
+PARITY = 16
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -66,17 +68,23 @@ class Collections:
         return out.view(np.int64)
 
 
+def parity(shingles: np.ndarray) -> np.ndarray:
+    """A bitmap in which each shingle flips one bit. Two sets' bitmaps differ in at most as many bits as their symmetric difference has members."""
+    bits = np.bincount((shingles >> np.uint64(40)).astype(np.int64) % (64 * PARITY), minlength=64 * PARITY) & 1
+    return np.packbits(bits.astype(bool)).view(np.int64)
+
+
 def signatures(docs: DataFrame, text_col: str, size: int, tables: int, rows: int) -> DataFrame:
-    """`docs` without its text, with cls (a digest of the shingle set, null if it is empty), n_shingles and bands."""
+    """`docs` without its text, with cls (a digest of the shingle set, null if it is empty), n_shingles, bands and parity."""
     def start():
         hashes, both = WordHashes(), Collections(tables, rows)
 
         def work(texts: list[str]) -> list[list]:
             sets = [shingle_set(t, size, hashes) for t in texts]
             return [[hashlib.blake2b(s.tobytes(), digest_size=16).hexdigest() if len(s) else None for s in sets], [len(s) for s in sets],
-                    [both.bands(s) if len(s) else None for s in sets]]
+                    [both.bands(s) if len(s) else None for s in sets], [parity(s) if len(s) else None for s in sets]]
         return work
-    return add_by_text(docs, text_col, "cls string, n_shingles long, bands array<long>", start, keep_text=False)
+    return add_by_text(docs, text_col, "cls string, n_shingles long, bands array<long>, parity array<long>", start, keep_text=False)
 
 
 def index_rows(classes: DataFrame, tables: int) -> DataFrame:
@@ -129,16 +137,16 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Rows with equal sets form a class, which stands for its smallest id. Classes meet in tensored tables: with 16 bands of three
     min-hashes a side, a pair at 0.8 is missed with probability 2 * (1 - 0.8 ** 3) ** 16, about 2 in 100,000, and less above. In each
-    bucket every class is compared with one centre, the class with most shared bands, never all with all. What then still lies in
-    another component than its bucket's centre is compared with the rest of the bucket, except where the distances of both
-    to the centre prove that the pair cannot link (the Jaccard distance obeys the triangle inequality), or their sizes do; each
-    pair once, in the first table it shares. So the components are those of all pairs that meet.
+    bucket every class is compared with one centre, the class with most shared bands, never all with all. Where some then still lie in
+    another component than the centre, they are compared with one drawn member of each of their buckets. What is left is compared
+    with the rest of its bucket, except where sizes or parity bitmaps prove that a pair cannot link; each pair once, in the
+    first table it shares. So the components are those of all pairs that meet.
 
     Null, empty and wordless texts have no shingles and link with nothing, as do rows without an id (component null, kept). Rows that
     repeat an id are one document: linked to what either is, and kept or not alike.
     """
     found = materialize(signatures(docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")), "text", size, tables, rows))
-    classes = found.where(F.col("id").isNotNull() & F.col("cls").isNotNull()).groupBy("cls").agg(F.min("id").alias("rep"), F.count("*").alias("copies"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
+    classes = found.where(F.col("id").isNotNull() & F.col("cls").isNotNull()).groupBy("cls").agg(F.min("id").alias("rep"), F.count("*").alias("copies"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("parity").alias("parity"))
     classes = materialize(classes)
     met = materialize(index_rows(classes, tables))
     buckets = met.groupBy("key").agg(F.count("*").alias("members"), F.max(F.struct("weight", -F.col("rep")))["col2"].alias("centre")).where(F.col("members") > 1).withColumn("centre", -F.col("centre"))
@@ -149,8 +157,11 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     linked = lambda df: df.where(100 * F.col("shared") >= percent * F.col("total")).select("a", "b")
     links = linked(stars)
     groups = components(links)
-    second = materialize(leftover_pairs(met.where(F.col("members") > 2), stars, groups, classes, percent, tables))
-    more = materialize(linked(overlaps(second, sets)))
+    met = met.where(F.col("members") > 2)                          # a bucket of two is done
+    more = linked(overlaps(second_stars(stray_rows(met, groups, classes), percent), sets))
+    links = materialize(links.unionByName(more))
+    groups = components(links)
+    more = materialize(linked(overlaps(materialize(leftover_pairs(stray_rows(met, groups, classes), percent, tables)), sets)))
     if more.limit(1).count():
         groups = components(links.unionByName(more))
     return labelled(found, classes, groups)
@@ -172,22 +183,37 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, classes: DataFrame, id_col:
     return materialize(sets.where(F.col("cls") == F.col("of_cls")).dropDuplicates(["rep"]).select("rep", "shingles"))
 
 
-def leftover_pairs(met: DataFrame, stars: DataFrame, groups: DataFrame, classes: DataFrame, percent: int, tables: int) -> DataFrame:
-    """(a, b): pairs of a bucket that lie in different components, were not compared with each other, and could still link."""
+def stray_rows(met: DataFrame, groups: DataFrame, classes: DataFrame) -> DataFrame:
+    """The members of buckets that hold some class of another component than the centre's (those are stray), with their parity words and bands."""
     group = lambda of, name: groups.select(F.col("id").alias(of), F.col("component").alias(name))
-    at = met.join(group("rep", "g"), "rep", "left").join(group("centre", "h"), "centre", "left")
-    at = at.where(F.col("rep") != F.col("centre")).withColumns({"g": F.coalesce("g", "rep"), "h": F.coalesce("h", "centre")})
-    stray = at.where(F.col("g") != F.col("h"))
-    keys = stray.select("key").distinct()
-    at = at.join(keys, "key", "left_semi").join(stars.select(F.col("a").alias("centre"), F.col("b").alias("rep"), "shared", "total"), ["centre", "rep"])
-    at = materialize(at.join(classes.select("rep", "bands"), "rep").select("key", "i", "j", "rep", "n", "g", (F.col("g") != F.col("h")).alias("stray"), "shared", "total", "bands"))
-    x, y = at.where("stray").alias("x"), at.alias("y")
+    at = met.where(F.col("rep") != F.col("centre")).join(group("rep", "g"), "rep", "left").join(group("centre", "h"), "centre", "left")
+    at = materialize(at.withColumns({"g": F.coalesce("g", "rep"), "h": F.coalesce("h", "centre")}))
+    at = at.join(materialize(at.where(F.col("g") != F.col("h")).select("key").distinct()), "key", "left_semi")
+    words = [F.get("parity", k).alias(f"p{k}") for k in range(PARITY)]
+    return materialize(at.join(classes.select("rep", "bands", *words), "rep").select("key", "i", "j", "rep", "n", "g", (F.col("g") != F.col("h")).alias("stray"), "bands", *[f"p{k}" for k in range(PARITY)]))
+
 
+def could_link(x: str, y: str, percent: int) -> Column:
+    """Different components, and sizes and bitmaps that allow a link: as many bits as differ, as many members at least are not shared."""
+    apart = sum((F.bit_count(F.col(f"{x}.p{k}").bitwiseXOR(F.col(f"{y}.p{k}"))) for k in range(1, PARITY)), F.bit_count(F.col(f"{x}.p0").bitwiseXOR(F.col(f"{y}.p0"))))
+    both = F.col(f"{x}.n") + F.col(f"{y}.n")
+    return ((F.col(f"{x}.g") != F.col(f"{y}.g")) & (100 * F.least(f"{x}.n", f"{y}.n") >= percent * F.greatest(f"{x}.n", f"{y}.n"))
+            & (100 * (both - apart) >= percent * (both + apart)))          # intersection (both - apart) / 2 at most, union (both + apart) / 2 at least
+
+
+def second_stars(at: DataFrame, percent: int) -> DataFrame:
+    """(a, b): in each bucket with strays, members against one drawn by hash, another in every bucket: what links at all mostly finds a link so."""
+    drawn = at.groupBy("key").agg(F.min(F.struct(F.xxhash64("key", "rep").alias("by"), "rep", "n", "g", *[f"p{k}" for k in range(PARITY)])).alias("c"))
+    pairs = at.alias("x").join(materialize(drawn.select("key", "c.*")).alias("y"), (F.col("x.key") == F.col("y.key")) & could_link("x", "y", percent))
+    return pairs.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
+
+
+def leftover_pairs(at: DataFrame, percent: int, tables: int) -> DataFrame:
+    """(a, b): pairs of a stray and a member of its bucket that could still link, each in the first table it shares."""
     def first_equal(start: int) -> Column:
         return F.array_position(F.zip_with(F.slice("x.bands", start + 1, tables), F.slice("y.bands", start + 1, tables), lambda p, q: p == q), True) - 1
-    gap = F.abs(F.col("x.shared") * F.col("y.total") - F.col("y.shared") * F.col("x.total"))
-    fits = ((F.col("x.rep") != F.col("y.rep")) & (~F.col("y.stray") | (F.col("x.rep") < F.col("y.rep"))) & (F.col("x.g") != F.col("y.g"))
-            & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")) & (100 * gap <= (100 - percent) * F.col("x.total") * F.col("y.total")))
+    x, y = at.where("stray").alias("x"), at.alias("y")
+    fits = (F.col("x.rep") != F.col("y.rep")) & (~F.col("y.stray") | (F.col("x.rep") < F.col("y.rep"))) & could_link("x", "y", percent)
     both = x.join(y, (F.col("x.key") == F.col("y.key")) & fits & (first_equal(0) == F.col("x.i")) & (first_equal(tables) == F.col("x.j")))
     return both.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"))
 
