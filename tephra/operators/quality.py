@@ -42,15 +42,12 @@ def window_violations(history: DataFrame, key: str, *, valid_from: str = "valid_
     opened = history.where(F.col(valid_to).isNull()).groupBy(key).agg(F.count("*").alias("_n_open"))
     nxt = ordered_scan(history.withColumn("_tie", F.coalesce(valid_to, F.lit("9999-12-31").cast("timestamp"))),
                        [key], [valid_from, "_tie"], by_time(valid_from, unit), lead={"_next": F.col(valid_from)}).drop("_tie")
-    vf, vt, nf = F.col(valid_from), F.col(valid_to), F.col("_next")
-    bad = (F.when(vt <= vf, "empty or inverted window")
-           .when(F.col("_n_open") > 1, "more than one open row")
-           .when(nf.isNotNull() & vt.isNull(), "open row is not the last")
-           .when(vt > nf, "overlaps the next version"))
-    if not allow_gaps:
-        bad = bad.when(vt < nf, "gap before the next version")
-    return (nxt.join(opened, key, "left").withColumn("violation", bad).where("violation is not null")
-            .drop("_next", "_n_open"))
+    begins, ends, next_begins = F.col(valid_from), F.col(valid_to), F.col("_next")
+    rules = [("does not end after it begins", ends <= begins), ("several rows are open", F.col("_n_open") > 1), ("open, but a later row follows", ends.isNull() & next_begins.isNotNull()),
+             ("ends after the next row begins", next_begins < ends)] + ([] if allow_gaps else [("ends before the next row begins", next_begins > ends)])
+    broken = F.array_compact(F.array(*[F.when(test, F.lit(says)) for says, test in rules]))
+    found = nxt.join(opened, key, "left").withColumn("violation", F.get(broken, 0))
+    return found.where(F.col("violation").isNotNull()).drop("_next", "_n_open")
 
 
 def uncovered_observations(observations: DataFrame, history: DataFrame, key: str, at: str, ids: Sequence[str], *,
@@ -138,16 +135,14 @@ def unconverted_local_times(events: DataFrame, lines: DataFrame) -> DataFrame:
 
 def segmentation_violations(boots: DataFrame) -> DataFrame:
     """Boot rows that break the segmentation rules, one row per broken rule."""
-    phases = [F.col(c).isNull() for c in ("weights_load_s", "start_to_api_ready_s", "init_engine_s", "graph_capture_s")]
-    opened = F.col("segmented_by")
-    rules = {
-        "boot 0 without a phase": (F.col("boot_index") == 0) & phases[0] & phases[1] & phases[2] & phases[3],
-        "wrapper-anchored boot without t_start_vllm": opened.startswith("Starting vLLM") & F.col("t_start_vllm").isNull(),
-        "init-anchored boot with a t_start_vllm": opened.startswith("Initializing") & F.col("t_start_vllm").isNotNull(),
-        "graph passes and graph_capture_s disagree": (F.col("n_graph_passes") > 0) != F.col("graph_capture_s").isNotNull(),
-    }
-    broken = F.filter(F.array(*[F.when(bad, F.lit(name)) for name, bad in rules.items()]), lambda x: x.isNotNull())
-    return boots.select("source_file", "worker_id", "boot_index", "segmented_by", F.explode(broken).alias("problem"))
+    opened, started = F.col("segmented_by"), F.col("t_start_vllm").isNotNull()
+    nothing = F.coalesce("weights_load_s", "start_to_api_ready_s", "init_engine_s", "graph_capture_s").isNull()
+    tests = [("leading lines without any phase count as a boot", (F.col("boot_index") == 0) & nothing),
+             ("opened by the wrapper, but has no start time", ~started & opened.startswith("Starting vLLM")),
+             ("opened by the engine, but has a start time", started & opened.startswith("Initializing")),
+             ("time and number of graph passes contradict each other", F.col("graph_capture_s").isNull() == (F.col("n_graph_passes") > 0))]
+    said = F.array_compact(F.array(*[F.when(test, F.lit(says)) for says, test in tests]))
+    return boots.select("source_file", "worker_id", "boot_index", "segmented_by", F.explode(said).alias("problem"))
 
 
 def unbounded_mismatches(summaries: DataFrame) -> DataFrame:
