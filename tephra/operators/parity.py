@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ordered import ordered_scan
+from ..session import materialize
 
 REL, ABS = 1e-6, 1e-9
 REAL = ("double", "float")
@@ -42,11 +43,18 @@ def comparable(df: DataFrame, columns: Sequence[str], key: Sequence[str]) -> Dat
     return df.select(*[one(c).alias(c) for c in columns])
 
 
+def in_ranges(rows: DataFrame) -> DataFrame:
+    """`rows` (written out) with `_range`: the number of a stretch of the order by (_key, _sort), as many as there are shuffle partitions."""
+    many = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return materialize(rows.repartitionByRange(many, "_key", "_sort").withColumn("_range", F.spark_partition_id()))
+
+
 def table_parity(left: DataFrame, right: DataFrame, key: Sequence[str], *, ignore: Sequence[str] = ()) -> DataFrame:
     """One row per difference: key (JSON), `problem` (only left, only right, or the columns that differ).
 
     Rows of one key are paired in column order. Equal rows collapse to a count before pairing, and the pairing
-    number runs in chunks by the first characters of that order, so a key with very many rows is spread over tasks.
+    number runs in chunks of the order of all rows, cut at sampled quantiles: a key with very many rows is spread over
+    as many tasks as it needs, whatever its rows begin with.
     """
     shared = [c for c in left.columns if c in right.columns and c not in ignore]
     rest = [c for c in shared if c not in key]
@@ -57,7 +65,7 @@ def table_parity(left: DataFrame, right: DataFrame, key: Sequence[str], *, ignor
         short = F.struct(*[F.col(f"_row.{c}").alias(str(i)) for i, c in enumerate(rest)]) if rest else F.struct(F.lit(0).alias("0"))
         order = text.withColumn("_sort", F.to_json(short, {"ignoreNullFields": "false"}))
         distinct = order.groupBy("_key", "_sort", "_row").agg(F.count("*").alias("_n"))
-        numbered = ordered_scan(distinct, ["_key"], ["_sort"], F.left("_sort", F.lit(64)), running_sum={"_upto": F.col("_n")})
+        numbered = ordered_scan(in_ranges(distinct), ["_key"], ["_sort"], F.col("_range"), running_sum={"_upto": F.col("_n")})
         return numbered.select("_key", F.explode(F.sequence(F.col("_upto") - F.col("_n") + 1, F.col("_upto"))).alias("_i"),
                                F.col("_row").alias(side))
 

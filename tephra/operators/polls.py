@@ -54,15 +54,15 @@ def documents(raw: DataFrame) -> DataFrame:
             .withColumns({"poll_id": F.col("source_sha256"), "polled_at_utc": instant(F.col("d.polled_at"))}))
 
 
-def polls(docs: DataFrame) -> DataFrame:
-    """Poll header. Documents older than the completeness flag were complete when they listed anything."""
+def polls(docs: DataFrame, unit: str = "day") -> DataFrame:
+    """Poll header, numbered in chunks of one `unit`. Documents older than the completeness flag were complete when they listed anything."""
     n = F.greatest(F.size("d.endpoints"), F.lit(0))
     head = docs.select("poll_id", "polled_at_utc", F.when(F.col("d.endpoints").isNotNull(), n).alias("n_endpoints"),
                        F.coalesce("d.endpoints_complete", F.when(F.col("d.endpoints").isNotNull(), n > 0)).alias("endpoints_complete"),
                        F.col("d.billing.metadata.recordCount").alias("n_billing_records"),
                        F.when(F.col("d.jobs").isNotNull(), F.size("d.jobs")).alias("n_job_lookups"),
                        "source_file", "ingested_at", F.col("run_label").alias("bronze_run_label"))
-    return ordered_scan(head, [], ["polled_at_utc", "poll_id"], by_time("polled_at_utc"), running_sum={"poll_seq": F.lit(1)})
+    return ordered_scan(head, [], ["polled_at_utc", "poll_id"], by_time("polled_at_utc", unit), running_sum={"poll_seq": F.lit(1)})
 
 
 def endpoints(docs: DataFrame) -> DataFrame:

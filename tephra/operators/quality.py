@@ -51,14 +51,14 @@ def window_violations(history: DataFrame, key: str, *, valid_from: str = "valid_
 
 
 def uncovered_observations(observations: DataFrame, history: DataFrame, key: str, at: str, ids: Sequence[str], *,
-                           hash_col: str | None = None, dim: str = "history") -> DataFrame:
+                           hash_col: str | None = None, dim: str = "history", unit: str = "day") -> DataFrame:
     """Observations that fall in other than exactly one version (and, with `hash_col`, one of equal content)."""
-    n = covering_versions(observations, history, [key], at, [*ids], out="n_versions")
+    n = covering_versions(observations, history, [key], at, [*ids], out="n_versions", unit=unit)
     if hash_col is None:
         return n.where("n_versions <> 1").select(
             F.lit(dim).alias("dim"), key, *[i for i in ids if i != key],
             F.concat(F.lit("observation in "), "n_versions", F.lit(" versions")).alias("problem"))
-    same = covering_versions(observations, history, [key, hash_col], at, [*ids], out="n_same").select(*ids, "n_same")
+    same = covering_versions(observations, history, [key, hash_col], at, [*ids], out="n_same", unit=unit).select(*ids, "n_same")
     return (n.join(same, [*ids]).where("n_versions <> 1 or n_same <> 1")
             .select(F.lit(dim).alias("dim"), key, *[i for i in ids if i != key],
                     F.concat(F.lit("observation in "), "n_versions", F.lit(" versions, "), "n_same",
@@ -78,9 +78,9 @@ def wrong_current_rows(observations: DataFrame, polls: DataFrame, history: DataF
             .select(F.lit(dim).alias("dim"), key, F.concat("_n", F.lit(" current rows; the polls say "), says).alias("problem")))
 
 
-def rebuild_mismatches(observations: DataFrame, history: DataFrame, key: str, at: str, columns: Sequence[str]) -> DataFrame:
+def rebuild_mismatches(observations: DataFrame, history: DataFrame, key: str, at: str, columns: Sequence[str], *, unit: str = "day") -> DataFrame:
     """Observations whose values differ from the version rebuilt for their time, or that have no version."""
-    joined = asof_join(observations, [(history, {"version_no": "version_no", **{c: f"rebuilt_{c}" for c in columns}})], key, at)
+    joined = asof_join(observations, [(history, {"version_no": "version_no", **{c: f"rebuilt_{c}" for c in columns}})], key, at, unit=unit)
     equal = F.lit(True)
     for c in columns:
         equal = equal & F.col(c).eqNullSafe(F.col(f"rebuilt_{c}"))

@@ -26,7 +26,7 @@ def setting_agrees(design: Column, found: Column, on=FAST_ON, off: str = FAST_OF
             .when(F.lower(design) == "off", F.coalesce(found == off, F.lit(False))))
 
 
-def config_asof(facts: DataFrame, releases: DataFrame, polls: DataFrame, pins: DataFrame, *, at: str = "request_ts_utc") -> DataFrame:
+def config_asof(facts: DataFrame, releases: DataFrame, polls: DataFrame, pins: DataFrame, *, at: str = "request_ts_utc", unit: str = "day") -> DataFrame:
     """Each cold start with the configuration both histories give for its instant, scored against its design."""
     cold = facts.where("kind = 'cold' and ok and campaign_kind = 'campaign'").select(
         "series_label", "endpoint_id", "run_index", "source_file", at, F.col("gpu_model").alias("design_gpu_model"),
@@ -34,7 +34,7 @@ def config_asof(facts: DataFrame, releases: DataFrame, polls: DataFrame, pins: D
     p = asof_join(cold, [
         (releases, {"gpu_ids": "release_gpu_ids", "version_no": "release_version_no", "valid_from": "release_valid_from"}),
         (polls, {"gpu_ids": "poll_gpu_ids", "flashboot": "poll_flashboot", "version_no": "poll_version_no",
-                 "valid_from": "poll_valid_from", "changed_after": "poll_changed_after"})], "endpoint_id", at)
+                 "valid_from": "poll_valid_from", "changed_after": "poll_changed_after"})], "endpoint_id", at, unit=unit)
     k = pins.select(F.col("gpu_model").alias("design_gpu_model"), F.col("gpu_ids").alias("expected_gpu_ids"))
     expected = F.col("expected_gpu_ids")
     return p.join(k, "design_gpu_model", "left").withColumns({
@@ -64,7 +64,7 @@ def _detail(df: DataFrame, deleted: bool) -> Column:
 
 
 def history_summary(polls: DataFrame, observations: DataFrame, poll_history: DataFrame, release_history: DataFrame,
-                    merged_history: DataFrame, scored: DataFrame, key: str, logged: list[str]) -> DataFrame:
+                    merged_history: DataFrame, scored: DataFrame, key: str, logged: list[str], *, unit: str = "day") -> DataFrame:
     """Ten figures about the histories in long form: ord, metric, value, detail."""
     spread = polls.where("endpoints_complete").agg(F.min("polled_at_utc").alias("first"), F.max("polled_at_utc").alias("last"),
                                                    F.count("*").alias("n"))
@@ -75,7 +75,7 @@ def history_summary(polls: DataFrame, observations: DataFrame, poll_history: Dat
         return df.select(F.lit(order).alias("ord"), F.lit(name).alias("metric"), value.cast("bigint").alias("value"),
                          text.cast("string").alias("detail"))
 
-    placed = asof_join(observations, [(release_history, {"version_no": "_v", **{c: f"_r_{c}" for c in logged}})], key, "polled_at_utc")
+    placed = asof_join(observations, [(release_history, {"version_no": "_v", **{c: f"_r_{c}" for c in logged}})], key, "polled_at_utc", unit=unit)
     equal = F.col("_v").isNotNull()
     for c in logged:
         equal = equal & F.col(c).eqNullSafe(F.col(f"_r_{c}"))

@@ -120,3 +120,20 @@ def test_seed_shape(spark):
     pins = spark.createDataFrame([("A", "P", "P,-a,-b", "s"), ("B", "Q", "Q,-z,-b", "s"), ("B", "Q", "Q", "")], "gpu_model string, pool string, gpu_ids string, source string")
     bad = quality.seed_shape(pins, "pins", key=["gpu_model"], required=["source"], enums={"pool": ["P", "Q"]}, rules={"order": ~quality.selection_is_canonical("gpu_ids", "pool")})
     assert {(r.rule, r.n) for r in bad.collect()} == {("order", 1), ("blank source", 1), ("duplicate key", 1)}
+
+
+def test_parity_spreads_one_key(spark):
+    row = F.concat(F.lit("p" * 70), F.lpad(F.col("id").cast("string"), 6, "0"))
+    left = spark.range(4_000).select(F.lit("k").alias("k"), row.alias("a"))
+    right = spark.range(4_001).select(F.lit("k").alias("k"), row.alias("a"))
+    assert [tuple(r) for r in parity.table_parity(left, right, ["k"]).collect()] == [('{"k":"k"}', "only right")]
+    parts = parity.in_ranges(left.select(F.col("k").alias("_key"), F.col("a").alias("_sort"))).groupBy("_range").count().collect()
+    assert len(parts) > 1 and max(r["count"] for r in parts) < 3_500
+
+
+def test_point_in_time_joins_take_the_chunk_unit(spark):
+    facts = spark.range(50).select(F.lit("e").alias("e"), (F.lit("2024-01-01 10:00:00").cast("timestamp") + F.make_interval(secs=F.col("id").cast("decimal(18,6)"))).alias("t"), F.lit("v1").alias("x"))
+    history = spark.sql("select 'e' as e, 1L as version_no, timestamp'2024-01-01 10:00:00' as valid_from, cast(null as timestamp) as valid_to, 'v1' as x")
+    for unit in ("day", "hour", "minute"):
+        assert quality.rebuild_mismatches(facts, history, "e", "t", ["x"], unit=unit).count() == 0
+        assert quality.uncovered_observations(facts.withColumn("id", F.col("t").cast("string")), history, "e", "t", ["id", "e"], unit=unit).count() == 0
