@@ -30,13 +30,15 @@ def main() -> int:
 
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     names = os.environ.get("BENCH_QUERIES", "").split() or HEADLINE
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     spark = local_session("bench")
     queries = registry.queries()
     took = {n: round(seconds(spark, queries[n], sf_dir, runs), 3) for n in names}
+    small = os.environ.get("BENCH_SMALL_DIR")                     # with a tenth of the rows, say: shows what grows faster than its input
+    ratio = {n: round(took[n] / max(1e-3, seconds(spark, queries[n], small, runs)), 2) for n in names} if small else None
     spark.stop()
     print(json.dumps({"metric": "headline_total", "value": round(sum(took.values()), 3), "unit": "sec", "queries": took,
-                      "sf": Path(sf_dir).name.removeprefix("sf"), "cpus": int(os.environ.get("BENCH_CPUS", "8")), "runs": runs}))
+                      "sf": Path(sf_dir).name.removeprefix("sf"), "cpus": int(os.environ.get("BENCH_CPUS", "8")), "runs": runs} | ({"ratio": ratio} if ratio else {})))
     return 0
 
 

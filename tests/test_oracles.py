@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 import check_oracle
+from tephra.plans import registry
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="needs the generated tables")
@@ -16,7 +17,7 @@ def con():
     return check_oracle.connect(SF)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(registry.queries()))
 def test_query(spark, con, name):
     state, note, _ = check_oracle.compare(spark, con, SF, name)
     assert state in ("ok", "rows-only"), note
