@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import packed, table, unpacked
+from .common import hashed_share, packed, table, unpacked
 
 #: What the notices of each family say.
 TEMPLATES = {
@@ -71,7 +71,7 @@ def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_lines: int = 20_000, rare: float = 0.01, l1: float = 0.002) -> Model:
-    """Multinomial logistic regression on template notices against lines of the corpus, a sample of at most `max_lines` by hash.
+    """Multinomial logistic regression on template notices against lines of the corpus, a sample of about `max_lines` distinct ones by hash.
 
     Features are the template n-grams that are rare in the sample: single words in under ten lines or a share `rare` of them, and pairs that
     hold such a word. The L1 penalty leaves few with a weight. The sample's lines are the class unknown, except those that hold two
@@ -79,7 +79,9 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_l
     notice at all, fitted on lines and mutilated templates that the first has not seen.
     """
     spark = docs.sparkSession
-    sample = lines_of(docs, id_col, text_col).select("line").where(F.col("line") != "").orderBy(F.xxhash64("line"), "line").limit(max_lines)
+    text = F.col(f"`{text_col}`")
+    total = docs.agg(F.sum(F.char_length(text) - F.char_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1)).first()[0] or 0
+    sample = lines_of(docs, id_col, text_col).select("line").where((F.col("line") != "") & hashed_share(F.col("line"), max_lines, total)).distinct()
     sample = materialize(sample.select(words_of(F.col("line")).alias("words"), F.pmod(F.xxhash64("line"), F.lit(4)).alias("fold")))
     n = max(1, sample.count())
     phrases = materialize(template_rows(spark))

@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import add_by_text, crc_part, table
+from .common import add_by_text, crc_part, hashed_share, table
 
 DECAY = 0.6
 #: Distances between neighbouring characters of a subsequence of three: up to two characters may lie between.
@@ -228,13 +228,14 @@ class Classifier:
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", landmarks: int = 96, max_toxic: int = 1_000, max_clean: int = 2_000) -> Classifier | None:
-    """Fit on a bounded sample: the first `max_toxic` and `max_clean` labelled ids by hash, with their whole texts; None if either kind is missing."""
+    """Fit on a bounded sample: about `max_toxic` and `max_clean` labelled ids by hash, with their whole texts; None if either kind is missing."""
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("label_id")).agg(F.max(label_col).alias("label"))
-    pick = lambda of, n: [r.label_id for r in known.where(of).orderBy(F.xxhash64("label_id"), "label_id").limit(n).collect()]
-    bad = set(pick(F.col("label") > 0, max_toxic))
-    good = set(pick(F.col("label") <= 0, max_clean))
+    sides = known.agg(F.count_if(F.col("label") > 0).alias("toxic"), F.count_if(F.col("label") <= 0).alias("clean")).first()
+    pick = lambda of, n, total: [r.label_id for r in known.where(of & hashed_share(F.col("label_id"), n, total)).collect()]
+    bad = set(pick(F.col("label") > 0, max_toxic, sides.toxic))
+    good = set(pick(F.col("label") <= 0, max_clean, sides.clean))
     ids = docs.sparkSession.createDataFrame([(i,) for i in sorted(bad | good)], f"label_id {known.schema['label_id'].dataType.simpleString()}")
-    # at most max_toxic + max_clean ids, so the hint is safe
+    # about max_toxic + max_clean ids, so the hint is safe
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text")).join(F.broadcast(ids), F.col("id") == F.col("label_id"), "left_semi").collect()
     texts = {r.text: max(0, r.id in bad) for r in sorted(rows, key=lambda r: (r.id in bad, r.id))}      # copies count once
     toxic, clean = sorted(t for t, x in texts.items() if x), sorted(t for t, x in texts.items() if not x)
