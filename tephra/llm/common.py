@@ -33,6 +33,11 @@ def crc_part(id_col: Column, parts: int) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % parts, F.lit(0))
 
 
+def hashed_share(value: Column, most: int, total: int) -> Column:
+    """Whether a value is among about `most` of `total`, by its hash: a bounded sample that no task has to gather."""
+    return F.pmod(F.xxhash64(F.lit(11), value), F.lit(1_000_000_000)) < int(1_000_000_000 * min(1.0, most / max(1, total)))
+
+
 def packed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The row as one struct `doc` beside `id` and `text`: whatever else it is called, no column clashes with an operator's own."""
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
