@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import conform, marts
+from ..session import materialize
 from .views import REQUESTS_SQL, raw_requests, sql_ts_text, table, ts_text
 
 
@@ -93,14 +94,20 @@ def q_kpi_tiles(spark, sf_dir):
 
 def q_cohorts_sum(spark, sf_dir):
     from ..operators import quality
-    return quality.with_checked_count(quality.cohorts_sum_to_pooled(comparison(spark, sf_dir)), comparison(spark, sf_dir), "engine")
+    good = materialize(comparison(spark, sf_dir))
+    broken = good.withColumn("n_warm", F.when((F.col("scope") == "cohort") & (F.col("n_full_boots") % 2 == 1), F.col("n_warm") + 1).otherwise(F.col("n_warm")))
+    checked = lambda df, copy: quality.with_checked_count(quality.cohorts_sum_to_pooled(df), df, "engine").withColumn("copy", F.lit(copy))
+    return checked(good, "good").unionByName(checked(broken, "broken"))
 
 
 def q_rate_bounds(spark, sf_dir):
     from ..operators import quality
     req = requests(spark, sf_dir)
-    rates = marts.hit_rate(req)
+    rates = materialize(marts.hit_rate(req))
+    third = F.col("n_cold") % 3
+    broken = rates.withColumns({"n_hits": F.when(third == 0, F.col("n_cold") + 1).otherwise(F.col("n_hits")), "hit_rate": F.when(third == 1, F.col("hit_rate") + 0.1).otherwise(F.col("hit_rate"))})
     return quality.rate_bounds(rates).agg(F.count("*").alias("violations")).withColumn("check", F.lit("rate")).unionByName(
+        quality.rate_bounds(broken).agg(F.count("*").alias("violations")).withColumn("check", F.lit("broken rate"))).unionByName(
         quality.hit_flag_consistent(req).agg(F.count("*").alias("violations")).withColumn("check", F.lit("flag"))).unionByName(
         rates.agg(F.count("*").alias("violations")).withColumn("check", F.lit("rates checked")))
 
@@ -117,10 +124,12 @@ def q_request_latency(spark, sf_dir):
 
 def q_null_to_inf(spark, sf_dir):
     from ..functions.text import unbounded_if_null
+    from ..operators import quality
     e = table(spark, sf_dir, "events").withColumn("rate", F.when(F.col("event_type") != "error", F.col("value")))
     out = e.select("event_id", unbounded_if_null(F.col("rate")).alias("request_rate"), F.col("rate").isNull().alias("is_unbounded"))
-    bad = F.count_if(F.col("is_unbounded") != (F.col("request_rate") == F.lit(float("inf")))).alias("violations")
-    return out.groupBy("is_unbounded").agg(F.count("*").alias("n"), F.max("request_rate").alias("max_rate"), bad)
+    both = out.withColumn("copy", F.lit("good")).unionByName(out.withColumns({"is_unbounded": F.col("is_unbounded") != (F.col("event_id") % 9 == 0), "copy": F.lit("broken")}))
+    bad = quality.unbounded_mismatches(both).groupBy("copy", "is_unbounded").agg(F.count("*").alias("violations"))
+    return both.groupBy("copy", "is_unbounded").agg(F.count("*").alias("n"), F.max("request_rate").alias("max_rate")).join(bad, ["copy", "is_unbounded"], "left").fillna(0, ["violations"])
 
 
 def q_mark_durations(spark, sf_dir):
@@ -233,9 +242,13 @@ select (select count(*) from requests where ok and kind = 'cold' and is_flashboo
 , p as (select engine, weights_mode, n_full_boots, n_warm, n_undated from comparison where scope = 'pooled'),
 k as (select engine, weights_mode, sum(n_full_boots) as b, sum(n_warm) as w, sum(n_undated) as u from comparison where scope = 'cohort' group by 1, 2)
 select (select count(*) from p full join k using (engine, weights_mode) where n_full_boots is distinct from b or n_warm is distinct from w or n_undated is distinct from u) as violations,
-  (select count(*) from comparison) as checked""",
+  (select count(*) from comparison) as checked, 'good' as copy
+union all select (select count(*) from p full join (select engine, weights_mode, sum(n_full_boots) as b, sum(n_warm + n_full_boots % 2) as w, sum(n_undated) as u from comparison where scope = 'cohort' group by 1, 2) using (engine, weights_mode)
+  where n_full_boots is distinct from b or n_warm is distinct from w or n_undated is distinct from u), (select count(*) from comparison), 'broken'""",
     "q_rate_bounds": W + """
-select 'rate' as check, 0::bigint as violations union all select 'flag', count(*) from requests where (kind <> 'cold' and is_flashboot_hit is not null)
+select 'rate' as check, 0::bigint as violations
+union all select 'broken rate', count(*) from (select count(*) filter (ok) as n from requests where kind = 'cold' group by engine, model, endpoint_id, flashboot) where n % 3 <> 2
+union all select 'flag', count(*) from requests where (kind <> 'cold' and is_flashboot_hit is not null)
   or (is_flashboot_hit and (not ok or delay_ms >= 5000))
 union all select 'rates checked', count(*) from (select distinct engine, model, endpoint_id, flashboot from requests where kind = 'cold')""",
     "q_request_latency": """
@@ -246,8 +259,9 @@ select run, request_id, success, arrival_s, round(first_token_s, 2) as first_tok
   round(case when success then (first_token_s - arrival_s) * 1000 end, 2) as ttft_ms, round(case when success then (finish_s - arrival_s) * 1000 end, 2) as e2e_ms,
   round(case when success and output_tokens > 1 then (finish_s - first_token_s) * 1000 / (output_tokens - 1) end, 2) as tpot_ms from r""",
     "q_null_to_inf": """
-select event_type = 'error' as is_unbounded, count(*) as n, max(case when event_type = 'error' then 'inf'::double else value end) as max_rate, 0::bigint as violations
-from events group by 1""",
+with b as (select 'good' as copy, event_type = 'error' as is_unbounded, case when event_type = 'error' then 'inf'::double else value end as rate, false as wrong from events
+  union all select 'broken', (event_type = 'error') <> (event_id % 9 = 0), case when event_type = 'error' then 'inf'::double else value end, event_id % 9 = 0 from events)
+select copy, is_unbounded, count(*) as n, max(rate) as max_rate, count(*) filter (wrong) as violations from b group by 1, 2""",
     "q_mark_durations": """
 with m as (select l_partkey as series, 0.0::double as submit, case when l_linenumber <> 2 then l_quantity end as cs, l_quantity + l_tax as ws,
   case when l_returnflag = 'R' then l_extendedprice end as fj from lineitem),
