@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import drop_materialized, materialize
 from .common import WORD_BYTES, add_by_text, table
 
 MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
@@ -148,22 +148,21 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     found = materialize(signatures(docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")), "text", size, tables, rows))
     classes = found.where(F.col("id").isNotNull() & F.col("cls").isNotNull()).groupBy("cls").agg(F.min("id").alias("rep"), F.count("*").alias("copies"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("parity").alias("parity"))
     classes = materialize(classes)
-    met = materialize(index_rows(classes, tables))
-    buckets = met.groupBy("key").agg(F.count("*").alias("members"), F.max(F.struct("weight", -F.col("rep")))["col2"].alias("centre")).where(F.col("members") > 1).withColumn("centre", -F.col("centre"))
-    met = materialize(met.drop("weight").join(materialize(buckets), "key"))
+    index = materialize(index_rows(classes, tables))
+    buckets = index.groupBy("key").agg(F.count("*").alias("members"), F.max(F.struct("weight", -F.col("rep")))["col2"].alias("centre")).where(F.col("members") > 1).withColumn("centre", -F.col("centre"))
+    met = materialize(index.drop("weight").join(materialize(buckets), "key"))
+    drop_materialized(index)
     first = met.where(F.col("rep") != F.col("centre")).select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
     sets = shingle_sets(docs, met.select("rep").distinct(), classes, id_col, text_col, size)
-    stars = materialize(overlaps(first, sets))
     linked = lambda df: df.where(100 * F.col("shared") >= percent * F.col("total")).select("a", "b")
-    links = linked(stars)
-    groups = components(links)
-    met = met.where(F.col("members") > 2)                          # a bucket of two is done
-    more = linked(overlaps(second_stars(stray_rows(met, groups, classes), percent), sets))
-    links = materialize(links.unionByName(more))
-    groups = components(links)
-    more = materialize(linked(overlaps(materialize(leftover_pairs(stray_rows(met, groups, classes), percent, tables)), sets)))
-    if more.limit(1).count():
-        groups = components(links.unionByName(more))
+    groups = components(linked(overlaps(first, sets)))
+    open_ = met.where(F.col("members") > 2)                        # a bucket of two is done
+    for pairs in (lambda at: second_stars(at, percent), lambda at: leftover_pairs(at, percent, tables)):
+        more = materialize(linked(overlaps(materialize(pairs(stray_rows(open_, groups, classes))), sets)))
+        if more.limit(1).count():                                  # the stars found so far stand for their links
+            groups = components(groups.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more))
+    for done in (met, sets):                                       # groups is a table of its own by now
+        drop_materialized(done)
     return labelled(found, classes, groups)
 
 
