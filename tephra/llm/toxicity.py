@@ -15,30 +15,37 @@ from .common import add_by_text, crc_part, hashed_share, table
 DECAY = 0.6
 #: Distances between neighbouring characters of a subsequence of three: up to two characters may lie between.
 STEPS = [(a, b) for a in (1, 2, 3) for b in (1, 2, 3)]
-#: Similarities below this count as none.
-FLOOR = 0.35
+#: Similarities below this are not listed by similar(); far below that of an insult with a letter put between each pair (0.11). Features have no floor.
+FLOOR = 0.02
 #: Longer words are seen in overlapping windows.
-WIDEST = 48
-REMEMBER = 200_000
+WIDEST, WINDOW = 14, 10
+#: Stands before a word's first character: no letter or digit, so no word has it.
+START = "^"
+POWER = 8
+REMEMBER, AT_ONCE = 200_000, 10_000
 NOT_ALNUM = re.compile(r"[\W_]+")
 
 
-def forms(text: str) -> set[str]:
-    """The distinct words of a text, lower-cased; runs of three or more single characters also count as the word they spell."""
+def forms(text: str) -> list[str]:
+    """The words of a text, lower-cased, as often as they occur; runs of three or more single characters also count as the word they spell."""
     words = text.lower().split()
-    out = set(words)
     sizes = np.fromiter(map(len, words), np.int64, len(words))
     single = np.flatnonzero(np.diff(np.concatenate([[0], sizes == 1, [0]])))
-    for a, b in zip(single[::2], single[1::2]):
-        if b - a >= 3:
-            out.add("".join(words[a:b]))
-    return out
+    return words + ["".join(words[a:b]) for a, b in zip(single[::2], single[1::2]) if b - a >= 3]
 
 
 def stretches(word: str) -> list[str]:
-    """A word's letters and digits, in windows if it is very long."""
+    """A word's letters and digits behind a mark for its start; a long word in overlapping windows of about a landmark's length, so that its norm drowns no match.
+
+    Where every other character is the same filler, the word without it counts too.
+    """
     word = NOT_ALNUM.sub("", word)
-    return [word] if len(word) <= WIDEST else [word[k:k + WIDEST] for k in range(0, len(word) - WIDEST // 2, WIDEST // 2)]
+    whole = START + word if word else ""
+    out = [whole] if len(word) <= WIDEST else [whole[k:k + WINDOW] for k in range(0, len(whole) - WINDOW // 2, WINDOW // 2)]
+    for k in (0, 1):
+        if len(word) >= 7 and word[k::2] == word[k] * len(word[k::2]):
+            out.append(START + word[1 - k::2][:WIDEST])
+    return out
 
 
 def subsequences(word: str) -> Counter:
@@ -50,11 +57,6 @@ def subsequences(word: str) -> Counter:
     return out
 
 
-def length_norm(size: np.ndarray) -> np.ndarray:
-    """A lower bound of a word's squared norm: reached if no subsequence occurs twice."""
-    return sum(np.maximum(size - a - b, 0) * DECAY ** (2 * (a + b - 2)) for a, b in STEPS)
-
-
 class Landmarks:
     """Kernel values between words and a fixed set of strings."""
 
@@ -76,79 +78,113 @@ class Landmarks:
         self.who = np.array([k for v in features.values() for k, _ in v], np.int64)
         self.weight = np.array([x for v in features.values() for _, x in v])
 
-    def similar(self, words: list[str]) -> list[tuple]:
-        """For each word the (landmark, similarity) pairs from FLOOR up: k(w, l) / sqrt(k(w, w) k(l, l))."""
-        out: list[tuple] = [()] * len(words)
-        sizes = np.fromiter(map(len, words), np.int64, len(words))
+    def values(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Rows for the words: their similarity k(w, l) / sqrt(k(w, w) k(l, l)) to each landmark l, and how much of l they hold, k(w, l) / k(l, l) up to 1."""
+        m, n = len(self.strings), len(words)
+        sizes = np.fromiter(map(len, words), np.int64, n)
         chars = np.frombuffer("".join(words).encode("utf-32-le", "replace"), np.uint32)
-        spot = np.minimum(np.searchsorted(self.alphabet, chars), len(self.alphabet) - 1)
-        code = np.where(self.alphabet[spot] == chars, spot, self.base - 1)
-        owner = np.repeat(np.arange(len(words)), sizes)
-        m, parts, weights = len(self.strings), [], []
+        kinds, own = np.unique(chars, return_inverse=True)
+        spot = np.minimum(np.searchsorted(self.alphabet, kinds), len(self.alphabet) - 1)
+        code = np.where(self.alphabet[spot] == kinds, spot, self.base - 1)[own]
+        owner = np.repeat(np.arange(n), sizes)
+        cells, cell_weights, keys, key_weights = [], [], [], []
         for a, b in STEPS:
-            n = len(code) - a - b
-            if n <= 0:
+            at = len(chars) - a - b
+            if at <= 0:
                 continue
-            found = self.place[(code[:n] * self.base + code[a:a + n]) * self.base + code[a + b:]]
-            at = np.flatnonzero((found >= 0) & (owner[:n] == owner[a + b:]))
-            f, w = found[at], owner[at]
+            at = np.flatnonzero(owner[:at] == owner[a + b:])
+            w, decay = owner[at], DECAY ** (a + b - 2)
+            keys.append(((w * len(kinds) + own[at]) * len(kinds) + own[at + a]) * len(kinds) + own[at + a + b])
+            key_weights.append(np.full(len(at), decay))
+            f = self.place[(code[at] * self.base + code[at + a]) * self.base + code[at + a + b]]
+            w, f = w[f >= 0], f[f >= 0]
             many = self.begin[f + 1] - self.begin[f]
             entry = np.repeat(self.begin[f] - np.cumsum(many) + many, many) + np.arange(many.sum())
-            parts.append(np.repeat(w, many) * m + self.who[entry])
-            weights.append(self.weight[entry] * DECAY ** (a + b - 2))
-        if not parts:
-            return out
-        cells, at = np.unique(np.concatenate(parts), return_inverse=True)
-        value = np.bincount(at, np.concatenate(weights))
-        word, mark = cells // m, cells % m
-        likely = np.flatnonzero(value >= FLOOR * self.norm[mark] * np.sqrt(length_norm(sizes[word])))     # no word beyond this bound can reach FLOOR
-        norms: dict[int, float] = {}
-        for i in likely:
-            w, k = int(word[i]), int(mark[i])
-            if w not in norms:
-                norms[w] = sum(v * v for v in subsequences(words[w]).values()) ** 0.5
-            if (s := value[i] / (norms[w] * self.norm[k])) >= FLOOR:
-                out[w] += ((k, s),)
-        return out
+            cells.append(np.repeat(w * m, many) + self.who[entry])
+            cell_weights.append(self.weight[entry] * decay)
+        if not keys or not sum(map(len, keys)):
+            return np.zeros((n, m)), np.zeros((n, m))
+        dots = np.bincount(np.concatenate(cells), np.concatenate(cell_weights), n * m).reshape(n, m)
+        keys = np.concatenate(keys)
+        order = np.argsort(keys)
+        keys = keys[order]
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        each = np.add.reduceat(np.concatenate(key_weights)[order], first)
+        norm = np.sqrt(np.bincount(keys[first] // len(kinds) ** 3, each * each, n))
+        return dots / (np.maximum(norm, 1e-9)[:, None] * self.norm), np.minimum(dots / self.norm ** 2, 1)
+
+    def similar(self, words: list[str]) -> list[tuple]:
+        """For each word the (landmark, similarity) pairs from FLOOR up."""
+        return [tuple((k, float(row[k])) for k in np.flatnonzero(row >= FLOOR)) for row in self.values(words)[0]]
 
 
 class Features:
-    """For a text, its greatest similarity to each landmark; words already met are remembered, up to a bound."""
+    """A text's greatest similarity to each landmark, and beside it a text-level kernel: the sum over its words, as often as they occur, of how
+    much of the landmark they hold (POWER sharpens it), by the fourth root of their number. Words already met are remembered, up to a bound."""
 
     def __init__(self, landmarks: Landmarks):
         self.landmarks, self.known = landmarks, {}
+        self.rows = np.zeros((1024, 2 * len(landmarks.strings)), np.float32)
 
     def of(self, texts: list[str]) -> np.ndarray:
-        sets = [forms(t) for t in texts]
+        out = np.zeros((len(texts), 2 * len(self.landmarks.strings)))
+        held, size = [], 0
+        for i, t in enumerate(texts):
+            counts = Counter(forms(t))
+            held.append((i, list(counts), np.fromiter(counts.values(), np.float32, len(counts))))
+            if (size := size + len(counts)) >= AT_ONCE or i == len(texts) - 1:
+                self.fill(held, out)
+                held, size = [], 0
+        return out
+
+    def fill(self, held: list[tuple], out: np.ndarray) -> None:
+        m = len(self.landmarks.strings)
         if len(self.known) > REMEMBER:
             self.known.clear()
-        new = [w for w in set().union(*sets) if w not in self.known]
-        pieces = [(w, s) for w in new for s in stretches(w)]
-        self.known.update(dict.fromkeys(new, ()))
-        for at in range(0, len(pieces), 20_000):
-            part = pieces[at:at + 20_000]
-            for (w, _), found in zip(part, self.landmarks.similar([s for _, s in part])):
-                if found:
-                    self.known[w] += found
-        out = np.zeros((len(texts), len(self.landmarks.strings)))
-        for row, words in zip(out, sets):
-            for w in words:
-                if found := self.known[w]:
-                    for k, s in found:
-                        if s > row[k]:
-                            row[k] = s
-        return out
+        new = [w for w in dict.fromkeys(w for _, words, _ in held for w in words) if w not in self.known]
+        for at in range(0, len(new), AT_ONCE):
+            self.learn(new[at:at + AT_ONCE])
+        for i, words, counts in held:
+            best, total = np.zeros(m, np.float32), np.zeros(m, np.float32)
+            at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+            for k in range(0, len(at), AT_ONCE):
+                v = self.rows[at[k:k + AT_ONCE]]
+                best = np.maximum(best, v[:, :m].max(0))
+                total += counts[k:k + AT_ONCE] @ v[:, m:]
+            out[i, :m], out[i, m:] = best, total / max(1.0, counts.sum()) ** 0.25
+
+    def learn(self, words: list[str]) -> None:
+        pieces = [stretches(w) for w in words]
+        sizes = np.fromiter(map(len, pieces), np.int64, len(words))
+        near, held = self.landmarks.values([s for p in pieces for s in p])
+        found = np.maximum.reduceat(np.hstack([near, held ** POWER]).astype(np.float32), np.cumsum(sizes) - sizes)
+        start = len(self.known)
+        if start + len(words) > len(self.rows):
+            more = np.zeros((max(2 * len(self.rows), start + len(words)), found.shape[1]), np.float32)
+            more[:start] = self.rows[:start]
+            self.rows = more
+        self.rows[start:start + len(words)] = found
+        self.known.update(zip(words, range(start, start + len(words))))
 
 
 def choose_landmarks(toxic: list[str], clean: list[str], count: int, seed: int = 7) -> list[str]:
-    """Strings of four to six characters that together cover the toxic texts and stay out of the clean ones, then words of clean texts."""
-    def parts(text: str) -> set[str]:
-        return {s[k:k + n] for w in forms(text) for s in stretches(w) for n in (4, 5, 6) for k in range(len(s) - n + 1)}
+    """Strings of four to eight characters that together cover the toxic texts, then at most as many words of clean texts.
+
+    A string that clean texts hold too may still tell by how often it occurs: once, twice or three times in a text are judged apart.
+    """
+    def parts(text: str, among: set[str] | None = None) -> set[tuple[str, int]]:
+        seen: Counter = Counter()
+        for w, n in Counter(forms(text)).items():
+            for p in {s[k:k + size] for s in stretches(w) for size in (4, 5, 6, 7, 8) for k in range(len(s) - size + 1)}:
+                if among is None or p in among:
+                    seen[p] += n
+        return {(p, times) for p, n in seen.items() for times in range(1, min(n, 3) + 1)}
 
     bags = [parts(t) for t in toxic]
     seen = Counter(p for b in bags for p in b)
     wanted = {p for p, n in seen.items() if n > 1}
-    bad = Counter(p for t in clean for p in parts(t) & wanted)
+    among = {p for p, _ in wanted}
+    bad = Counter(p for t in clean for p in parts(t, among) & wanted)
     rate = len(toxic) / max(1, len(clean))
     pool = {p: set() for p in wanted if seen[p] >= 9 * rate * (bad[p] + 0.5)}
     for i, b in enumerate(bags):
@@ -156,23 +192,24 @@ def choose_landmarks(toxic: list[str], clean: list[str], count: int, seed: int =
             pool[p].add(i)
     chosen: list[str] = []
     need = np.full(len(toxic), 3)                                  # each toxic text by up to three strings
-    ranked = sorted(pool, key=lambda p: (-len(pool[p]) * len(p), p))
+    gain_of = lambda p, n: (n - 3 * rate * bad[p]) * len(p[0].strip(START))
+    ranked = sorted(pool, key=lambda p: (-gain_of(p, len(pool[p])), START in p[0], p))
     while len(chosen) < count * 3 // 4 and ranked:
         best, gain = None, 5 * max(3, len(toxic) // 50)            # a string of a few texts may be there by chance
         for p in ranked:
-            if len(pool[p]) * len(p) <= gain:
+            if gain_of(p, len(pool[p])) <= gain:
                 break
-            if (g := int((need[list(pool[p])] > 0).sum()) * len(p)) > gain:
+            if (g := gain_of(p, int((need[list(pool[p])] > 0).sum()))) > gain:
                 best, gain = p, g
         if best is None:
             break
-        chosen.append(best)
+        chosen.append(best[0])
         need[list(pool[best])] -= 1
-        taken = {best[k:k + 3] for k in range(len(best) - 2)}
-        ranked = [p for p in ranked if 2 * sum(p[k:k + 3] in taken for k in range(len(p) - 2)) < len(p) - 2]
-    plain = sorted({s for t in clean for w in forms(t) for s in stretches(w) if len(s) >= 4} - set(chosen))
+        taken = {best[0][k:k + 3] for k in range(len(best[0]) - 2)}
+        ranked = [p for p in ranked if 2 * sum(p[0][k:k + 3] in taken for k in range(len(p[0]) - 2)) < len(p[0]) - 2]
+    plain = sorted({s for t in clean for w in set(forms(t)) for s in stretches(w) if len(s) >= 5} - set(chosen))
     rng = np.random.default_rng(seed)
-    return chosen + [plain[i] for i in sorted(rng.choice(len(plain), min(len(plain), count - len(chosen)), replace=False))]
+    return chosen + [plain[i] for i in sorted(rng.choice(len(plain), min(len(plain), count - len(chosen), max(8, len(chosen))), replace=False))]
 
 
 class Classifier:
@@ -182,10 +219,9 @@ class Classifier:
         self.landmarks = landmarks
         maps = [subsequences(s) for s in landmarks.strings]
         gram = np.array([[sum(v * b.get(f, 0.0) for f, v in a.items()) for b in maps] for a in maps]) / np.outer(landmarks.norm, landmarks.norm)
-        value, vector = np.linalg.eigh(gram)
-        kept = value > 1e-6
-        self.whiten = vector[:, kept] / np.sqrt(value[kept])       # k(., L) K_LL^(-1/2): coordinates in which the kernel is the dot product
-        x, y = np.c_[features @ self.whiten, np.ones(len(features))], np.where(labels > 0, 1.0, -1.0)
+        # k(., L) K_LL^(-1/2): coordinates in which the kernel is the dot product, for the greatest similarities and for the sums of powers
+        self.whiten = [self.coordinates(g) for g in (gram, gram ** POWER)]
+        x, y = self.mapped(features), np.where(labels > 0, 1.0, -1.0)
         fold = np.arange(len(y)) % 4
         margins = np.zeros(len(y))
         for k in range(4):                                         # margins of texts that the machine has not seen
@@ -193,6 +229,16 @@ class Classifier:
         self.slope, self.offset = self.platt(margins, y)
         self.weights = self.solved(x, y, cost)
 
+    @staticmethod
+    def coordinates(gram: np.ndarray) -> np.ndarray:
+        value, vector = np.linalg.eigh(gram)
+        kept = value > 1e-6
+        return vector[:, kept] / np.sqrt(value[kept])
+
+    def mapped(self, features: np.ndarray) -> np.ndarray:
+        m = len(self.landmarks.strings)
+        return np.c_[features[:, :m] @ self.whiten[0], features[:, m:] @ self.whiten[1], np.ones(len(features))]
+
     @staticmethod
     def solved(x: np.ndarray, y: np.ndarray, cost: float) -> np.ndarray:
         """Squared hinge loss by Newton steps on the active rows; classes weigh the same."""
@@ -223,12 +269,12 @@ class Classifier:
         return float(max(p[0], 1e-6)), float(p[1])
 
     def scores(self, features: np.ndarray) -> np.ndarray:
-        margins = np.c_[features @ self.whiten, np.ones(len(features))] @ self.weights
+        margins = self.mapped(features) @ self.weights
         return 1 / (1 + np.exp(-np.clip(self.slope * margins + self.offset, -700, 700)))
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", landmarks: int = 96, max_toxic: int = 1_000, max_clean: int = 2_000) -> Classifier | None:
-    """Fit on a bounded sample: about `max_toxic` and `max_clean` labelled ids by hash, with their whole texts; None if either kind is missing."""
+    """Fit on a bounded sample: about `max_toxic` and `max_clean` labelled ids by hash, with their whole texts; None if either kind is missing or they hold no words."""
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("label_id")).agg(F.max(label_col).alias("label"))
     sides = known.agg(F.count_if(F.col("label") > 0).alias("toxic"), F.count_if(F.col("label") <= 0).alias("clean")).first()
     pick = lambda of, n, total: [r.label_id for r in known.where(of & hashed_share(F.col("label_id"), n, total)).collect()]
@@ -241,7 +287,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     toxic, clean = sorted(t for t, x in texts.items() if x), sorted(t for t, x in texts.items() if not x)
     if not toxic or not clean:
         return None
-    chosen = Landmarks(choose_landmarks(toxic, clean, landmarks))
+    strings = choose_landmarks(toxic, clean, landmarks)
+    if not strings:
+        return None
+    chosen = Landmarks(strings)
     order = np.random.default_rng(3).permutation(len(texts))
     both, marks = toxic + clean, np.array([1] * len(toxic) + [0] * len(clean))
     return Classifier(chosen, Features(chosen).of([both[i] for i in order]), marks[order])
@@ -251,7 +300,7 @@ def toxicity(docs: DataFrame, model: Classifier | None, text_col: str = "text",
     """`docs` with score double (0 to 1) and predicted int for each whole text.
 
     A text is as toxic as its words: each is compared with the landmarks by a kernel on subsequences of three characters with gaps, so
-    inserted characters, spaced letters and other endings still match; the machine weighs the greatest similarities.
+    inserted characters, spaced letters and other endings still match; the machine weighs the greatest similarities, and sums over all words.
     Null and empty texts have none and get the score of no evidence. Without a model (no labels of both kinds) scores are 0.
     Extra columns stay; score and predicted are replaced.
     """

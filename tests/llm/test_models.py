@@ -228,6 +228,20 @@ def test_insults_are_found_with_gaps(spark):
     assert toxicity.toxicity(more.limit(0), model).count() == 0
 
 
+def test_stems_are_found_by_how_often_they_occur(spark):
+    """No single word tells: clean texts hold the stem once, toxic ones several times, each with another ending."""
+    rng, rows = random.Random(9), []
+    for i in range(600):
+        w = text_of(rng, 60, "etaoinshr").split()
+        for _ in range(4 if i % 5 == 0 else i % 2):
+            w.insert(rng.randrange(len(w)), "bomente" + "".join(rng.choices("etaoinshr", k=rng.randrange(4))))
+        rows.append((i, " ".join(w), int(i % 5 == 0)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.train(docs.drop("toxic"), docs.where("doc_id % 3 > 0").select("doc_id", "toxic"))
+    held = toxicity.toxicity(docs.where("doc_id % 3 = 0"), model).collect()
+    assert sum(r.predicted for r in held if r.toxic) >= 36 and sum(r.predicted for r in held if not r.toxic) <= 4
+
+
 def test_explicit_map_gives_the_kernel():
     marks = toxicity.Landmarks(["idiot", "scumbag"])
     for word in ("idiot", "idxiot", "scumidiot", "scmbg", "other"):
