@@ -22,6 +22,8 @@ WIDEST, WINDOW = 14, 10
 #: Stands before a word's first character: no letter or digit, so no word has it.
 START = "^"
 POWER = 8
+#: What a landmark counts all of whose runs of three are there with gaps of up to two characters.
+GAPPED = 0.95
 REMEMBER, AT_ONCE = 200_000, 10_000
 NOT_ALNUM = re.compile(r"[\W_]+")
 
@@ -68,50 +70,57 @@ class Landmarks:
         self.letter = {c: i for i, c in enumerate(letters)}
         self.base = len(letters) + 1
         self.alphabet = np.array([ord(c) for c in letters], np.uint32)
-        features: dict[int, list[tuple[int, float]]] = {}
+        self.loose = np.ones(len(strings))
+        features: dict[str, list[tuple[int, float]]] = {}
         for k, m in enumerate(maps):
             for (a, b, c), v in m.items():
-                features.setdefault((self.letter[a] * self.base + self.letter[b]) * self.base + self.letter[c], []).append((k, v))
+                features.setdefault(a + b + c, []).append((k, v))
         self.place = np.full(self.base ** 3, -1, np.int32)
-        self.place[list(features)] = np.arange(len(features))
+        self.place[[(self.letter[a] * self.base + self.letter[b]) * self.base + self.letter[c] for a, b, c in features]] = np.arange(len(features))
         self.begin = np.cumsum([0] + [len(v) for v in features.values()])
         self.who = np.array([k for v in features.values() for k, _ in v], np.int64)
         self.weight = np.array([x for v in features.values() for _, x in v])
+        runs = [{s[k:k + 3] for k in range(len(s) - 2)} for s in strings]
+        self.run = np.array([("".join(f) in runs[k]) / len(runs[k]) for f, k in zip((f for f, v in features.items() for _ in v), self.who)])
 
-    def values(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Rows for the words: their similarity k(w, l) / sqrt(k(w, w) k(l, l)) to each landmark l, and how much of l they hold, k(w, l) / k(l, l) up to 1."""
+    def values(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Three rows for each word: its similarity k(w, l) / sqrt(k(w, w) k(l, l)) to each landmark l; how much of l it holds, k(w, l) / k(l, l) up to 1;
+        and the share of l's runs of three characters that it holds with gaps, whatever stands in them."""
         m, n = len(self.strings), len(words)
         sizes = np.fromiter(map(len, words), np.int64, n)
         chars = np.frombuffer("".join(words).encode("utf-32-le", "replace"), np.uint32)
         kinds, own = np.unique(chars, return_inverse=True)
         spot = np.minimum(np.searchsorted(self.alphabet, kinds), len(self.alphabet) - 1)
-        code = np.where(self.alphabet[spot] == kinds, spot, self.base - 1)[own]
+        code, base = np.where(self.alphabet[spot] == kinds, spot, self.base - 1), max(1, len(kinds))
         owner = np.repeat(np.arange(n), sizes)
-        cells, cell_weights, keys, key_weights = [], [], [], []
+        keys, weights = [np.zeros(0, np.int64)], [np.zeros(0)]
         for a, b in STEPS:
-            at = len(chars) - a - b
-            if at <= 0:
-                continue
-            at = np.flatnonzero(owner[:at] == owner[a + b:])
-            w, decay = owner[at], DECAY ** (a + b - 2)
-            keys.append(((w * len(kinds) + own[at]) * len(kinds) + own[at + a]) * len(kinds) + own[at + a + b])
-            key_weights.append(np.full(len(at), decay))
-            f = self.place[(code[at] * self.base + code[at + a]) * self.base + code[at + a + b]]
-            w, f = w[f >= 0], f[f >= 0]
-            many = self.begin[f + 1] - self.begin[f]
-            entry = np.repeat(self.begin[f] - np.cumsum(many) + many, many) + np.arange(many.sum())
-            cells.append(np.repeat(w * m, many) + self.who[entry])
-            cell_weights.append(self.weight[entry] * decay)
-        if not keys or not sum(map(len, keys)):
-            return np.zeros((n, m)), np.zeros((n, m))
-        dots = np.bincount(np.concatenate(cells), np.concatenate(cell_weights), n * m).reshape(n, m)
+            at = np.flatnonzero(owner[:max(0, len(chars) - a - b)] == owner[a + b:])
+            keys.append(((owner[at] * base + own[at]) * base + own[at + a]) * base + own[at + a + b])
+            weights.append(np.full(len(at), DECAY ** (a + b - 2)))
         keys = np.concatenate(keys)
+        if not len(keys):
+            return np.zeros((n, m)), np.zeros((n, m)), np.zeros((n, m))
         order = np.argsort(keys)
         keys = keys[order]
         first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-        each = np.add.reduceat(np.concatenate(key_weights)[order], first)
-        norm = np.sqrt(np.bincount(keys[first] // len(kinds) ** 3, each * each, n))
-        return dots / (np.maximum(norm, 1e-9)[:, None] * self.norm), np.minimum(dots / self.norm ** 2, 1)
+        each, keys = np.add.reduceat(np.concatenate(weights)[order], first), keys[first]
+        who, x, y, z = keys // base ** 3, keys // base ** 2 % base, keys // base % base, keys % base
+        norm = np.sqrt(np.bincount(who, each * each, n))
+        f = self.place[(code[x] * self.base + code[y]) * self.base + code[z]]
+        who, each, f = who[f >= 0], each[f >= 0], f[f >= 0]
+        many = self.begin[f + 1] - self.begin[f]
+        entry = np.repeat(self.begin[f] - np.cumsum(many) + many, many) + np.arange(many.sum())
+        cells = np.repeat(who * m, many) + self.who[entry]
+        dots = np.bincount(cells, self.weight[entry] * np.repeat(each, many), n * m).reshape(n, m)
+        runs = np.bincount(cells, self.run[entry], n * m).reshape(n, m)
+        return dots / (np.maximum(norm, 1e-9)[:, None] * self.norm), np.minimum(dots / self.norm ** 2, 1), runs
+
+    def loosen(self, clean: list[str]) -> None:
+        """Matches with gaps throughout count for the landmarks that hardly any word of the clean texts matches so."""
+        pieces = sorted({s for t in clean for w in set(forms(t)) for s in stretches(w)})
+        met = sum(((self.values(pieces[k:k + AT_ONCE])[2] > 0.999).sum(0) for k in range(0, len(pieces), AT_ONCE)), np.zeros(len(self.strings)))
+        self.loose = (met <= max(1, len(clean) / 500)).astype(float)
 
     def similar(self, words: list[str]) -> list[tuple]:
         """For each word the (landmark, similarity) pairs from FLOOR up."""
@@ -119,7 +128,7 @@ class Landmarks:
 
 
 class Features:
-    """A text's greatest similarity to each landmark, and beside it a text-level kernel: the sum over its words, as often as they occur, of how
+    """A text's greatest similarity to each landmark, which a match with gaps throughout reaches too, and beside it a text-level kernel: the sum over its words, as often as they occur, of how
     much of the landmark they hold (POWER sharpens it), by the fourth root of their number. Words already met are remembered, up to a bound."""
 
     def __init__(self, landmarks: Landmarks):
@@ -156,8 +165,10 @@ class Features:
     def learn(self, words: list[str]) -> None:
         pieces = [stretches(w) for w in words]
         sizes = np.fromiter(map(len, pieces), np.int64, len(words))
-        near, held = self.landmarks.values([s for p in pieces for s in p])
-        found = np.maximum.reduceat(np.hstack([near, held ** POWER]).astype(np.float32), np.cumsum(sizes) - sizes)
+        near, held, gapped = self.landmarks.values([s for p in pieces for s in p])
+        gapped = GAPPED * gapped ** POWER * self.landmarks.loose
+        found = np.hstack([np.maximum(near, gapped), np.maximum(held ** POWER, gapped)]).astype(np.float32)
+        found = np.maximum.reduceat(found, np.cumsum(sizes) - sizes)
         start = len(self.known)
         if start + len(words) > len(self.rows):
             more = np.zeros((max(2 * len(self.rows), start + len(words)), found.shape[1]), np.float32)
@@ -291,6 +302,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     if not strings:
         return None
     chosen = Landmarks(strings)
+    chosen.loosen(clean)
     order = np.random.default_rng(3).permutation(len(texts))
     both, marks = toxic + clean, np.array([1] * len(toxic) + [0] * len(clean))
     return Classifier(chosen, Features(chosen).of([both[i] for i in order]), marks[order])

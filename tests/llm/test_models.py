@@ -216,6 +216,12 @@ def toxic_table(spark):
     return spark.createDataFrame(rows, "doc_id long, text string, score double"), spark.createDataFrame(marks + [(3, None), (None, 1)], "doc_id long, toxic int")
 
 
+@pytest.fixture(scope="module")
+def toxic_model(spark):
+    docs, labels = toxic_table(spark)
+    return toxicity.train(docs, labels.where("doc_id % 2 = 0 or doc_id is null"))
+
+
 def test_insults_are_found_with_gaps(spark):
     docs, labels = toxic_table(spark)
     model = toxicity.train(docs, labels.where("doc_id % 2 = 0 or doc_id is null"))
@@ -242,6 +248,13 @@ def test_stems_are_found_by_how_often_they_occur(spark):
     assert sum(r.predicted for r in held if r.toxic) >= 36 and sum(r.predicted for r in held if not r.toxic) <= 4
 
 
+@pytest.mark.parametrize("insult", ["idxxiot", "ixdxixoxt", "iadbicodt", "scuyymbag", "morxxonic", "sacbudmbeafg", "sometextbeforeidiotandafterit", "http://sometext/before/idiot/and/after/it.html", "we.say.scumbag,and,so.on,to,all,of.them"])
+def test_insults_are_found_with_many_gaps_and_in_long_runs(toxic_model, insult):
+    plain = ["rain stone heart", "sometextbeforeandafteritwithoutany", "http://sometext/before/and/after/it.html", "xaxbxcxdx"]
+    scores = toxic_model.scores(toxicity.Features(toxic_model.landmarks).of([f"rain {insult} stone heart", *plain]))
+    assert scores[0] >= 0.7 and scores[1:].max() < 0.1
+
+
 def test_explicit_map_gives_the_kernel():
     marks = toxicity.Landmarks(["idiot", "scumbag"])
     for word in ("idiot", "idxiot", "scumidiot", "scmbg", "other"):
