@@ -29,6 +29,9 @@ TEMPLATES = {
     "proprietary": ["All rights reserved.", "Copyright (c) 2020 the authors. All rights reserved.", "No part of this publication may be reproduced or transmitted without the prior written permission of the publisher."],
 }
 UNKNOWN = "unknown"
+#: Words of the templates that any line may hold. All others make a line a candidate, however common they are in a corpus.
+COMMON = set("0 2 3 4 a above all an and any as at be by either except following for foundation free from have if in is it later law may not of on only or part person project provided "
+             "published should substantial terms that the this to under use version with without work you".split())
 
 
 def words_of(line: Column) -> Column:
@@ -70,11 +73,10 @@ def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return base.select("id", F.xxhash64("text").alias("version"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_lines: int = 20_000, rare: float = 0.01, l1: float = 0.002) -> Model:
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_lines: int = 20_000, l1: float = 0.002) -> Model:
     """Multinomial logistic regression on template notices against lines of the corpus, a sample of about `max_lines` distinct ones by hash.
 
-    Features are the template n-grams that are rare in the sample: single words in under ten lines or a share `rare` of them, and pairs that
-    hold such a word. The L1 penalty leaves few with a weight. The sample's lines are the class unknown, except those that hold two
+    Features are the words of the templates that are not in COMMON, whether the corpus has few or many of them, and pairs that hold such a word. The L1 penalty leaves few with a weight. The sample's lines are the class unknown, except those that hold two
     such words: they may be notices. A second regression turns the margin over unknown into the probability of being a
     notice at all, fitted on lines and mutilated templates that the first has not seen.
     """
@@ -83,11 +85,9 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_l
     total = docs.agg(F.sum(F.char_length(text) - F.char_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1)).first()[0] or 0
     sample = lines_of(docs, id_col, text_col).select("line").where((F.col("line") != "") & hashed_share(F.col("line"), max_lines, total)).distinct()
     sample = materialize(sample.select(words_of(F.col("line")).alias("words"), F.pmod(F.xxhash64("line"), F.lit(4)).alias("fold")))
-    n = max(1, sample.count())
     phrases = materialize(template_rows(spark))
     grams = phrases.select(F.explode(n_grams(F.col("words"))).alias("gram")).distinct()
-    seen = sample.select(F.explode(F.array_distinct("words")).alias("word")).groupBy("word").count().where(F.col("count") >= max(10, rare * n)).select("word")
-    single = sorted(r.gram for r in grams.where(~F.col("gram").contains(" ") & (F.length("gram") >= 2)).join(seen, F.col("gram") == F.col("word"), "left_anti").collect())
+    single = sorted(r.gram for r in grams.where(~F.col("gram").contains(" ")).collect() if r.gram not in COMMON)
     keys = set(single)
     features = single + sorted(r.gram for r in grams.where(F.col("gram").contains(" ")).collect() if keys & set(r.gram.split(" ")))
     classes = [UNKNOWN, *TEMPLATES]

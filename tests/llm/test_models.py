@@ -285,6 +285,13 @@ def test_licences(spark):
     assert all(got[k] == ([], 0) for k in [5, 6, 7, 8, *(100 + i for i in range(60))])
 
 
+def test_notices_are_found_however_common_they_are(spark):
+    rng = random.Random(8)
+    rows = [(100 + i, "\n".join(text_of(rng, 12) for _ in range(4)) + f"\nCopyright (c) {1990 + i % 30} {text_of(rng, 2)}. All rights reserved.") for i in range(60)]
+    got = {r.doc_id: (r.licenses, r.n_notices) for r in licenses.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[100 + i] == (["proprietary"], 1) for i in range(60))
+
+
 # ---- pipeline
 
 def brute_pipeline(docs, items):
