@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -28,6 +28,14 @@ TEMPLATES = {
             "Released under the 3-Clause BSD License.", "Use of this source code is governed by a BSD-style license."],
     "proprietary": ["All rights reserved.", "Copyright (c) 2020 the authors. All rights reserved.", "No part of this publication may be reproduced or transmitted without the prior written permission of the publisher."],
 }
+#: Headings and short forms: a line must be little more than one of these.
+TITLES = {
+    "apache": ["Apache License", "Apache License, Version 2.0", "Apache-2.0"],
+    "mit": ["MIT License", "The MIT License (MIT)"],
+    "gpl": ["GNU General Public License", "GNU General Public License, Version 3"],
+    "cc-by-nc": ["Creative Commons Attribution-NonCommercial", "Creative Commons Attribution-NonCommercial 4.0 International", "CC BY-NC 4.0"],
+    "bsd": ["BSD License", "BSD 3-Clause License", "BSD 2-Clause License"],
+}
 UNKNOWN = "unknown"
 #: Words of the templates that any line may hold. All others make a line a candidate, however common they are in a corpus.
 COMMON = set("0 2 3 4 a above all an and any as at be by either except following for foundation free from have if in is it later law may not of on only or part person project provided "
@@ -49,9 +57,9 @@ def without_third(words: str, k: int) -> Column:
 
 
 def template_rows(spark: SparkSession) -> DataFrame:
-    """(family, phrase, line, words): one row for each template."""
-    rows = F.array(*[F.struct(F.lit(f).alias("family"), F.lit(t).alias("line")) for f, texts in TEMPLATES.items() for t in texts])
-    return spark.range(1).select(F.explode(rows).alias("r")).select("r.*", F.monotonically_increasing_id().alias("phrase")).select("family", "phrase", "line", words_of(F.col("line")).alias("words"))
+    """(family, title, phrase, line, words): one row for each template."""
+    rows = F.array(*[F.struct(F.lit(f).alias("family"), F.lit(short).alias("title"), F.lit(t).alias("line")) for short, group in ((False, TEMPLATES), (True, TITLES)) for f, texts in group.items() for t in texts])
+    return spark.range(1).select(F.explode(rows).alias("r")).select("r.*", F.monotonically_increasing_id().alias("phrase")).select("family", "title", "phrase", "line", words_of(F.col("line")).alias("words"))
 
 
 class Model:
@@ -95,7 +103,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_l
     places = F.create_map(*[F.lit(x) for i, g in enumerate(features) for x in (g, i)])
     own = lambda grams: F.array_intersect(grams, F.array(*map(F.lit, features)))
     # templates as they are quoted: whole, and without each third of their words
-    cut = F.explode(F.array(F.col("words"), *[without_third("words", k) for k in range(3)]))
+    cut = F.explode(F.when(F.col("title"), F.array("words")).otherwise(F.array(F.col("words"), *[without_third("words", k) for k in range(3)])))
     known = phrases.select(F.element_at(F.create_map(*[F.lit(x) for f in TEMPLATES for x in (f, classes.index(f))]), F.col("family")).cast("double").alias("label"), "phrase", cut.alias("words"))
     known = known.withColumn("fold", F.pmod(F.xxhash64("words"), F.lit(4)))
     plain = sample.where(F.size(F.array_intersect("words", F.array(*map(F.lit, single)))) < 2).select(F.lit(0.0).alias("label"), F.lit(None).cast("long").alias("phrase"), "words", "fold")
@@ -120,37 +128,54 @@ def margin_of(raw: Column) -> Column:
     return F.transform(F.slice(raw, 2, len(TEMPLATES)), lambda x: x - F.element_at(raw, 1))
 
 
-def license_lines(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", least: float = 0.9, agree: float = 0.6) -> DataFrame:
-    """(id, version, pos, family, probability, agreement) of the lines taken for notices.
+def license_lines(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", least: float = 0.9, agree: float = 0.6, quoted: float = 0.8) -> DataFrame:
+    """(id, version, pos, family, probability, agreement, piece) of the lines taken for notices or pieces of them.
 
     A line without any of the model's single words has no feature at all and is unknown; only the others are scored. A prediction
-    of probability `least` counts if the line also holds a share `agree` of the n-grams of one of the family's templates.
+    of probability `least` counts if the line also holds a share `agree` of the n-grams of one of the family's templates (and, for a title,
+    half of its own lie in it). A line of a wrapped notice is a piece: of its own n-grams a share `quoted` lies in one template, three or
+    more of them in no other family's.
     """
     spark = docs.sparkSession
     cues = F.array(*map(F.lit, model.single_words()))
     some = lines_of(docs, id_col, text_col).select("id", "version", "pos", words_of(F.col("line")).alias("words")).where(F.arrays_overlap("words", cues))
-    grams = materialize(some.select("id", "version", "pos", n_grams(F.col("words")).alias("grams")))
+    grams = materialize(some.select("id", "version", "pos", n_grams(F.col("words")).alias("grams")).distinct())
     # the weights and templates are literals of this module, so the hints are safe
     each = grams.select("id", "version", "pos", F.explode("grams").alias("gram")).join(F.broadcast(model.table(spark)), "gram")
     raw = each.groupBy("id", "version", "pos").agg(F.array(*[F.sum(F.element_at("weights", k + 1)) + model.intercepts[k] for k in range(len(model.classes))]).alias("raw"))
     lead = raw.select("id", "version", "pos", margin_of(F.col("raw")).alias("lead")).withColumn("top", F.array_max("lead"))
     family = F.element_at(F.array(*map(F.lit, TEMPLATES)), F.array_position("lead", F.col("top")).cast("int"))
     guess = lead.select("id", "version", "pos", family.alias("family"), (1 / (1 + F.exp(-(model.slope * F.col("top") + model.offset)))).alias("probability")).where(F.col("probability") >= least)
-    phrases = template_rows(spark).select(F.col("family").alias("of"), n_grams(F.col("words")).alias("phrase"))
+    phrases = materialize(template_rows(spark).select(F.col("family").alias("of"), "title", n_grams(F.col("words")).alias("phrase")))
     same = [guess[c].eqNullSafe(grams[c]) for c in ("id", "version", "pos")]
     checked = guess.join(grams, same).select(guess["*"], "grams").join(F.broadcast(phrases), F.col("family") == F.col("of"))
-    share = F.size(F.array_intersect("grams", "phrase")) / F.size("phrase")
-    return checked.groupBy("id", "version", "pos", "family", "probability").agg(F.max(share).alias("agreement")).where(F.col("agreement") >= agree)
+    both = F.size(F.array_intersect("grams", "phrase"))
+    share = both / F.size("phrase")
+    fits = ~F.col("title") | (both >= 0.5 * F.size("grams"))
+    whole = checked.where(fits).groupBy("id", "version", "pos", "family", "probability").agg(F.max(share).alias("agreement")).where(F.col("agreement") >= agree)
+    # the n-grams that only one family's templates hold
+    owned = phrases.select("of", F.explode("phrase").alias("gram")).groupBy("gram").agg(F.collect_set("of").alias("who")).where(F.size("who") == 1)
+    owned = owned.groupBy(F.element_at("who", 1).alias("family")).agg(F.collect_set("gram").alias("owned"))
+    lines = phrases.where(~F.col("title")).join(owned, F.col("of") == F.col("family")).select("of", "phrase", "owned")
+    pieces = grams.where(F.size("grams") >= 7).join(F.broadcast(lines), (both >= quoted * F.size("grams")) & (F.size(F.array_intersect(F.array_intersect("grams", "phrase"), "owned")) >= 3))
+    pieces = pieces.groupBy("id", "version", "pos", F.col("of").alias("family")).agg(F.max(both / F.size("grams")).alias("agreement"))
+    out = whole.withColumn("piece", F.lit(False)).unionByName(pieces.select("id", "version", "pos", "family", F.lit(None).cast("double").alias("probability"), "agreement", F.lit(True).alias("piece")))
+    best = out.groupBy("id", "version", "pos", "family").agg(F.max("probability").alias("probability"), F.max(F.when(~F.col("piece"), F.col("agreement"))).alias("of_whole"), F.max("agreement").alias("agreement"), F.min("piece").alias("piece"))
+    return best.select("id", "version", "pos", "family", "probability", F.coalesce("of_whole", "agreement").alias("agreement"), "piece")
 
 
 def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """`docs` with licenses array<string> (families, sorted) and n_notices long.
 
-    A paragraph is a line. Null and empty texts have none. Rows without an id, and repeated rows, are judged by their text like all
+    A notice is a line, or a run of neighbouring lines that are pieces of one family's notices, as in wrapped texts: pieces count
+    once, together with a whole line before or within them. Comment marks do not matter. Null and empty texts have none. Rows without an id, and repeated rows, are judged by their text like all
     others. An empty table gives no rows. Extra columns stay; licenses and n_notices are replaced.
     """
     found = license_lines(docs, train(docs, id_col, text_col), id_col, text_col, **options)
-    found = found.select("id", "version", "pos", "family").distinct().groupBy("id", "version").agg(F.array_sort(F.collect_set("family")).alias("licenses"), F.count("*").alias("n_notices"))
+    before = Window.partitionBy("id", "version", "family").orderBy("pos")
+    goes_on = F.col("piece") & (F.lag("pos").over(before) == F.col("pos") - 1)
+    found = found.select("id", "version", "family", F.coalesce(goes_on, F.lit(False)).alias("goes_on"))
+    found = found.groupBy("id", "version").agg(F.array_sort(F.collect_set("family")).alias("licenses"), F.count_if(~F.col("goes_on")).alias("n_notices"))
     base = packed(docs, id_col, text_col).withColumn("own", F.xxhash64("text"))
     both = base.alias("b").join(found.alias("f"), F.col("b.id").eqNullSafe(F.col("f.id")) & (F.col("own") == F.col("version")), "left")
     none = F.array().cast("array<string>")

@@ -292,6 +292,22 @@ def test_notices_are_found_however_common_they_are(spark):
     assert all(got[100 + i] == (["proprietary"], 1) for i in range(60))
 
 
+WRAPPED = {
+    "bsd": "# Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided that the following conditions are met.",
+    "gpl": " * This program is free software: you can redistribute it and/or modify\n * it under the terms of the GNU General Public License as published by\n * the Free Software Foundation, either version 3 of the License, or\n * any later version.",
+    "mit": "// Permission is hereby granted, free of charge, to any person obtaining a copy\n// of this software and associated documentation files, to deal in the Software\n// without restriction.",
+}
+
+
+def test_wrapped_notices_and_titles(spark):
+    rng = random.Random(8)
+    rows = [(k, t) for k, t in enumerate(WRAPPED.values())] + [(3, "BSD 3-Clause License"), (4, "MIT License"), (5, "The MIT License (MIT)"), (6, "Creative Commons Attribution-NonCommercial 4.0")]
+    rows += [(200 + i, "\n".join(text_of(rng, 12) for _ in range(4))) for i in range(20)]
+    got = {r.doc_id: (r.licenses, r.n_notices) for r in licenses.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[k] for k in range(7)] == [([f], 1) for f in [*WRAPPED, "bsd", "mit", "mit", "cc-by-nc"]]
+    assert all(got[200 + i] == ([], 0) for i in range(20))
+
+
 # ---- pipeline
 
 def brute_pipeline(docs, items):
