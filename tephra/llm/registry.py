@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, licenses, line_dedup, lm, minhash, quality_rules, secrets, toxicity, warc
+from . import bpe, decontaminate, licenses, line_dedup, lm, minhash, quality_rules, secrets, spelling, toxicity, warc
 
-MODULES = (quality_rules, licenses, toxicity, decontaminate, lm, bpe, secrets, warc, minhash, line_dedup)
+MODULES = (quality_rules, licenses, toxicity, decontaminate, lm, bpe, secrets, warc, minhash, line_dedup, spelling)
 
 
 def queries() -> dict:
