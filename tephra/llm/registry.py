@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import bpe, conversations, decontaminate, licenses, line_dedup, lm, minhash, quality_rules, secrets, spelling, toxicity, warc
+from . import bpe, conversations, decontaminate, licenses, line_dedup, lm, minhash, pii, quality_rules, secrets, spelling, toxicity, warc
 
-MODULES = (quality_rules, licenses, toxicity, decontaminate, lm, bpe, secrets, warc, minhash, line_dedup, conversations, spelling)
+MODULES = (quality_rules, licenses, toxicity, decontaminate, lm, bpe, secrets, warc, minhash, line_dedup, pii, conversations, spelling)
 
 
 def queries() -> dict:

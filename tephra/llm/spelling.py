@@ -151,7 +151,8 @@ def near_words(vocabulary: DataFrame) -> DataFrame:
     length = F.least(F.char_length("word"), F.lit(LONG))
     counts = {r.length: r["count"] for r in vocabulary.groupBy(length.alias("length")).count().collect()}
     alphabet = "".join(r.letter for r in vocabulary.select(F.explode(F.array_distinct(F.split("word", ""))).alias("letter")).distinct().collect())   # the letters of a script, not of a corpus
-    held = edits_held(vocabulary, Filters(counts), alphabet)
+    # a word takes hundreds of probes but few bytes, so the words are dealt out by their number, not by the size of their files
+    held = edits_held(vocabulary.repartition(1 + sum(counts.values()) // 50_000), Filters(counts), alphabet)
     # false positives end here
     one = materialize(held.join(vocabulary.select(F.col("word").alias("near"), F.col("n").alias("near_n")), F.col("edit") == F.col("near")).select("word", "n", "near", "near_n"))
     return one.unionByName(one.select(F.col("near").alias("word"), F.col("near_n").alias("n"), F.col("word").alias("near"), F.col("n").alias("near_n")))
