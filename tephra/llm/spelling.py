@@ -87,7 +87,7 @@ def by_length(words: list[str]) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def code_points(words: list[str], length: int) -> np.ndarray:
-    return np.array(words, f"U{length}").view(np.uint32).reshape(len(words), length)
+    return np.array(words, f"U{max(1, length)}").view(np.uint32).reshape(len(words), -1)[:, :length]
 
 
 def filter_bits(vocabulary: DataFrame, filters: Filters) -> np.ndarray:
