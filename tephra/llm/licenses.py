@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import hashed_share, packed, table, unpacked
+from .common import packed, table, unpacked
 
 #: What the notices of each family say.
 TEMPLATES = {
@@ -22,24 +23,46 @@ TEMPLATES = {
     "gpl": ["This work is licensed under the GNU General Public License, version 3.",
             "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or any later version.",
             "You should have received a copy of the GNU General Public License along with this program."],
+    "lgpl": ["This library is licensed under the GNU Lesser General Public License, version 2.1.",
+             "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 2.1 of the License, or any later version.",
+             "You should have received a copy of the GNU Lesser General Public License along with this library."],
+    "mpl": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "Licensed under the Mozilla Public License, version 2.0."],
+    "cc-by": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
+    "cc-by-sa": ["Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
     "cc-by-nc": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
                  "Licensed under the Creative Commons CC BY-NC licence; non-commercial use only, with attribution."],
     "bsd": ["Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met.",
             "Released under the 3-Clause BSD License.", "Use of this source code is governed by a BSD-style license."],
     "proprietary": ["All rights reserved.", "Copyright (c) 2020 the authors. All rights reserved.", "No part of this publication may be reproduced or transmitted without the prior written permission of the publisher."],
 }
-#: Headings and short forms: a line must be little more than one of these.
+#: Headings and short forms: a unit must be little more than one of these.
 TITLES = {
-    "apache": ["Apache License", "Apache License, Version 2.0", "Apache-2.0"],
-    "mit": ["MIT License", "The MIT License (MIT)"],
-    "gpl": ["GNU General Public License", "GNU General Public License, Version 3"],
-    "cc-by-nc": ["Creative Commons Attribution-NonCommercial", "Creative Commons Attribution-NonCommercial 4.0 International", "CC BY-NC 4.0"],
-    "bsd": ["BSD License", "BSD 3-Clause License", "BSD 2-Clause License"],
+    "apache": ["Apache License", "Apache License, Version 2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/", "Apache-2.0", "SPDX-License-Identifier: Apache-2.0"],
+    "mit": ["MIT License", "The MIT License (MIT)", "SPDX-License-Identifier: MIT"],
+    "gpl": ["GNU General Public License", "GNU General Public License, Version 3", "GPL-3.0-or-later", "GPL-2.0-only", "SPDX-License-Identifier: GPL-3.0-or-later", "SPDX-License-Identifier: GPL-2.0-only"],
+    "lgpl": ["GNU Lesser General Public License", "LGPL-2.1-or-later", "SPDX-License-Identifier: LGPL-2.1-or-later"],
+    "mpl": ["Mozilla Public License Version 2.0", "MPL-2.0", "SPDX-License-Identifier: MPL-2.0"],
+    "cc-by": ["Creative Commons Attribution 4.0 International", "CC BY 4.0", "SPDX-License-Identifier: CC-BY-4.0"],
+    "cc-by-sa": ["Creative Commons Attribution-ShareAlike 4.0 International", "CC BY-SA 4.0", "SPDX-License-Identifier: CC-BY-SA-4.0"],
+    "cc-by-nc": ["Creative Commons Attribution-NonCommercial", "Creative Commons Attribution-NonCommercial 4.0 International", "CC BY-NC 4.0", "SPDX-License-Identifier: CC-BY-NC-4.0"],
+    "bsd": ["BSD License", "BSD 3-Clause License", "BSD 2-Clause License", "SPDX-License-Identifier: BSD-3-Clause"],
 }
 UNKNOWN = "unknown"
-#: Words of the templates that any line may hold. All others make a line a candidate, however common they are in a corpus.
-COMMON = set("0 2 3 4 a above all an and any as at be by either except following for foundation free from have if in is it later law may not of on only or part person project provided "
-             "published should substantial terms that the this to under use version with without work you".split())
+#: Notices of other licences, and sentences with the words of notices: what the class unknown is learnt from.
+OTHERS = ["Licensed under the Academic Free License, Version 3.0.", "Academic Free License, Version 3.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License v2.0.", "Eclipse Public License, Version 2.0", "SPDX-License-Identifier: EPL-2.0",
+          "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice appear in all copies.", "ISC License", "SPDX-License-Identifier: ISC",
+          "Distributed under the Boost Software License, Version 1.0.", "Boost Software License, Version 1.0", "This software is provided 'as-is', without any express or implied warranty.", "The zlib License", "SPDX-License-Identifier: Zlib",
+          "This is free and unencumbered software released into the public domain.", "Released under the Unlicense.", "Licensed under the European Union Public Licence, version 1.2.", "The Artistic License 2.0", "Licensed under the Artistic License, version 2.0.",
+          "To the extent possible under law, the author has waived all copyright and related rights to this work.", "CC0 1.0 Universal", "Do what you want to public license", "Licensed under the Open Software License version 3.0.", "SIL Open Font License, Version 1.1",
+          "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.", "Licensed under CC BY-ND 4.0.", "Python Software Foundation License, Version 2", "Microsoft Public License (Ms-PL)",
+          "We discussed all rights reserved for members under the new law.", "The rights of all members are reserved by the council.", "He lost his driving license under the new general rules.", "The apache helicopter was released to the public.",
+          "She studied at MIT and published software there.", "The public may obtain a copy of the report at the office.", "All rights to the land were reserved for the tribe.", "Permission to enter was granted free of charge.",
+          "The general public license fee pays for radio and television.", "The creative commons of the village were used for grazing.", "The notice shall be included in the minutes of the meeting.", "Modification of the source of the river is not permitted.",
+          "Version 2.0 of the program was published in 2004.", "The foundation distributes free copies of the book.", "The binary forms of the words are listed with their sources.", "Attribution of the painting is uncertain.", "Commercial use of the hall needs the permission of the owner.",
+          "A copy of the license must be carried by every person who drives.", "The software is distributed on discs without conditions.", "Part of this publication was transmitted by telegraph.", "The copyright of the authors ends after seventy years."]
+#: Words of the templates that any line may hold. All others make a unit a candidate, however common they are in a corpus.
+COMMON = set("0 1 2 3 4 a above all an and any as at be by c either except following for foundation free from have if in is it later law may not of on only or part person project provided "
+             "published should substantial terms that the this to under use v version with without work you".split())
 
 
 def words_of(line: Column) -> Column:
@@ -57,134 +80,122 @@ def without_third(words: str, k: int) -> Column:
 
 
 def template_rows(spark: SparkSession) -> DataFrame:
-    """(family, title, phrase, line, words): one row for each template."""
-    rows = F.array(*[F.struct(F.lit(f).alias("family"), F.lit(short).alias("title"), F.lit(t).alias("line")) for short, group in ((False, TEMPLATES), (True, TITLES)) for f, texts in group.items() for t in texts])
-    return spark.range(1).select(F.explode(rows).alias("r")).select("r.*", F.monotonically_increasing_id().alias("phrase")).select("family", "title", "phrase", "line", words_of(F.col("line")).alias("words"))
+    """(family, title, line, words, grams, keys): one row for each template; `keys` are its words that no other family's templates hold."""
+    rows = [F.struct(F.lit(f).alias("family"), F.lit(short).alias("title"), F.lit(t).alias("line")) for short, group in ((False, TEMPLATES), (True, TITLES)) for f, texts in group.items() for t in texts]
+    rows += [F.struct(F.lit(UNKNOWN).alias("family"), F.lit(False).alias("title"), F.lit(t).alias("line")) for t in OTHERS]
+    each = spark.range(1).select(F.explode(F.array(*rows)).alias("r")).select("r.*").withColumn("words", words_of(F.col("line")))
+    own = each.where(F.col("family") != UNKNOWN).select("family", F.explode("words").alias("word")).where(~F.col("word").isin(sorted(COMMON))).groupBy("word").agg(F.collect_set("family").alias("who")).where(F.size("who") == 1)
+    own = own.groupBy(F.element_at("who", 1).alias("of")).agg(F.collect_set("word").alias("owned"))
+    each = each.join(own, F.col("family") == F.col("of"), "left")
+    return each.select("family", "title", "line", "words", n_grams(F.col("words")).alias("grams"), F.coalesce(F.array_intersect("words", "owned"), F.array().cast("array<string>")).alias("keys"))
 
 
 class Model:
-    """The fitted machine as small literals: n-gram weights a class, intercepts, calibration. All are bounded by the templates."""
+    """The fitted machine: sparse n-gram vectors, the regression over families and unknown, and the calibration. Its size is that of the templates."""
 
-    def __init__(self, weights: list[tuple[str, list[float]]], intercepts: list[float], classes: list[str], slope: float, offset: float):
-        self.weights, self.intercepts, self.classes, self.slope, self.offset = weights, intercepts, classes, slope, offset
-
-    def table(self, spark: SparkSession) -> DataFrame:
-        rows = F.array(*[F.struct(F.lit(g).alias("gram"), F.array(*map(F.lit, w)).alias("weights")) for g, w in self.weights])
-        return spark.range(1).select(F.explode(rows).alias("r")).select("r.*")
+    def __init__(self, features: list[str], vectors: CountVectorizerModel, classes: LogisticRegressionModel, slope: float, offset: float):
+        self.features, self.vectors, self.classes, self.slope, self.offset = features, vectors, classes, slope, offset
 
     def single_words(self) -> list[str]:
-        return [g for g, _ in self.weights if " " not in g]
-
-
-def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    base = packed(docs, id_col, text_col)
-    return base.select("id", F.xxhash64("text").alias("version"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+        return [g for g in self.features if " " not in g]
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_lines: int = 20_000, l1: float = 0.002) -> Model:
-    """Multinomial logistic regression on template notices against lines of the corpus, a sample of about `max_lines` distinct ones by hash.
+def train(spark: SparkSession, l1: float = 0.0005) -> Model:
+    """Multinomial logistic regression over the families and unknown, learnt from the notices of this module alone, so that it is the same for every corpus.
 
-    Features are the words of the templates that are not in COMMON, whether the corpus has few or many of them, and pairs that hold such a word. The L1 penalty leaves few with a weight. The sample's lines are the class unknown, except those that hold two
-    such words: they may be notices. A second regression turns the margin over unknown into the probability of being a
-    notice at all, fitted on lines and mutilated templates that the first has not seen.
+    Templates count whole, without each third of their words, and, as unknown, without the words that only their family has; OTHERS are
+    unknown. Features are the words of the families' templates that are not in COMMON and pairs that hold such a word, as
+    sparse vectors. A second regression turns the margin over unknown into the probability of being a notice at all, fitted
+    on the two halves that the other half's machine has not seen.
     """
-    spark = docs.sparkSession
-    text = F.col(f"`{text_col}`")
-    total = docs.agg(F.sum(F.char_length(text) - F.char_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1)).first()[0] or 0
-    sample = lines_of(docs, id_col, text_col).select("line").where((F.col("line") != "") & hashed_share(F.col("line"), max_lines, total)).distinct()
-    sample = materialize(sample.select(words_of(F.col("line")).alias("words"), F.pmod(F.xxhash64("line"), F.lit(4)).alias("fold")))
     phrases = materialize(template_rows(spark))
-    grams = phrases.select(F.explode(n_grams(F.col("words"))).alias("gram")).distinct()
-    single = sorted(r.gram for r in grams.where(~F.col("gram").contains(" ")).collect() if r.gram not in COMMON)
-    keys = set(single)
-    features = single + sorted(r.gram for r in grams.where(F.col("gram").contains(" ")).collect() if keys & set(r.gram.split(" ")))
+    grams = phrases.where(F.col("family") != UNKNOWN).select(F.explode("grams").alias("gram")).distinct()
+    found = sorted(r.gram for r in grams.collect())               # of the templates above, not of a corpus
+    single = {g for g in found if " " not in g and g not in COMMON}
+    features = sorted(g for g in found if g in single or " " in g and single & set(g.split(" ")))
     classes = [UNKNOWN, *TEMPLATES]
-    # only a line's own features are looked up: their places make the vector
-    places = F.create_map(*[F.lit(x) for i, g in enumerate(features) for x in (g, i)])
-    own = lambda grams: F.array_intersect(grams, F.array(*map(F.lit, features)))
-    # templates as they are quoted: whole, and without each third of their words
-    cut = F.explode(F.when(F.col("title"), F.array("words")).otherwise(F.array(F.col("words"), *[without_third("words", k) for k in range(3)])))
-    known = phrases.select(F.element_at(F.create_map(*[F.lit(x) for f in TEMPLATES for x in (f, classes.index(f))]), F.col("family")).cast("double").alias("label"), "phrase", cut.alias("words"))
-    known = known.withColumn("fold", F.pmod(F.xxhash64("words"), F.lit(4)))
-    plain = sample.where(F.size(F.array_intersect("words", F.array(*map(F.lit, single)))) < 2).select(F.lit(0.0).alias("label"), F.lit(None).cast("long").alias("phrase"), "words", "fold")
-    few = max(1, plain.count())
-    rows = known.withColumn("weight", F.lit(few / 60.0)).unionByName(plain.withColumn("weight", F.lit(1.0)))
-    rows = materialize(rows.select("label", "weight", "fold", n_grams(F.col("words")).alias("grams")))
-    rows = materialize(rows.select("label", "weight", "fold", F.transform(own(F.col("grams")), lambda g: F.element_at(places, g)).alias("own")))
-    hot = F.transform(F.sequence(F.lit(0), F.lit(len(features) - 1)), lambda i: F.array_contains("own", i).cast("double"))
-    rows = materialize(rows.select("label", "weight", "fold", array_to_vector(hot).alias("features")))
-    fit = lambda part: LogisticRegression(family="multinomial", weightCol="weight", regParam=l1, elasticNetParam=0.9, maxIter=30, standardization=False).fit(part)
-    half = fit(rows.where("fold < 2"))
-    seen_margin = half.transform(rows.where("fold >= 2")).select((F.col("label") > 0).cast("double").alias("label"), "weight", F.array_max(margin_of(vector_to_array("rawPrediction"))).alias("m"))
-    second = LogisticRegression(weightCol="weight", regParam=1e-4, maxIter=30).fit(seen_margin.select("label", "weight", array_to_vector(F.array("m")).alias("features")))
-    final = fit(rows)
-    matrix = final.coefficientMatrix.toArray()
-    weights = [(g, [float(x) for x in matrix[:, i]]) for i, g in enumerate(features) if abs(matrix[:, i]).max() > 1e-9 or " " not in g]
-    return Model(weights, [float(x) for x in final.interceptVector], classes, float(second.coefficients[0]), float(second.intercept))
-
-
-def margin_of(raw: Column) -> Column:
-    """Each class's lead over unknown, which is first."""
-    return F.transform(F.slice(raw, 2, len(TEMPLATES)), lambda x: x - F.element_at(raw, 1))
-
-
-def license_lines(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", least: float = 0.9, agree: float = 0.6, quoted: float = 0.8) -> DataFrame:
-    """(id, version, pos, family, probability, agreement, piece) of the lines taken for notices or pieces of them.
-
-    A line without any of the model's single words has no feature at all and is unknown; only the others are scored. A prediction
-    of probability `least` counts if the line also holds a share `agree` of the n-grams of one of the family's templates (and, for a title,
-    half of its own lie in it). A line of a wrapped notice is a piece: of its own n-grams a share `quoted` lies in one template, three or
-    more of them in no other family's.
+    vectors = CountVectorizerModel.from_vocabulary(features, inputCol="grams", outputCol="features", minTF=0.0)
+    vectors.setBinary(True)
+    whole = F.array(F.struct(F.col("family").alias("of"), F.col("words").alias("words")))
+    cut = F.array(*[F.struct(F.col("family").alias("of"), without_third("words", k).alias("words")) for k in range(3)])
+    bare = F.array(F.struct(F.lit(UNKNOWN).alias("of"), F.array_except("words", "keys").alias("words")))
+    some = F.when(F.col("family") == UNKNOWN, whole).when(F.col("title"), F.concat(whole, F.when(F.size("keys") > 0, bare).otherwise(F.slice(bare, 1, 0)))).otherwise(F.concat(whole, cut, F.when(F.size("keys") > 0, bare).otherwise(F.slice(bare, 1, 0))))
+    rows = phrases.select(F.explode(some).alias("r"), F.pmod(F.xxhash64("line"), F.lit(2)).alias("fold")).select("r.*", "fold")
+    label = F.element_at(F.create_map(*[F.lit(x) for k, c in enumerate(classes) for x in (c, float(k))]), F.col("of"))
+    rows = materialize(rows.select(label.alias("label"), "fold", n_grams(F.col("words")).alias("grams")).repartition(2))
+    rows = vectors.transform(rows).select("label", "fold", "features")
+    fit = lambda part: LogisticRegression(family="multinomial", regParam=l1, elasticNetParam=0.5, maxIter=60, standardization=False).fit(part)
+    seen = [fit(rows.where(F.col("fold") != k)).transform(rows.where(F.col("fold") == k)).select((F.col("label") > 0).cast("double").alias("label"), F.array_max(margin_of(vector_to_array("rawPrediction"), n)).alias("m"))
+            for n, k in ((len(classes) - 1, 0), (len(classes) - 1, 1))]
+    margins = seen[0].unionByName(seen[1])
+    second = LogisticRegression(regParam=1e-3, maxIter=30).fit(margins.select("label", array_to_vector(F.array("m")).alias("features")))
+    return Model(features, vectors, fit(rows), float(second.coefficients[0]), float(second.intercept))
+
+
+def margin_of(raw: Column, n: int) -> Column:
+    """Each family's lead over unknown, which is first."""
+    return F.transform(F.slice(raw, 2, n), lambda x: x - F.element_at(raw, 1))
+
+
+def units_of(text: Column) -> Column:
+    """A text's paragraphs as sentences: comment marks at line starts removed, wrapped lines joined, cut at blank lines and sentence ends."""
+    plain = F.regexp_replace(text, r"(?m)^[ \t]*+(?:#++|//++|/?\*++/?|;++|--++|%++|>++|<!--++)", "")
+    return F.split(plain, r"\n[ \t\r]*+\n|(?<=[.!?;])\s++")
+
+
+def license_units(base: DataFrame, model: Model, least: float = 0.5, agree: float = 0.6, within: float = 0.33) -> DataFrame:
+    """(id, version, pos, family, probability, agreement) of the sentences of `base` (id, version, text) taken for notices.
+
+    A sentence without any of the model's words has no feature and is unknown. Of the others, the family that the regression prefers
+    counts if the calibrated probability of a notice is `least` or more, and the comparison confirms it: of all templates, other licences' included, the one
+    that holds the sentence best (by share of its n-grams, then by their number) must be the family's; at least a share `agree` of its n-grams and half
+    of the words that only its family has must be there; and a short template or title must make up a share `within` (titles: half) of the sentence.
     """
-    spark = docs.sparkSession
+    spark = base.sparkSession
     cues = F.array(*map(F.lit, model.single_words()))
-    some = lines_of(docs, id_col, text_col).select("id", "version", "pos", words_of(F.col("line")).alias("words")).where(F.arrays_overlap("words", cues))
-    grams = materialize(some.select("id", "version", "pos", n_grams(F.col("words")).alias("grams")).distinct())
-    # the weights and templates are literals of this module, so the hints are safe
-    each = grams.select("id", "version", "pos", F.explode("grams").alias("gram")).join(F.broadcast(model.table(spark)), "gram")
-    raw = each.groupBy("id", "version", "pos").agg(F.array(*[F.sum(F.element_at("weights", k + 1)) + model.intercepts[k] for k in range(len(model.classes))]).alias("raw"))
-    lead = raw.select("id", "version", "pos", margin_of(F.col("raw")).alias("lead")).withColumn("top", F.array_max("lead"))
-    family = F.element_at(F.array(*map(F.lit, TEMPLATES)), F.array_position("lead", F.col("top")).cast("int"))
-    guess = lead.select("id", "version", "pos", family.alias("family"), (1 / (1 + F.exp(-(model.slope * F.col("top") + model.offset)))).alias("probability")).where(F.col("probability") >= least)
-    phrases = materialize(template_rows(spark).select(F.col("family").alias("of"), "title", n_grams(F.col("words")).alias("phrase")))
-    same = [guess[c].eqNullSafe(grams[c]) for c in ("id", "version", "pos")]
-    checked = guess.join(grams, same).select(guess["*"], "grams").join(F.broadcast(phrases), F.col("family") == F.col("of"))
-    both = F.size(F.array_intersect("grams", "phrase"))
-    share = both / F.size("phrase")
-    fits = ~F.col("title") | (both >= 0.5 * F.size("grams"))
-    whole = checked.where(fits).groupBy("id", "version", "pos", "family", "probability").agg(F.max(share).alias("agreement")).where(F.col("agreement") >= agree)
-    # the n-grams that only one family's templates hold
-    owned = phrases.select("of", F.explode("phrase").alias("gram")).groupBy("gram").agg(F.collect_set("of").alias("who")).where(F.size("who") == 1)
-    owned = owned.groupBy(F.element_at("who", 1).alias("family")).agg(F.collect_set("gram").alias("owned"))
-    lines = phrases.where(~F.col("title")).join(owned, F.col("of") == F.col("family")).select("of", "phrase", "owned")
-    pieces = grams.where(F.size("grams") >= 7).join(F.broadcast(lines), (both >= quoted * F.size("grams")) & (F.size(F.array_intersect(F.array_intersect("grams", "phrase"), "owned")) >= 3))
-    pieces = pieces.groupBy("id", "version", "pos", F.col("of").alias("family")).agg(F.max(both / F.size("grams")).alias("agreement"))
-    out = whole.withColumn("piece", F.lit(False)).unionByName(pieces.select("id", "version", "pos", "family", F.lit(None).cast("double").alias("probability"), "agreement", F.lit(True).alias("piece")))
-    best = out.groupBy("id", "version", "pos", "family").agg(F.max("probability").alias("probability"), F.max(F.when(~F.col("piece"), F.col("agreement"))).alias("of_whole"), F.max("agreement").alias("agreement"), F.min("piece").alias("piece"))
-    return best.select("id", "version", "pos", "family", "probability", F.coalesce("of_whole", "agreement").alias("agreement"), "piece")
-
-
-def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    each = base.select("id", "version", F.posexplode(units_of(F.col("text"))).alias("pos", "unit")).select("id", "version", "pos", words_of(F.col("unit")).alias("words"))
+    some = each.where(F.arrays_overlap("words", cues)).select("id", "version", "pos", n_grams(F.col("words")).alias("grams"))
+    raw = model.classes.transform(model.vectors.transform(some)).select("id", "version", "pos", "grams", margin_of(vector_to_array("rawPrediction"), len(TEMPLATES)).alias("lead"))
+    top = F.array_max("lead")
+    family = F.element_at(F.array(*map(F.lit, TEMPLATES)), F.array_position("lead", top).cast("int"))
+    guess = raw.select("id", "version", "pos", "grams", family.alias("family"), (1 / (1 + F.exp(-(model.slope * top + model.offset)))).alias("probability")).where(F.col("probability") >= least)
+    phrases = template_rows(spark).select(F.collect_list(F.struct("family", "title", "grams", "keys")).alias("t")).first().t           # the templates above
+    array = lambda xs: F.array(*map(F.lit, xs)).cast("array<string>")
+    known = F.array(*[F.struct(F.lit(t.family).alias("family"), F.lit(t.title).alias("title"), array(t.grams).alias("grams"), array(t["keys"]).alias("keys")) for t in phrases])
+
+    def against(t: Column) -> Column:
+        both = F.size(F.array_intersect("grams", t["grams"]))
+        short = t["title"] | (F.size(t["grams"]) < 10)
+        fits = (~short | (both >= F.when(t["title"], 0.5).otherwise(within) * F.size("grams"))) & (2 * F.size(F.array_intersect("grams", t["keys"])) >= F.size(t["keys"]))
+        return F.when(fits, F.struct((both / F.size(t["grams"])).alias("share"), both.alias("both"), (t["family"] == F.col("family")).alias("same")))
+    best = guess.select("id", "version", "pos", "family", "probability", F.array_max(F.transform(known, against)).alias("best"))
+    return best.where(F.col("best.same") & (F.col("best.share") >= agree)).select("id", "version", "pos", "family", "probability", F.col("best.share").alias("agreement"))
+
+
+def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: bool = True, **options) -> DataFrame:
     """`docs` with licenses array<string> (families, sorted) and n_notices long.
 
-    A notice is a line, or a run of neighbouring lines that are pieces of one family's notices, as in wrapped texts: pieces count
-    once, together with a whole line before or within them. Comment marks do not matter. Null and empty texts have none. Rows without an id, and repeated rows, are judged by their text like all
-    others. An empty table gives no rows. Extra columns stay; licenses and n_notices are replaced.
+    A notice is a sentence of a paragraph, or a run of neighbouring sentences, that names one family; line breaks within a sentence and
+    comment marks do not matter. Null and empty texts have none. Rows without an id, and repeated rows, are judged by their text like all
+    others. Equal leads go to the family listed first. An empty table gives no rows. Extra columns stay; licenses and n_notices are replaced.
+    Without `keep` only id, licenses and n_notices return, and no text is shuffled.
     """
-    found = license_lines(docs, train(docs, id_col, text_col), id_col, text_col, **options)
-    before = Window.partitionBy("id", "version", "family").orderBy("pos")
-    goes_on = F.col("piece") & (F.lag("pos").over(before) == F.col("pos") - 1)
+    base = packed(docs, id_col, text_col).withColumn("version", F.xxhash64("text"))
+    found = license_units(base.select("id", "version", "text").where(F.col("text").isNotNull()), train(docs.sparkSession), **options)
+    # repeated rows find the same sentences
+    found = found.select("id", "version", "family", "pos").distinct()
+    goes_on = F.lag("pos").over(Window.partitionBy("id", "version", "family").orderBy("pos")) == F.col("pos") - 1
     found = found.select("id", "version", "family", F.coalesce(goes_on, F.lit(False)).alias("goes_on"))
-    found = found.groupBy("id", "version").agg(F.array_sort(F.collect_set("family")).alias("licenses"), F.count_if(~F.col("goes_on")).alias("n_notices"))
-    base = packed(docs, id_col, text_col).withColumn("own", F.xxhash64("text"))
-    both = base.alias("b").join(found.alias("f"), F.col("b.id").eqNullSafe(F.col("f.id")) & (F.col("own") == F.col("version")), "left")
-    none = F.array().cast("array<string>")
-    return unpacked(both, docs.columns, licenses=F.coalesce("licenses", none), n_notices=F.coalesce("n_notices", F.lit(0)))
+    found = materialize(found.groupBy("id", "version").agg(F.array_sort(F.collect_set("family")).alias("licenses"), F.count_if(~F.col("goes_on")).alias("n_notices")))
+    own = base if keep else base.select("id", "version")
+    both = own.alias("b").join(found.alias("f"), F.col("b.id").eqNullSafe(F.col("f.id")) & (F.col("b.version") == F.col("f.version")), "left")
+    out = {"licenses": F.coalesce("licenses", F.array().cast("array<string>")), "n_notices": F.coalesce("n_notices", F.lit(0))}
+    return unpacked(both, docs.columns, **out) if keep else both.select(F.col("b.id").alias("id"), *[v.alias(c) for c, v in out.items()])
 
 
 def op2_license_scan(spark, sf_dir):
-    out = license_scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return out.select("doc_id", F.array_join("licenses", ",").alias("licenses"), "n_notices")
+    out = license_scan(table(spark, sf_dir, "documents"), keep=False)
+    return out.select(F.col("id").alias("doc_id"), F.array_join("licenses", ",").alias("licenses"), "n_notices")
 
 
 QUERIES = {"op2_license_scan": op2_license_scan}
