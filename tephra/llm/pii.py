@@ -30,7 +30,7 @@ BEFORE, AFTER = "\"'([{<:=,;", "\"')]}>.,;:!?"
 #: Stripped from words of a context.
 MARKS = ".,;:!?\"'()[]{}<>="
 #: Slots of the table that tells which contexts are worth counting: one byte each, whatever the corpus.
-SLOTS = 1 << 20
+SLOTS = 1 << 18
 
 
 def running(lengths: Column) -> Column:
@@ -135,15 +135,15 @@ def slot_words(texts: DataFrame, patterns: DataFrame) -> DataFrame:
     marked = np.zeros(SLOTS, np.uint8)
     slot = lambda key: F.pmod(key, F.lit(SLOTS))
     bits = patterns.select(slot(F.col("key")).alias("slot")).groupBy(F.expr("slot div 32768").alias("piece")).agg(F.bitmap_construct_agg(F.col("slot") % 32768).alias("bits"))
-    for row in bits.toLocalIterator():                             # 32 rows at most
+    for row in bits.toLocalIterator():                             # eight rows at most
         marked[row.piece * 32768:(row.piece + 1) * 32768] = np.unpackbits(np.frombuffer(row.bits, np.uint8), bitorder="little")
     known = F.lit(bytes(marked))
     words = F.transform(words_of(F.col("text")), bare)
     padded = texts.select(F.concat(F.array(F.lit("^"), F.lit("^")), words, F.array(F.lit("$"), F.lit("$"))).alias("w"))
     windows = padded.select(F.explode(F.arrays_zip(*[F.slice("w", F.lit(k + 1), F.size("w") - 4).alias(c) for k, c in enumerate(("l2", "l1", "at", "r1", "r2"))])).alias("x")).select("x.*")
     keys = windows.where((F.col("at") != "#") & (F.col("at") != "")).select(*[k.alias(f"k{j}") for j, k in enumerate(contexts("l2", "l1", "r1", "r2"))])
-    hit = [F.when(F.substring(known, (slot(F.col(f"k{j}")) + 1).cast("int"), F.lit(1)) == F.lit(b"\x01"), F.col(f"k{j}")) for j in range(3)]
-    counted = keys.select(F.explode(F.array_compact(F.array(*hit))).alias("key")).groupBy("key").agg(F.count("*").alias("words"))
+    each = keys.select(F.explode(F.array("k0", "k1", "k2")).alias("key")).where(F.substring(known, (slot(F.col("key")) + 1).cast("int"), F.lit(1)) == F.lit(b"\x01"))
+    counted = each.groupBy("key").agg(F.count("*").alias("words"))
     return patterns.select("key").join(counted, "key", "left").select("key", F.coalesce("words", F.lit(0)).alias("words"))
 
 
