@@ -159,16 +159,15 @@ def license_units(base: DataFrame, model: Model, least: float = 0.5, agree: floa
     top = F.array_max("lead")
     family = F.element_at(F.array(*map(F.lit, TEMPLATES)), F.array_position("lead", top).cast("int"))
     guess = raw.select("id", "version", "pos", "grams", family.alias("family"), (1 / (1 + F.exp(-(model.slope * top + model.offset)))).alias("probability")).where(F.col("probability") >= least)
-    phrases = template_rows(spark).select(F.collect_list(F.struct("family", "title", "grams", "keys")).alias("t")).first().t           # the templates above
-    array = lambda xs: F.array(*map(F.lit, xs)).cast("array<string>")
-    known = F.array(*[F.struct(F.lit(t.family).alias("family"), F.lit(t.title).alias("title"), array(t.grams).alias("grams"), array(t["keys"]).alias("keys")) for t in phrases])
+    guess = materialize(guess)
+    known = template_rows(spark).agg(F.collect_list(F.struct("family", "title", "grams", "keys")).alias("known"))      # one row, the templates above
 
     def against(t: Column) -> Column:
         both = F.size(F.array_intersect("grams", t["grams"]))
         short = t["title"] | (F.size(t["grams"]) < 10)
         fits = (~short | (both >= F.when(t["title"], 0.5).otherwise(within) * F.size("grams"))) & (2 * F.size(F.array_intersect("grams", t["keys"])) >= F.size(t["keys"]))
         return F.when(fits, F.struct((both / F.size(t["grams"])).alias("share"), both.alias("both"), (t["family"] == F.col("family")).alias("same")))
-    best = guess.select("id", "version", "pos", "family", "probability", F.array_max(F.transform(known, against)).alias("best"))
+    best = guess.join(F.broadcast(known)).select("id", "version", "pos", "family", "probability", F.array_max(F.transform("known", against)).alias("best"))
     return best.where(F.col("best.same") & (F.col("best.share") >= agree)).select("id", "version", "pos", "family", "probability", F.col("best.share").alias("agreement"))
 
 
