@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -88,23 +89,32 @@ def signatures(docs: DataFrame, text_col: str, size: int, tables: int, rows: int
 
 
 def index_rows(classes: DataFrame, tables: int) -> DataFrame:
-    """(key, rep, n, weight, i, j): one row for each table in which a class may meet another.
+    """(key, node, n, weight): one row for each table in which a class may meet another.
 
     A class meets another in table (i, j) only if both bands i and j are shared, so bands that no other class has are set aside
     first. weight is the number of classes behind a class's shared bands: the text that others were copied from has the most.
     """
-    each = classes.select("rep", "n", F.posexplode("bands").alias("band", "value"))
+    each = classes.select("node", "n", F.posexplode("bands").alias("band", "value"))
     met = materialize(each.groupBy("band", "value").agg(F.count("*").alias("size")).where(F.col("size") > 1))   # a table of its own: the join can split a busy band
-    live = (each.join(met, ["band", "value"]).groupBy("rep", "n")
+    live = (each.join(met, ["band", "value"]).groupBy("node", "n")
             .agg(F.sum("size").alias("weight"), F.collect_list(F.when(F.col("band") < tables, F.struct("band", "value"))).alias("us"), F.collect_list(F.when(F.col("band") >= tables, F.struct("band", "value"))).alias("vs")))
-    pairs = live.select("rep", "n", "weight", F.explode("us").alias("u"), "vs").select("rep", "n", "weight", "u", F.explode("vs").alias("v"))
-    return pairs.select(F.xxhash64("u", "v").alias("key"), "rep", "n", "weight", F.col("u.band").alias("i"), (F.col("v.band") - tables).alias("j"))
+    pairs = live.select("node", "n", "weight", F.explode("us").alias("u"), "vs").select("node", "n", "weight", "u", F.explode("vs").alias("v"))
+    return pairs.select(F.xxhash64("u", "v").alias("key"), "node", "n", "weight")
+
+
+def buckets_of(index: DataFrame) -> DataFrame:
+    """(key, members, centre) of the buckets that hold two classes or more, one for each set of members: the many buckets that near copies share are one.
+
+    The centre is the member of greatest weight. Sets are told apart by their size and two 64-bit sums of their members.
+    """
+    each = index.groupBy("key").agg(F.count("*").alias("members"), F.max(F.struct("weight", "node"))["node"].alias("centre"), F.bit_xor(F.xxhash64("node")).alias("s1"), F.bit_xor(F.xxhash64(F.lit(5), "node")).alias("s2"))
+    return each.where(F.col("members") > 1).groupBy("members", "centre", "s1", "s2").agg(F.min("key").alias("key")).select("key", "members", "centre")
 
 
 def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b, shared, total) for pairs (a, b): sizes of the intersection and union of the whole sets."""
-    one = pairs.join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb")), "b")
-    two = one.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa")), "a")
+    one = pairs.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
+    two = one.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
     shared = F.size(F.array_intersect("sa", "sb")).cast("long")
     return two.select("a", "b", shared.alias("shared"), (F.size("sa") + F.size("sb")).alias("sum")).select("a", "b", "shared", (F.col("sum") - F.col("shared")).alias("total"))
 
@@ -131,33 +141,34 @@ def components(links: DataFrame) -> DataFrame:
         mark = now
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80, tables: int = 16, rows: int = 3) -> DataFrame:
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80, tables: int = 16, rows: int = 3, hot: int = 64) -> DataFrame:
     """(id, n_shingles, component_id, kept) for every row of `docs`: groups of texts linked by 100 * intersection >= percent * union of their
     distinct `size`-word shingles (64-bit hashes).
 
-    Rows with equal sets form a class, which stands for its smallest id. Classes meet in tensored tables: with 16 bands of three
+    Rows with equal sets form a class, the node of the graph. Classes meet in tensored tables: with 16 bands of three
     min-hashes a side, a pair at 0.8 is missed with probability 2 * (1 - 0.8 ** 3) ** 16, about 2 in 100,000, and less above. In each
     bucket every class is compared with one centre, the class with most shared bands, never all with all. Where some then still lie in
     another component than the centre, they are compared with one drawn member of each of their buckets. What is left is compared
-    with the rest of its bucket, except where sizes or parity bitmaps prove that a pair cannot link; each pair once, in the
-    first table it shares. So the components are those of all pairs that meet.
+    with the rest of its bucket, except where sizes or parity bitmaps prove that a pair cannot link. Buckets of more than `hot` classes are
+    split for that by second bands (see second_keys()), so that a template's many documents, alike but under the threshold, do not
+    all meet; there a pair at 0.8 is missed with probability 0.03, unless the centre or the drawn member links it.
 
     Null, empty and wordless texts have no shingles and link with nothing, as do rows without an id (component null, kept). Rows that
     repeat an id are one document: linked to what either is, and kept or not alike.
     """
-    found = materialize(signatures(docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")), "text", size, tables, rows))
-    classes = found.where(F.col("id").isNotNull() & F.col("cls").isNotNull()).groupBy("cls").agg(F.min("id").alias("rep"), F.count("*").alias("copies"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("parity").alias("parity"))
+    found = signatures(docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")), "text", size, tables, rows)
+    found = materialize(found.withColumn("node", F.when(F.col("cls").isNotNull(), F.xxhash64("cls"))))
+    classes = found.where(F.col("id").isNotNull() & F.col("cls").isNotNull()).groupBy("node").agg(F.min("id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("parity").alias("parity"))
     classes = materialize(classes)
     index = materialize(index_rows(classes, tables))
-    buckets = index.groupBy("key").agg(F.count("*").alias("members"), F.max(F.struct("weight", -F.col("rep")))["col2"].alias("centre")).where(F.col("members") > 1).withColumn("centre", -F.col("centre"))
-    met = materialize(index.drop("weight").join(materialize(buckets), "key"))
+    met = materialize(index.drop("weight").join(materialize(buckets_of(index)), "key"))
     drop_materialized(index)
-    first = met.where(F.col("rep") != F.col("centre")).select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
-    sets = shingle_sets(docs, met.select("rep").distinct(), classes, id_col, text_col, size)
+    first = met.where(F.col("node") != F.col("centre")).select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
+    sets = shingle_sets(docs, met.select("node").distinct(), classes, id_col, text_col, size)
     linked = lambda df: df.where(100 * F.col("shared") >= percent * F.col("total")).select("a", "b")
-    groups = components(linked(overlaps(first, sets)))
+    groups = components(linked(overlaps(first, sets)).unionByName(one_document(found)))
     open_ = met.where(F.col("members") > 2)                        # a bucket of two is done
-    for pairs in (lambda at: second_stars(at, percent), lambda at: leftover_pairs(at, percent, tables)):
+    for pairs in (lambda at: second_stars(at, percent), lambda at: leftover_pairs(at, sets, percent, hot)):
         more = materialize(linked(overlaps(materialize(pairs(stray_rows(open_, groups, classes))), sets)))
         if more.limit(1).count():                                  # the stars found so far stand for their links
             groups = components(groups.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more))
@@ -166,9 +177,15 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return labelled(found, classes, groups)
 
 
+def one_document(found: DataFrame) -> DataFrame:
+    """(a, b): classes that one id holds, each with the least of them."""
+    several = found.where(F.col("id").isNotNull() & F.col("node").isNotNull()).groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("z")).where(F.col("a") != F.col("z"))
+    return found.join(materialize(several), "id").where(F.col("node") != F.col("a")).select("a", F.col("node").alias("b"))
+
+
 def shingle_sets(docs: DataFrame, wanted: DataFrame, classes: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """(rep, shingles) of the classes that met another."""
-    wanted = wanted.join(classes.select("rep", "cls"), "rep").select("rep", F.col("cls").alias("of_cls"))
+    """(node, shingles) of the classes that met another."""
+    wanted = wanted.join(classes.select("node", "rep"), "node")
     texts = docs.select(F.col(f"`{id_col}`").alias("rep"), F.col(f"`{text_col}`").alias("text")).join(wanted, "rep")
 
     def start():
@@ -179,17 +196,17 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, classes: DataFrame, id_col:
             return [[hashlib.blake2b(s.tobytes(), digest_size=16).hexdigest() for s in sets], [s.view(np.int64) for s in sets]]
         return work
     sets = add_by_text(texts, "text", "cls string, shingles array<long>", start, keep_text=False)
-    return materialize(sets.where(F.col("cls") == F.col("of_cls")).dropDuplicates(["rep"]).select("rep", "shingles"))
+    return materialize(sets.where(F.xxhash64("cls") == F.col("node")).dropDuplicates(["node"]).select("node", "shingles"))
 
 
 def stray_rows(met: DataFrame, groups: DataFrame, classes: DataFrame) -> DataFrame:
-    """The members of buckets that hold some class of another component than the centre's (those are stray), with their parity words and bands."""
+    """The members of buckets that hold some class of another component than the centre's (those are stray), with their parity words."""
     group = lambda of, name: groups.select(F.col("id").alias(of), F.col("component").alias(name))
-    at = met.where(F.col("rep") != F.col("centre")).join(group("rep", "g"), "rep", "left").join(group("centre", "h"), "centre", "left")
-    at = materialize(at.withColumns({"g": F.coalesce("g", "rep"), "h": F.coalesce("h", "centre")}))
+    at = met.where(F.col("node") != F.col("centre")).join(group("node", "g"), "node", "left").join(group("centre", "h"), "centre", "left")
+    at = materialize(at.withColumns({"g": F.coalesce("g", "node"), "h": F.coalesce("h", "centre")}))
     at = at.join(materialize(at.where(F.col("g") != F.col("h")).select("key").distinct()), "key", "left_semi")
     words = [F.get("parity", k).alias(f"p{k}") for k in range(PARITY)]
-    return materialize(at.join(classes.select("rep", "bands", *words), "rep").select("key", "i", "j", "rep", "n", "g", (F.col("g") != F.col("h")).alias("stray"), "bands", *[f"p{k}" for k in range(PARITY)]))
+    return materialize(at.join(classes.select("node", *words), "node").select("key", "members", "node", "n", "g", (F.col("g") != F.col("h")).alias("stray"), *[f"p{k}" for k in range(PARITY)]))
 
 
 def could_link(x: str, y: str, percent: int) -> Column:
@@ -202,27 +219,45 @@ def could_link(x: str, y: str, percent: int) -> Column:
 
 def second_stars(at: DataFrame, percent: int) -> DataFrame:
     """(a, b): in each bucket with strays, members against one drawn by hash, another in every bucket: what links at all mostly finds a link so."""
-    drawn = at.groupBy("key").agg(F.min(F.struct(F.xxhash64("key", "rep").alias("by"), "rep", "n", "g", *[f"p{k}" for k in range(PARITY)])).alias("c"))
+    drawn = at.groupBy("key").agg(F.min(F.struct(F.xxhash64("key", "node").alias("by"), "node", "n", "g", *[f"p{k}" for k in range(PARITY)])).alias("c"))
     pairs = at.alias("x").join(materialize(drawn.select("key", "c.*")).alias("y"), (F.col("x.key") == F.col("y.key")) & could_link("x", "y", percent))
-    return pairs.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
-
-
-def leftover_pairs(at: DataFrame, percent: int, tables: int) -> DataFrame:
-    """(a, b): pairs of a stray and a member of its bucket that could still link, each in the first table it shares."""
-    def first_equal(start: int) -> Column:
-        return F.array_position(F.zip_with(F.slice("x.bands", start + 1, tables), F.slice("y.bands", start + 1, tables), lambda p, q: p == q), True) - 1
-    x, y = at.where("stray").alias("x"), at.alias("y")
-    fits = (F.col("x.rep") != F.col("y.rep")) & (~F.col("y.stray") | (F.col("x.rep") < F.col("y.rep"))) & could_link("x", "y", percent)
-    both = x.join(y, (F.col("x.key") == F.col("y.key")) & fits & (first_equal(0) == F.col("x.i")) & (first_equal(tables) == F.col("x.j")))
-    return both.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"))
+    return pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+
+
+def second_keys(sets: DataFrame, bands: int = 128, rows: int = 16) -> DataFrame:
+    """(key, node): `bands` further bands of `rows` min-hashes each, for the members of large buckets alone. A pair at 0.8 shares one with probability
+    1 - (1 - 0.8 ** 16) ** 128, 0.97; a pair at 0.56 with 0.01, where two bands of the index let nine in ten meet."""
+    def work(batches):
+        both = Collections(bands // 2, rows, seed=21)
+        for batch in batches:
+            for node, values in zip(batch.column(0).to_pylist(), batch.column(1)):
+                keys = both.bands(values.values.to_numpy().view(np.uint64)) ^ np.arange(bands)
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.full(bands, node))], names=["key", "node"])
+    return sets.select("node", "shingles").mapInArrow(work, "key long, node long")
+
+
+def leftover_pairs(at: DataFrame, sets: DataFrame, percent: int, hot: int) -> DataFrame:
+    """(a, b): pairs of a stray and another class that could still link: all of a bucket, and in a bucket of more than `hot` classes those that share a second band."""
+    def met(rows: DataFrame) -> DataFrame:
+        x, y = rows.where("stray").alias("x"), rows.alias("y")
+        fits = (F.col("x.node") != F.col("y.node")) & (~F.col("y.stray") | (F.col("x.node") < F.col("y.node"))) & could_link("x", "y", percent)
+        return x.join(y, (F.col("x.key") == F.col("y.key")) & fits).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+    crowded = at.where(F.col("members") > hot)
+    once = materialize(crowded.groupBy("node").agg(F.first("n").alias("n"), F.first("g").alias("g"), F.max("stray").alias("stray"), *[F.first(f"p{k}").alias(f"p{k}") for k in range(PARITY)]))
+    keys = materialize(second_keys(sets.join(once.select("node"), "node")))
+    shared = materialize(keys.groupBy("key").agg(F.count("*").alias("size")).where(F.col("size") > 1).select("key"))
+    again = materialize(keys.join(shared, "key").join(once, "node"))
+    return met(at.where(F.col("members") <= hot)).unionByName(met(again)).distinct()
 
 
 def labelled(found: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFrame:
-    """Each row with its component; classes of one row that link with nothing join nothing."""
-    named = classes.select("cls", "rep", "copies").join(groups.withColumnRenamed("id", "rep"), "rep", "left").where(F.col("component").isNotNull() | (F.col("copies") > 1))
-    named = named.select(F.col("cls").alias("of_cls"), F.coalesce("component", "rep").alias("component"))
-    out = found.select("id", "n_shingles", "cls").join(named, F.col("cls") == F.col("of_cls"), "left")
-    component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
+    """Each row with the smallest id of its component; a class that links with nothing is a component."""
+    of = classes.select("node", "rep").join(groups.withColumnRenamed("id", "node"), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    of = materialize(of)
+    least = materialize(of.groupBy("component").agg(F.min("rep").alias("least"), F.count("*").alias("classes")).where(F.col("classes") > 1))
+    named = of.join(least, "component", "left").select(F.col("node").alias("of_node"), F.coalesce("least", "rep").alias("component_id"))
+    out = found.select("id", "n_shingles", "node").join(named, F.col("node") == F.col("of_node"), "left")
+    component = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))
     return out.select("id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
 
 

@@ -347,3 +347,43 @@ def test_pipeline_matches_plain_python(spark, tmp_path):
     docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
     for name, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, str(tmp_path)).columns == docs.columns, name
+
+
+def test_a_document_of_two_texts_joins_both_groups(spark):
+    rng = random.Random(4)
+    a, b = text_of(rng, 60), text_of(rng, 60)
+    near = lambda t, w: " ".join([*t.split()[:-1], w])
+    for order in (0, 1):
+        rows = [(1, a), (1, b)][::1 - 2 * order] + [(2, near(b, "other")), (3, near(a, "word")), (4, text_of(rng, 60))]
+        got = {(r.id, r.component_id) for r in minhash.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        assert got == {(1, 1), (2, 1), (3, 1), (4, 4)}
+
+
+def template_docs(n, rng):
+    """Texts that share 72 percent of their words' pairs with a template, so about 0.56 with each other."""
+    common = [f"t{i}" for i in range(100)]
+    return [(k, " ".join([*common, *[f"d{k}x{rng.randrange(10**6)}" for _ in range(39)]])) for k in range(n)]
+
+
+def test_a_template_under_the_threshold_does_not_pair_all(spark, monkeypatch):
+    counted = []
+    plain = minhash.overlaps
+    monkeypatch.setattr(minhash, "overlaps", lambda pairs, sets: counted.append(pairs.count()) or plain(pairs, sets))
+    totals = {}
+    for n in (150, 600):
+        counted.clear()
+        out = minhash.near_groups(spark.createDataFrame(template_docs(n, random.Random(6)), "doc_id long, text string").repartition(2), size=2)
+        assert out.where("kept").count() == n
+        totals[n] = sum(counted)
+    assert totals[600] <= 6 * totals[150] and totals[600] < 600 * 599 / 20
+
+
+def test_second_keys_find_nine_in_ten_at_the_threshold(spark):
+    rng = np.random.default_rng(5)
+    pairs = []
+    for k in range(150):
+        shared = rng.integers(-2**62, 2**62, 160)
+        pairs += [(2 * k, [*map(int, shared), *map(int, rng.integers(-2**62, 2**62, 20))]), (2 * k + 1, [*map(int, shared), *map(int, rng.integers(-2**62, 2**62, 20))])]
+    keys = minhash.second_keys(spark.createDataFrame(pairs, "node long, shingles array<long>"))
+    met = keys.selectExpr("key", "node div 2 as pair").groupBy("key", "pair").count().where("count > 1").select("pair").distinct().count()
+    assert met >= 135
