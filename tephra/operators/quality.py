@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from ..functions.ordered import by_time, covering_versions, ordered_scan, asof_join
 
 
@@ -36,18 +37,36 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str
     return counts.join(known, "value", "left_anti").withColumn("severity", F.lit(severity))
 
 
+# What the checks of versions and of boots say.
+EMPTY, SEVERAL_OPEN, OPEN_NOT_LAST = "empty or inverted window", "more than one open row", "open row is not the last"
+OVERLAP, GAP = "overlaps the next version", "gap before the next version"
+NO_PHASE, NO_START, HAS_START = "boot 0 without a phase", "wrapper-anchored boot without t_start_vllm", "init-anchored boot with a t_start_vllm"
+PASSES_DISAGREE = "graph passes and graph_capture_s disagree"
+
+
 def window_violations(history: DataFrame, key: str, *, valid_from: str = "valid_from", valid_to: str = "valid_to",
                       allow_gaps: bool = False, unit: str = "day") -> DataFrame:
-    """Versions whose half-open windows are empty, overlap, leave a gap, or are open but not last."""
-    opened = history.where(F.col(valid_to).isNull()).groupBy(key).agg(F.count("*").alias("_n_open"))
-    nxt = ordered_scan(history.withColumn("_tie", F.coalesce(valid_to, F.lit("9999-12-31").cast("timestamp"))),
-                       [key], [valid_from, "_tie"], by_time(valid_from, unit), lead={"_next": F.col(valid_from)}).drop("_tie")
-    begins, ends, next_begins = F.col(valid_from), F.col(valid_to), F.col("_next")
-    rules = [("does not end after it begins", ends <= begins), ("several rows are open", F.col("_n_open") > 1), ("open, but a later row follows", ends.isNull() & next_begins.isNotNull()),
-             ("ends after the next row begins", next_begins < ends)] + ([] if allow_gaps else [("ends before the next row begins", next_begins > ends)])
-    broken = F.array_compact(F.array(*[F.when(test, F.lit(says)) for says, test in rules]))
-    found = nxt.join(opened, key, "left").withColumn("violation", F.get(broken, 0))
-    return found.where(F.col("violation").isNotNull()).drop("_next", "_n_open")
+    """Versions whose half-open windows are empty, overlap, leave a gap, or are open but not last; the first that holds, in that order.
+
+    A sweep over each key's timeline counts how many versions have begun: by a version's own begin (its number), before its end, and by
+    its end. Others that begin before a version ends overlap it; where none has begun by its end and more are to come, there is a gap.
+    """
+    never = F.lit("9999-12-31").cast("timestamp")
+    rows = materialize(history.withColumn("_row", F.monotonically_increasing_id()))
+    mark = lambda at, side: F.struct(at.alias("_at"), F.lit(side).alias("_side"))
+    begin, end = F.col(valid_from), F.coalesce(F.col(valid_to), never)
+    line = rows.select(key, "_row", end.alias("_tie"), F.explode(F.array(mark(end, 0), mark(begin, 1), mark(end, 2))).alias("_m")).select(key, "_row", "_tie", "_m.*")
+    swept = ordered_scan(line, [key], ["_at", "_side", "_tie", "_row"], by_time("_at", unit), running_sum={"_begun": (F.col("_side") == 1).cast("int")})
+    begun = lambda side: F.max(F.when(F.col("_side") == side, F.col("_begun")))
+    counts = swept.groupBy("_row").agg(begun(0).alias("_before_end"), begun(1).alias("_number"), begun(2).alias("_by_end"))
+    of_key = rows.groupBy(key).agg(F.count("*").alias("_n"), F.count_if(F.col(valid_to).isNull()).alias("_n_open"))
+    more = F.col("_n") > F.col("_number")
+    says = (F.when(F.col(valid_to) <= begin, EMPTY).when(F.col("_n_open") > 1, SEVERAL_OPEN).when(F.col(valid_to).isNull() & more, OPEN_NOT_LAST)
+            .when(F.col("_before_end") > F.col("_number"), OVERLAP))
+    if not allow_gaps:
+        says = says.when(more & (F.col("_by_end") == F.col("_number")), GAP)
+    found = rows.join(counts, "_row").join(of_key, key).withColumn("violation", says)
+    return found.where(F.col("violation").isNotNull()).select(*history.columns, "violation")
 
 
 def uncovered_observations(observations: DataFrame, history: DataFrame, key: str, at: str, ids: Sequence[str], *,
@@ -134,15 +153,15 @@ def unconverted_local_times(events: DataFrame, lines: DataFrame) -> DataFrame:
 
 
 def segmentation_violations(boots: DataFrame) -> DataFrame:
-    """Boot rows that break the segmentation rules, one row per broken rule."""
-    opened, started = F.col("segmented_by"), F.col("t_start_vllm").isNotNull()
-    nothing = F.coalesce("weights_load_s", "start_to_api_ready_s", "init_engine_s", "graph_capture_s").isNull()
-    tests = [("leading lines without any phase count as a boot", (F.col("boot_index") == 0) & nothing),
-             ("opened by the wrapper, but has no start time", ~started & opened.startswith("Starting vLLM")),
-             ("opened by the engine, but has a start time", started & opened.startswith("Initializing")),
-             ("time and number of graph passes contradict each other", F.col("graph_capture_s").isNull() == (F.col("n_graph_passes") > 0))]
-    said = F.array_compact(F.array(*[F.when(test, F.lit(says)) for says, test in tests]))
-    return boots.select("source_file", "worker_id", "boot_index", "segmented_by", F.explode(said).alias("problem"))
+    """Boot rows that are not what their opener and their counts make them expect, one row per facet that differs; null expects nothing."""
+    opener = F.col("segmented_by")
+    phases = F.coalesce("weights_load_s", "start_to_api_ready_s", "init_engine_s", "graph_capture_s").isNotNull()
+    expected = {"phase": F.when(F.col("boot_index") == 0, True), "start": F.when(opener.startswith("Starting vLLM"), True).when(opener.startswith("Initializing"), False), "capture": F.col("n_graph_passes") > 0}
+    found = {"phase": phases, "start": F.col("t_start_vllm").isNotNull(), "capture": F.col("graph_capture_s").isNotNull()}
+    says = {"phase": F.lit(NO_PHASE), "start": F.when(expected["start"], NO_START).otherwise(HAS_START), "capture": F.lit(PASSES_DISAGREE)}
+    facets = F.array(*[F.struct(expected[k].alias("expected"), found[k].alias("found"), says[k].alias("problem")) for k in expected])
+    each = boots.select("source_file", "worker_id", "boot_index", "segmented_by", F.inline(facets))
+    return each.where(F.col("expected") != F.col("found")).drop("expected", "found")
 
 
 def unbounded_mismatches(summaries: DataFrame) -> DataFrame:
