@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import packed, table, unpacked
+from .common import let, packed, table, unpacked
 
 #: What the notices of each family say.
 TEMPLATES = {
@@ -65,8 +65,12 @@ COMMON = set("0 1 2 3 4 a above all an and any as at be by c either except follo
              "published should substantial terms that the this to under use v version with without work you".split())
 
 
+#: What parts words: ASCII control characters and marks, and the marks of print.
+PARTING = "".join(chr(c) for c in range(128) if not chr(c).isalnum()) + "\u00a0«»©®·–—‘’“”„•…™"
+
+
 def words_of(line: Column) -> Column:
-    return F.array_remove(F.split(F.lower(line), r"[^\p{L}\p{N}]+"), "")
+    return F.array_remove(F.split(F.translate(F.lower(line), PARTING, " " * len(PARTING)), " "), "")
 
 
 def n_grams(words: Column) -> Column:
@@ -146,7 +150,8 @@ def units_of(text: Column) -> Column:
 def license_units(base: DataFrame, model: Model, least: float = 0.5, agree: float = 0.6, within: float = 0.33) -> DataFrame:
     """(id, version, pos, family, probability, agreement) of the sentences of `base` (id, version, text) taken for notices.
 
-    A sentence without any of the model's words has no feature and is unknown. Of the others, the family that the regression prefers
+    A sentence without any of the model's words has no feature and is unknown; so is a longer one with a single such word, since every template that
+    is not a title has several. Of the others, the family that the regression prefers
     counts if the calibrated probability of a notice is `least` or more, and the comparison confirms it: of all templates, other licences' included, the one
     that holds the sentence best (by share of its n-grams, then by their number) must be the family's; at least a share `agree` of its n-grams and half
     of the words that only its family has must be there; and a short template or title must make up a share `within` (titles: half) of the sentence.
@@ -154,21 +159,23 @@ def license_units(base: DataFrame, model: Model, least: float = 0.5, agree: floa
     spark = base.sparkSession
     cues = F.array(*map(F.lit, model.single_words()))
     each = base.select("id", "version", F.posexplode(units_of(F.col("text"))).alias("pos", "unit")).select("id", "version", "pos", words_of(F.col("unit")).alias("words"))
-    some = each.where(F.arrays_overlap("words", cues)).select("id", "version", "pos", n_grams(F.col("words")).alias("grams"))
+    some = each.where(F.arrays_overlap("words", cues)).where((F.size("words") <= 16) | (F.size(F.array_intersect("words", cues)) > 1)).select("id", "version", "pos", n_grams(F.col("words")).alias("grams"))
     raw = model.classes.transform(model.vectors.transform(some)).select("id", "version", "pos", "grams", margin_of(vector_to_array("rawPrediction"), len(TEMPLATES)).alias("lead"))
+    raw = materialize(raw)                                         # else the filter below scores every sentence a second time
     top = F.array_max("lead")
     family = F.element_at(F.array(*map(F.lit, TEMPLATES)), F.array_position("lead", top).cast("int"))
     guess = raw.select("id", "version", "pos", "grams", family.alias("family"), (1 / (1 + F.exp(-(model.slope * top + model.offset)))).alias("probability")).where(F.col("probability") >= least)
-    guess = materialize(guess)
     known = template_rows(spark).agg(F.collect_list(F.struct("family", "title", "grams", "keys")).alias("known"))      # one row, the templates above
 
     def against(t: Column) -> Column:
-        both = F.size(F.array_intersect("grams", t["grams"]))
         short = t["title"] | (F.size(t["grams"]) < 10)
-        fits = (~short | (both >= F.when(t["title"], 0.5).otherwise(within) * F.size("grams"))) & (2 * F.size(F.array_intersect("grams", t["keys"])) >= F.size(t["keys"]))
-        return F.when(fits, F.struct((both / F.size(t["grams"])).alias("share"), both.alias("both"), (t["family"] == F.col("family")).alias("same")))
+        own = lambda: 2 * F.size(F.array_intersect("grams", t["keys"])) >= F.size(t["keys"])
+        # most templates share less than the least share with a sentence, and are done with one intersection
+        return let(F.size(F.array_intersect("grams", t["grams"])), lambda both: F.when(
+            (both >= agree * F.size(t["grams"])) & (~short | (both >= F.when(t["title"], 0.5).otherwise(within) * F.size("grams"))) & own(),
+            F.struct((both / F.size(t["grams"])).alias("share"), both.alias("both"), (t["family"] == F.col("family")).alias("same"))))
     best = guess.join(F.broadcast(known)).select("id", "version", "pos", "family", "probability", F.array_max(F.transform("known", against)).alias("best"))
-    return best.where(F.col("best.same") & (F.col("best.share") >= agree)).select("id", "version", "pos", "family", "probability", F.col("best.share").alias("agreement"))
+    return best.where("best.same").select("id", "version", "pos", "family", "probability", F.col("best.share").alias("agreement"))
 
 
 def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: bool = True, **options) -> DataFrame:
