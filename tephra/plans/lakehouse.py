@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.redaction import PATTERNS
@@ -80,23 +80,36 @@ def _stop_on(rows: DataFrame, what: str) -> None:
         raise BuildError(f"{what}: " + "; ".join(str(r.asDict()) for r in some))
 
 
-def build_manifest(lake: Lake, rules: Sequence[landing.Rule], roots: Sequence[str]) -> int:
+def build_manifest(lake: Lake, rules: Sequence[landing.Rule], roots: Sequence[str], *, reread: bool = False) -> int:
     """List the landed files below each root and record what they are; files must hold no credential.
 
-    Entries of other roots stay as the manifest has them. Returns the number of entries of `roots`.
+    Only files that are new, or whose size, time or dataset is not the recorded one, are opened (`reread`: all); other entries stay, as do
+    those of other roots. Returns the number of entries of `roots`.
     """
-    parts = []
-    for root in roots:
-        files = landing.scan(lake.spark, f"{lake.landing}/{root}")
-        parts.append(landing.manifest_entries(landing.discover(files, root, rules), PATTERNS).drop("landed"))
-    entries = materialize(bronze.evolve(parts).withColumn("listed_at", F.current_timestamp()))
     path = lake.path("landing", "manifest")
-    merged = bronze.load(lake.spark, path, entries.schema)
+    old = bronze.load(lake.spark, path)
+    if old is not None and "expected" not in old.columns:
+        old = old.limit(0).withColumn("expected", F.lit(None).cast(EXPECTED))       # recorded before row counts were: all is read again
+    key = lambda size: [F.col("source_relpath").alias("relpath"), F.col("dataset"), F.col(size).alias("bytes"), landing.at_time("mtime_utc").alias("_at")]
+    parts, total = [], 0
     for root in roots:
-        merged = landing.merge_manifest(merged, entries.where(F.col("source_root") == root), root)
-    bronze.overwrite(materialize(merged), path, F.col("listed_at"), stamp="listed_at")    # written aside first: the old manifest is one of its sources
+        folder = f"{lake.landing}/{root}"
+        files = materialize(landing.discover(landing.listed(lake.spark, folder), root, rules))
+        total += files.count()
+        fresh = files.withColumn("_at", landing.at_time("mtime_utc"))
+        if old is not None and not reread:
+            mine = old.where(F.col("source_root") == root)
+            same = mine.select(*key("bytes_source"), "source_relpath").join(fresh.select("relpath", "dataset", "bytes", "_at"), ["relpath", "dataset", "bytes", "_at"], "left_semi")
+            parts.append(mine.join(same.select("source_relpath"), "source_relpath", "left_semi"))
+            fresh = fresh.join(mine.select(*key("bytes_source")), ["relpath", "dataset", "bytes", "_at"], "left_anti")
+        fresh = materialize(fresh.drop("_at"))
+        found = landing.discover(landing.opened(lake.spark, folder, fresh.drop("dataset", "source_root")), root, rules)
+        entries = landing.manifest_entries(found, PATTERNS)
+        parts.append(entries.withColumns({"expected": expected_of(F.col("dataset"), F.col("landed")), "listed_at": F.current_timestamp()}).drop("landed"))
+    others = [old.where(~F.col("source_root").isin(list(roots)))] if old is not None else []
+    bronze.overwrite(materialize(bronze.evolve([*parts, *others])), path, F.col("listed_at"), stamp="listed_at")    # written aside first: the old manifest is one of its sources
     _stop_on(lake.manifest().where("cardinality(redactions) > 0").select("landed_relpath", "redactions"), "unredacted credentials in the landing folder")
-    return entries.count()
+    return total
 
 
 def _paths(lake: Lake, files: DataFrame) -> list[str]:
@@ -104,11 +117,11 @@ def _paths(lake: Lake, files: DataFrame) -> list[str]:
     return [f"{lake.landing}/{r.source_file}" for r in files.select("source_file").distinct().toLocalIterator()]
 
 
-def expected_rows(lake: Lake) -> DataFrame:
-    """(table, file, sha, expected_rows), counted from the landed text apart from the readers."""
-    files = landing.scan(lake.spark, lake.landing).select(F.col("relpath").alias("source_file"), "sha256", "text")
-    m = landing.snapshot(lake.manifest()).join(files, "source_file").where("sha256 = source_sha256")
-    text = F.col("text")
+EXPECTED = "array<struct<table:string,expected_rows:bigint>>"
+
+
+def expected_of(dataset: Column, text: Column) -> Column:
+    """How many rows of which tables a file's text must give, counted apart from the readers."""
     lines = F.regexp_count(text, F.lit("\r\n|\r|\n")) + F.when((F.length(text) == 0) | text.endswith("\n") | text.endswith("\r"), 0).otherwise(1)
     csv_text = F.regexp_replace(text, r'"[^"]*"', "q")
     csv_lines = F.greatest(F.regexp_count(csv_text, F.lit(r"(?m)^.+$")) - 1, F.lit(0))     # an empty file has no header either
@@ -117,14 +130,33 @@ def expected_rows(lake: Lake) -> DataFrame:
     n_records = F.aggregate(F.coalesce(runs, F.array().cast("array<struct<records:array<string>>>")), F.lit(0),
                             lambda a, r: a + F.greatest(F.coalesce(F.size(r["records"]), F.lit(0)), F.lit(0)))
     one = lambda table, n: F.struct(F.lit(table).alias("table"), n.cast("bigint").alias("expected_rows"))
-    per = (F.when(F.col("dataset") == "coldstart_series", F.array(one("series_docs", F.lit(1)), one("series_runs", n_runs)))
-           .when(F.col("dataset") == "sweep", F.filter(F.array(one("sweep_runs", n_runs), one("sweep_records", n_records)),
-                                                       lambda x: (x["table"] == "sweep_runs") | (x["expected_rows"] > 0)))
-           .when(F.col("dataset") == "worker_log", F.array(one("log_lines", lines))))
-    for dataset, tables in FEEDS.items():
+    per = (F.when(dataset == "coldstart_series", F.array(one("series_docs", F.lit(1)), one("series_runs", n_runs)))
+           .when(dataset == "sweep", F.filter(F.array(one("sweep_runs", n_runs), one("sweep_records", n_records)),
+                                              lambda x: (x["table"] == "sweep_runs") | (x["expected_rows"] > 0)))
+           .when(dataset == "worker_log", F.array(one("log_lines", lines))))
+    for name, tables in FEEDS.items():
         if tables[0] in readers.CSV_COLUMNS:
-            per = per.when(F.col("dataset") == dataset, F.array(one(tables[0], csv_lines)))
-    return m.select("source_file", "source_sha256", F.inline(per))
+            per = per.when(dataset == name, F.array(one(tables[0], csv_lines)))
+    return per.cast(EXPECTED)
+
+
+def expected_rows(lake: Lake) -> DataFrame:
+    """(table, file, sha, expected_rows), as the manifest recorded them when it read the files."""
+    return lake.manifest().select(F.col("landed_relpath").alias("source_file"), F.col("sha256_landed").alias("source_sha256"), F.inline("expected"))
+
+
+def landed_problems(lake: Lake, fresh: DataFrame | None = None) -> DataFrame:
+    """Files that the manifest lists and that are gone or changed. Opened are those whose size or time differs from the record, and those
+    of `fresh` (source_file), which are about to be read anyway."""
+    files = materialize(landing.listed(lake.spark, lake.landing))
+    gone = landing.snapshot(lake.manifest()).join(files.select(F.col("relpath").alias("source_file")), "source_file", "left_anti")
+    doubtful = landing.touched(lake.manifest(), files)
+    if fresh is not None:
+        doubtful = doubtful.unionByName(files.join(fresh.select(F.col("source_file").alias("relpath")).distinct(), "relpath", "left_semi")).distinct()
+    doubtful = materialize(doubtful)
+    read = landing.opened(lake.spark, lake.landing, doubtful)
+    listed = lake.manifest().join(doubtful.select(F.col("relpath").alias("landed_relpath")), "landed_relpath", "left_semi")
+    return gone.select("source_file", F.lit("missing").alias("problem")).unionByName(landing.checksum_problems(listed, read))
 
 
 def _read(lake: Lake, table: str, files: DataFrame) -> DataFrame | None:
@@ -141,23 +173,29 @@ def _read(lake: Lake, table: str, files: DataFrame) -> DataFrame | None:
 def ingest(lake: Lake, run_label: str, *, force: bool = False) -> dict[str, int]:
     """Append what the manifest lists and the raw tables lack; returns rows appended per table ("ledger", "reconciled" too).
 
-    Raw rows are keyed by (file, checksum): running it again appends nothing. A run that died between a data
+    Raw rows are keyed by (file, checksum): running it again appends nothing and opens no file. A file is opened where it is new to the raw
+    layer, or where its size or time is not the one in the manifest. A run that died between a data
     append and the ledger append is repaired at the end of the next one.
     """
     spark = lake.spark
-    _stop_on(landing.checksum_problems(lake.manifest(), landing.scan(spark, lake.landing)), "landed files differ from the manifest")
     now = F.lit(datetime.now(timezone.utc).replace(tzinfo=None)).cast("timestamp")
     expected = materialize(expected_rows(lake))
     ledger_now = bronze.load(spark, lake.path("raw", "ledger"))
     done: dict[str, int] = {}
     entries = []
+    # written out before the appends: what counts as new must not change while the tables grow
+    parts = []
     for table in RAW_TABLES:
         want = expected.where(F.col("table") == table).select(*bronze.VERSION)
         known = bronze.known_versions(bronze.load(spark, lake.path("raw", table)), ledger_now, table)
-        # written out before the append: what counts as new must not change while the table grows
-        fresh = materialize(bronze.new_versions(want, known, force))
-        if fresh.isEmpty():
+        parts.append(bronze.new_versions(want, known, force).withColumn("table", F.lit(table)))
+    new = materialize(bronze.evolve(parts))
+    _stop_on(landed_problems(lake, new), "landed files differ from the manifest")
+    waiting = {r.table for r in new.select("table").distinct().collect()}
+    for table in RAW_TABLES:
+        if table not in waiting:
             continue
+        fresh = new.where(F.col("table") == table).drop("table")
         rows = _read(lake, table, fresh)                           # None: only files without a line, which get their ledger rows all the same
         done[table] = 0 if rows is None else bronze.append(bronze.add_lineage(rows, fresh, run_label, now), lake.path("raw", table))
         mine = lake.raw(table).where((F.col("run_label") == run_label) & (F.col("ingested_at") == now)).select(F.lit(table).alias("table"), *bronze.VERSION)

@@ -29,22 +29,41 @@ def forbidden(name: Column) -> Column:
     return name.rlike("^(" + "|".join(FORBIDDEN) + ")$")
 
 
-def scan(spark: SparkSession, folder: str, glob: str | None = None) -> DataFrame:
-    """Every file below `folder` with its bytes: relpath, name, bytes, mtime, sha256, text."""
+def listed(spark: SparkSession, folder: str, glob: str | None = None) -> DataFrame:
+    """Every file below `folder` without its bytes: relpath, name, bytes, mtime. No file is opened."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     f = reader.load(folder)
-    rows = f.select(below(folder).alias("relpath"), F.col("_metadata.file_name").alias("name"), F.col("length").alias("bytes"),
-                    F.col("modificationTime").alias("mtime_utc"), F.sha2("content", 256).alias("sha256"), F.decode("content", "UTF-8").alias("text"))
+    rows = f.select(below(folder).alias("relpath"), F.col("_metadata.file_name").alias("name"), F.col("length").alias("bytes"), F.col("modificationTime").alias("mtime_utc"))
     # a scan skips zero-byte files; the file index it keeps on the driver still names them
     named = spark.createDataFrame([(p,) for p in f.inputFiles()], "path string").select(below(folder, "path").alias("relpath"))
     empty = named.join(f.select(below(folder).alias("relpath")), "relpath", "left_anti").select(
-        "relpath", F.element_at(F.split("relpath", "/"), -1).alias("name"), F.lit(0).cast("bigint").alias("bytes"),
-        F.lit(None).cast("timestamp").alias("mtime_utc"), F.sha2(F.lit("").cast("binary"), 256).alias("sha256"), F.lit("").alias("text"))
+        "relpath", F.element_at(F.split("relpath", "/"), -1).alias("name"), F.lit(0).cast("bigint").alias("bytes"), F.lit(None).cast("timestamp").alias("mtime_utc"))
     return rows.unionByName(empty)
 
 
+def opened(spark: SparkSession, folder: str, files: DataFrame) -> DataFrame:
+    """`files` (rows of listed()) with sha256 and text: these files are read whole, and no others."""
+    paths = [f"{folder}/{r.relpath}" for r in files.where("bytes > 0").select("relpath").toLocalIterator()]       # names, as the file index of any scan holds them
+    none = files.where("bytes = 0").select("*", F.sha2(F.lit("").cast("binary"), 256).alias("sha256"), F.lit("").alias("text"))
+    if not paths:
+        return none
+    f = spark.read.format("binaryFile").load(paths)
+    content = f.select(below(folder).alias("relpath"), F.sha2("content", 256).alias("sha256"), F.decode("content", "UTF-8").alias("text"))
+    return files.where("bytes > 0").join(content, "relpath").select(*none.columns).unionByName(none)
+
+
+def scan(spark: SparkSession, folder: str, glob: str | None = None) -> DataFrame:
+    """Every file below `folder` with its bytes: relpath, name, bytes, mtime, sha256, text."""
+    return opened(spark, folder, listed(spark, folder, glob))
+
+
+def at_time(column: str) -> Column:
+    """A file's time for comparisons; empty files have none."""
+    return F.coalesce(F.unix_micros(column), F.lit(-1))
+
+
 def discover(files: DataFrame, root: str, rules: Sequence[Rule]) -> DataFrame:
     """Adds root and dataset (first matching rule); unmatched, excluded and forbidden files drop out."""
     dataset = F.lit(None).cast("string")
@@ -106,6 +125,13 @@ def checksum_problems(manifest: DataFrame, files: DataFrame) -> DataFrame:
     return both.select("source_file", problem.alias("problem")).where("problem is not null")
 
 
+def touched(manifest: DataFrame, files: DataFrame) -> DataFrame:
+    """Rows of listed() for manifest entries whose size or time is not the recorded one: what must be read to tell whether it changed."""
+    m = manifest.select(F.col("landed_relpath").alias("relpath"), F.col("bytes_landed").alias("_bytes"), at_time("mtime_utc").alias("_at"))
+    both = files.join(m, "relpath")
+    return both.where((F.col("bytes") != F.col("_bytes")) | (at_time("mtime_utc") != F.col("_at"))).select(*files.columns)
+
+
 def manifest_problems(manifest: DataFrame, files: DataFrame, readable: Sequence[str], patterns=PATTERNS) -> DataFrame:
     """Manifest and landed files must agree both ways: (source_file, problem) rows."""
     m = manifest.select(F.col("landed_relpath").alias("relpath"), "dataset", "bytes_landed", "sha256_landed")

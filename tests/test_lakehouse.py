@@ -202,3 +202,39 @@ def test_unredacted_landing_is_refused(lake):
     put(lake, "beta/logs/leak.log", "token hf_" + "A" * 34 + "\n")
     with pytest.raises(lakehouse.BuildError, match="unredacted"):
         land(lake)
+
+
+def test_nothing_is_read_twice(lake, monkeypatch):
+    import os
+    from pathlib import Path
+    (Path(lake.landing) / "beta/logs/leak.log").unlink(missing_ok=True)
+    land(lake)
+    lakehouse.ingest(lake, "all")
+    opened = []
+    plain = landing.opened
+    monkeypatch.setattr(landing, "opened", lambda spark, folder, files: opened.append(files.count()) or plain(spark, folder, files))
+    name = f"{lake.landing}/beta/items.csv"
+    before, stamp = open(name, "rb").read(), os.stat(name)
+    with open(name, "wb") as f:
+        f.write(b"x" * len(before))
+    os.utime(name, ns=(stamp.st_atime_ns, stamp.st_mtime_ns))
+    land(lake)
+    assert lakehouse.ingest(lake, "again") == {} and lakehouse.verify(lake).collect() == []
+    assert set(opened) == {0}                                       # size and time are as recorded: nobody has looked inside
+    lakehouse.build_typed(lake)
+    os.utime(name, ns=(stamp.st_atime_ns, stamp.st_mtime_ns + 10**9))
+    with pytest.raises(lakehouse.BuildError, match="differ from the manifest"):
+        lakehouse.ingest(lake, "touched")
+    assert max(opened) == 1
+    with open(name, "wb") as f:
+        f.write(before)
+    land(lake)
+    assert lakehouse.ingest(lake, "restored") == {}                 # this version is already there
+    with pytest.raises(lakehouse.BuildError):
+        with open(name, "wb") as f:
+            f.write(b"x" * len(before))
+        os.utime(name, ns=(stamp.st_atime_ns, os.stat(name).st_mtime_ns + 2 * 10**9))
+        lakehouse.ingest(lake, "deep")
+    with open(name, "wb") as f:
+        f.write(before)
+    assert lakehouse.build_manifest(lake, RULES, ["alpha", "beta"], reread=True) == lake.manifest().count() and max(opened) >= 3
