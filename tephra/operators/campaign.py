@@ -110,22 +110,40 @@ def cost_vs_billed(req: DataFrame, billing: DataFrame) -> DataFrame:
          Quantile("engine_boot_s_p50", F.col("engine_boot_s"), .5), Quantile("request_duration_s_p50", F.col("request_duration_s"), .5),
          Quantile("est_cost_usd_p50_proxy", F.col("est_cost_usd"), .5)]
     cells = aggregate(cold, CELL, n, q)
-    # a label's running hours and its endpoints are reduced to distinct values before they meet
+    # bills meet the labels of their endpoint, and stay where the label ran in their hour: hours and endpoints of a label never meet each other
     hours = req.where("ok and request_ts_utc is not null").select("series_label", F.date_trunc("hour", "request_ts_utc").alias("bucket_start_utc")).distinct()
     homes = cold.select("series_label", "endpoint_id").distinct()
-    billed = (hours.join(homes, "series_label").join(billing.select("endpoint_id", "bucket_start_utc", "total_usd"), ["endpoint_id", "bucket_start_utc"])
+    billed = (billing.select("endpoint_id", "bucket_start_utc", "total_usd").join(homes, "endpoint_id").join(hours, ["series_label", "bucket_start_utc"], "left_semi")
               .groupBy("series_label").agg(F.round(F.sum("total_usd"), 4).alias("billed_usd_endpoint_hours"), F.count("*").alias("n_billed_hours")))
     return cells.join(billed, "series_label", "left").withColumnRenamed("series_label", "cell")
 
 
-def spend_overrun(billing: DataFrame, acknowledged: DataFrame, runs: DataFrame, key: str = "endpoint_id", *, limit: float = 0.20) -> DataFrame:
-    """Actual, acknowledged and estimated spend per entity, their ratio, and whether it exceeds the estimate by more than `limit`."""
+# What a run of the load generator is estimated to cost, and how its runs are named.
+LOADGEN_USD, LOADGEN_CELL = 0.013, "loadgen"
+
+
+def spend_overrun(billing: DataFrame, acknowledged: DataFrame, runs: DataFrame, key: str = "endpoint_id", *, limit: float = 0.20,
+                  loadgen: DataFrame | None = None, names: DataFrame | None = None, total_row: bool = False) -> DataFrame:
+    """Actual, acknowledged and estimated spend per entity, their ratio, and whether it exceeds the estimate by more than `limit`.
+
+    `loadgen` has one row for each run of the load generator: the entities that `runs` has under its cell are estimated LOADGEN_USD more
+    for each. `names` (key, name) adds names, null where there is none. `total_row` adds the sums of all, with a null key.
+    """
     total = lambda df, col, out: df.where(F.col(key).isNotNull()).groupBy(key).agg(F.sum(F.coalesce(F.col(col), F.lit(0.0))).alias(out))
     act, est = total(billing, "total_usd", "actual_usd"), total(runs, "est_usd", "est_usd")
+    if loadgen is not None:
+        each = loadgen.agg((F.count("*") * LOADGEN_USD).alias("_extra"))                  # one row
+        users = runs.where((F.col("cell") == LOADGEN_CELL) & F.col(key).isNotNull()).select(F.col(key).alias("_user")).distinct().join(F.broadcast(each))
+        est = est.join(users, F.col(key) == F.col("_user"), "left").select(key, (F.col("est_usd") + F.coalesce("_extra", F.lit(0.0))).alias("est_usd"))
     both = act.join(est, key, "full").join(total(acknowledged, "usd", "ack_usd"), key, "left").fillna(0.0, ["actual_usd", "est_usd", "ack_usd"])
     net, e = F.col("actual_usd") - F.col("ack_usd"), F.col("est_usd")
-    return both.withColumns({"ratio": F.when(e != 0, net / F.nullif(e, F.lit(0.0))),
-                             "status": F.when(e == 0, "none").when(net > e * (1 + limit), "over").otherwise("ok")})
+    out = both.withColumns({"ratio": F.when(e != 0, net / F.nullif(e, F.lit(0.0))),
+                            "status": F.when(e == 0, "none").when(net > e * (1 + limit), "over").otherwise("ok")})
+    if names is not None:
+        out = out.join(names.select(key, "name"), key, "left")
+    if total_row:
+        out = out.unionByName(out.agg(*[F.sum(c).alias(c) for c in ("actual_usd", "est_usd", "ack_usd")]), allowMissingColumns=True)
+    return out
 
 
 def remaining_work(plan: DataFrame, runs: DataFrame, cell: str = "cell") -> DataFrame:

@@ -53,9 +53,11 @@ def q_cost_vs_billed(spark, sf_dir):
 def q_spend_overrun(spark, sf_dir):
     li, s = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "supplier")
     bills = li.where("l_suppkey % 10 <> 3").select(F.col("l_suppkey").alias("endpoint_id"), F.col("l_quantity").alias("total_usd"))
-    runs = li.where("l_suppkey % 7 <> 0").select(F.col("l_suppkey").alias("endpoint_id"), F.when(F.col("l_linenumber") < 6, F.col("l_quantity") + (F.col("l_suppkey") % 3) * 4).alias("est_usd"))
+    runs = li.where("l_suppkey % 7 <> 0").select(F.col("l_suppkey").alias("endpoint_id"), F.when(F.col("l_linenumber") < 6, F.col("l_quantity") + (F.col("l_suppkey") % 3) * 4).alias("est_usd"),
+                                                   F.when(F.col("l_linenumber") == 1, F.when(F.col("l_suppkey") % 5 == 0, "loadgen").otherwise("c1")).alias("cell"))
     acks = s.where("s_suppkey % 4 = 0").select(F.col("s_suppkey").alias("endpoint_id"), F.lit(500.0).alias("usd"))
-    return campaign.spend_overrun(bills, acks, runs).withColumns({c: F.round(c, 4) for c in ("actual_usd", "est_usd", "ack_usd", "ratio")})
+    names = s.where("s_suppkey % 6 <> 1").select(F.col("s_suppkey").alias("endpoint_id"), F.col("s_name").alias("name"))
+    return campaign.spend_overrun(bills, acks, runs, loadgen=table(spark, sf_dir, "nation"), names=names, total_row=True).withColumns({c: F.round(c, 4) for c in ("actual_usd", "est_usd", "ack_usd", "ratio")})
 
 
 def q_remaining_work(spark, sf_dir):
@@ -143,10 +145,12 @@ charged as (select s.series_label, list({{'e': x.endpoint_id, 'usd': x.usd}}) as
 billed as (select series_label, round(list_sum(list_transform(hours, lambda x: x.usd)), 4) as billed_usd_endpoint_hours, len(hours) as n_billed_hours from charged)
 select c.series_label as cell, c.* exclude (series_label, a, z), billed_usd_endpoint_hours, n_billed_hours, {T('a')} as first_request_utc, {T('z')} as last_request_utc from cells c left join billed using (series_label)""",
     "q_spend_overrun": """with a as (select l_suppkey as endpoint_id, sum(l_quantity) as act from lineitem where l_suppkey % 10 <> 3 group by 1),
-e as (select l_suppkey as endpoint_id, sum(coalesce(case when l_linenumber < 6 then l_quantity + (l_suppkey % 3) * 4 end, 0)) as est from lineitem where l_suppkey % 7 <> 0 group by 1),
-j as (select endpoint_id, coalesce(act, 0) as act, coalesce(est, 0) as est, case when endpoint_id % 4 = 0 then 500.0::double else 0 end as ack from a full join e using (endpoint_id))
+e as (select l_suppkey as endpoint_id, sum(coalesce(case when l_linenumber < 6 then l_quantity + (l_suppkey % 3) * 4 end, 0)) + case when l_suppkey % 5 = 0 and count(*) filter (l_linenumber = 1) > 0 then 0.013::double * (select count(*) from nation) else 0 end as est from lineitem where l_suppkey % 7 <> 0 group by 1),
+j as (select endpoint_id, coalesce(act, 0) as act, coalesce(est, 0) as est, case when endpoint_id % 4 = 0 then 500.0::double else 0 end as ack from a full join e using (endpoint_id)),
+n as (select j.*, s_name as name from j left join supplier on s_suppkey = endpoint_id and s_suppkey % 6 <> 1)
 select endpoint_id, round(act, 4) as actual_usd, round(est, 4) as est_usd, round(ack, 4) as ack_usd, case when est <> 0 then round((act - ack) / est, 4) end as ratio,
-  case when est = 0 then 'none' when act - ack > est * 1.2 then 'over' else 'ok' end as status from j""",
+  case when est = 0 then 'none' when act - ack > est * 1.2 then 'over' else 'ok' end as status, name from n
+union all select null, round(sum(act), 4), round(sum(est), 4), round(sum(ack), 4), null, null, null from j""",
     "q_remaining_work": """with d as (select l_suppkey as cell, count(*) as n from lineitem where l_suppkey % 9 <> 0 and l_returnflag <> 'R' and l_linestatus = 'F' group by 1)
 select s_suppkey as cell, 150::bigint as n_cold, coalesce(n, 0) as n_done, greatest(150 - coalesce(n, 0), 0) as n_left from supplier left join d on cell = s_suppkey""",
     "q_grid_pricing": """select lower(n_name) || '_' || case when fb = 'FLASHBOOT' then 'fbon' else 'fboff' end || '_' || lower(r_name) as cell, lower(n_name) as gpu_slug, lower(r_name) as image_slug, fb as flashboot,

@@ -54,6 +54,7 @@ class Lake:
     landing: str
     root: str
     seeds: str | None = None
+    preferred_file: str | None = None                              # among overlapping request files the one whose rows win
 
     def path(self, layer: str, table: str) -> str:
         return f"{self.root}/{layer}/{table}"
@@ -216,7 +217,7 @@ def typed_builders(lake: Lake) -> dict[str, DataFrame]:
     dim = {n: readers.seed(lake.spark, lake.seeds, n) for n in ("coldstart_series", "gpu_labels", "coldstart_run_notes", "coldstart_request_overrides")}
     runs = rows("series_runs")
     a = conform.series_requests(runs, dim["coldstart_series"], dim["gpu_labels"], dim["coldstart_run_notes"])
-    b = conform.csv_requests(rows("request_rows"), dim["gpu_labels"], dim["coldstart_request_overrides"])
+    b = conform.csv_requests(rows("request_rows"), dim["gpu_labels"], dim["coldstart_request_overrides"], preferred_file=lake.preferred_file)
     return {**{f"dim_{n}": df for n, df in dim.items()},
             "requests": conform.requests([a, b]), "startup_phases": conform.startup_phases(runs),
             "sweep_summaries": conform.sweep_summaries(rows("sweep_runs")), "sweep_requests": conform.sweep_requests(rows("sweep_records")),

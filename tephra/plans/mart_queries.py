@@ -88,7 +88,8 @@ def q_series_summary(spark, sf_dir):
 
 def q_kpi_tiles(spark, sf_dir):
     boots = table(spark, sf_dir, "orders").select((F.col("o_totalprice") / 10000).alias("torch_compile_s"))
-    tiles = marts.kpi_tiles(marts.cold_events(requests(spark, sf_dir)), boots, split=20.0)
+    picks = {"baked": ("1-URGENT", "baked", None), "fetched": ("1-URGENT", "fetched", None), "worker": ("2-HIGH", "baked", None), "worker_warm_host": ("2-HIGH", "baked", "furniture"), "none": ("nobody", "baked", None)}
+    tiles = marts.kpi_tiles(marts.cold_events(requests(spark, sf_dir)), boots, split=20.0, comparison=comparison(spark, sf_dir), picks=picks)
     return rounded(tiles, "fast_median_s", "slow_median_s", to=6)
 
 
@@ -233,9 +234,13 @@ select series, count(*) filter (cold_ok and was_cold) as cold_n, min(t) filter (
   round(quantile_cont(t, 0.5) filter (cold_ok and was_cold), 4) as cold_median_s,
   round(quantile_cont(d, 0.5) filter (cold_ok and was_cold), 4) as cold_delay_ms_median, round(quantile_cont(w, 0.5) filter (warm_ok), 4) as warm_total_s_median
 from r group by 1""",
-    "q_kpi_tiles": W + """
+    "q_kpi_tiles": W + COMPARISON_SQL + """
 , b as (select o_totalprice / 10000 as t from orders)
 select (select count(*) from requests where ok and kind = 'cold' and is_flashboot_hit) as n_hits, (select count(*) from requests where ok and kind = 'cold') as n_events,
+  """ + "".join(f"(select {c} from comparison where engine = '{e}' and weights_mode = '{w}' and {k}) as {n}_{o}, " for n, e, w, k in (
+        ("baked", "1-URGENT", "baked", "scope = 'pooled'"), ("fetched", "1-URGENT", "fetched", "scope = 'pooled'"), ("worker", "2-HIGH", "baked", "scope = 'pooled'"),
+        ("worker_warm_host", "2-HIGH", "baked", "cohort = 'furniture'"), ("none", "nobody", "baked", "scope = 'pooled'"))
+        for c, o in (("cold_delay_ms_p50", "p50_ms"), ("cold_delay_ms_mean", "mean_ms"), ("n_full_boots", "n_boots"))) + """
   count(*) filter (t < 20) as n_fast, count(*) filter (t >= 20) as n_slow, count(*) as n_boots,
   round(quantile_cont(t, 0.5) filter (t < 20), 6) as fast_median_s, round(quantile_cont(t, 0.5) filter (t >= 20), 6) as slow_median_s from b""",
     "q_cohorts_sum": W + COMPARISON_SQL + """

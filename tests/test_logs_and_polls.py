@@ -64,6 +64,12 @@ def test_poll_documents(spark, tmp_path):
     (folder / "p3.json").write_text(document(3, [endpoint("e1")], [], amount=4.0, status="IN_PROGRESS"))
     assert poll_load.load_polls(spark, str(folder), table, chk, "r2") == 2
     assert poll_load.load_polls(spark, str(folder), table, chk, "r3") == 0
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "1")      # of many batches a query remembers the last
+    try:
+        again = table + "-again"
+        assert poll_load.load_polls(spark, str(folder), again, chk + "-again", "r4", files_per_batch=1) == poll_load.raw_polls(spark, again).count() == 4
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
     raw = poll_load.raw_polls(spark, table)
     docs = polls.documents(raw.unionByName(raw.withColumn("run_label", F.lit("again"))))    # every document loaded twice
     head = {r.poll_seq: r for r in polls.polls(docs).collect()}
