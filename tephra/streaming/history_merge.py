@@ -1,15 +1,14 @@
 """An incremental history as a table: every listing that a stream announces is merged into it once.
 
 A listing is a folder of Parquet, however many files it has; the stream carries only its time and name. Each micro-batch
-writes the whole new table beside the old one and renames it in under its batch id, so a batch that is run again, after a
-crash or with a lost checkpoint, finds its own result and leaves it.
+writes the whole new table beside the old one and renames it in; the name says which listing it ends with, so a batch that is run again, after a
+crash or with a lost checkpoint and cut otherwise, finds its listings merged and leaves the table.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Sequence
-from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +17,6 @@ from ..operators.history import merge_snapshot
 from ..session import materialize
 
 KEPT = 2
-EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
 
 def _files(spark: SparkSession, path: str):
@@ -27,7 +25,7 @@ def _files(spark: SparkSession, path: str):
 
 
 def versions(spark: SparkSession, path: str) -> list[tuple[int, int, str]]:
-    """(batch id, microseconds of its last listing, folder) of the finished tables below `path`, oldest first."""
+    """(number, microseconds of its last listing, folder) of the finished tables below `path`, oldest first."""
     fs, at = _files(spark, path)
     names = [s.getPath().getName() for s in fs.listStatus(at)] if fs.exists(at) else []
     return sorted((int(n.split("-")[1]), int(n.split("-")[2]), f"{path}/{n}") for n in names if n.startswith("v-"))
@@ -39,34 +37,26 @@ def current_history(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(found[-1][2]) if found else None
 
 
-def micros(at: datetime) -> int:
-    since = (at if at.tzinfo else at.astimezone()) - EPOCH
-    return (since.days * 86_400 + since.seconds) * 1_000_000 + since.microseconds
-
-
 def merge_batch(path: str, key: str, tracked: Sequence[str]) -> Callable[[DataFrame, int], None]:
     """The step for foreachBatch: (listed_at, folder) rows of a batch into the table below `path`."""
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         done = versions(spark, path)
-        if any(b >= batch_id for b, _, _ in done):
-            return
         newest = done[-1][1] if done else -1
-        # names of listings, as many as came in since the last trigger
-        arrived = sorted((r.micros, r.folder) for r in batch.select(F.unix_micros("listed_at").alias("micros"), "folder").distinct().collect())
+        # names of listings, as many as came in since the last trigger; those told before, or older than what the table already says, change nothing
+        told = batch.select(F.unix_micros("listed_at").alias("micros"), "folder").distinct().collect()
+        arrived = sorted((r.micros, r.folder) for r in told if r.micros > newest)
+        if not arrived:
+            return
         history = current_history(spark, path)
         for at, folder in arrived:
-            if at <= newest:
-                continue                                           # told before, or older than what the table already says
             listed_at = F.timestamp_micros(F.lit(at))
             listing = spark.read.parquet(folder).where(F.col(key).isNotNull()).withColumn("_listed_at", listed_at)
             if history is None:
                 history = listing.limit(0).select(key, *tracked, F.col("_listed_at").alias("valid_from"), F.col("_listed_at").alias("valid_to"))
             history = materialize(merge_snapshot(history, listing, key, tracked, run_at=listed_at, updated_at="_listed_at"))
-            newest = at
-        if history is None:
-            return
-        aside, target = f"{path}/_next-{uuid.uuid4().hex}", f"{path}/v-{batch_id:019d}-{newest}"
+        number = max([batch_id, *[b + 1 for b, _, _ in done[-1:]]])
+        aside, target = f"{path}/_next-{uuid.uuid4().hex}", f"{path}/v-{number:019d}-{arrived[-1][0]}"
         history.write.parquet(aside)
         fs, source = _files(spark, aside)
         if not fs.rename(source, _files(spark, target)[1]):
