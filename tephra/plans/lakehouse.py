@@ -17,6 +17,7 @@ from ..functions.redaction import PATTERNS
 from ..operators import conform, logs, marts, snapshot
 from ..session import materialize
 from ..sources import bronze, landing, readers
+from . import checks
 
 # Dataset tag -> raw tables it feeds.
 FEEDS = {
@@ -231,9 +232,21 @@ def completeness(lake: Lake) -> DataFrame:
     return snapshot.missing_versions(expected_rows(lake), bronze.evolve(keys), lake.ledger())
 
 
+def _write(lake: Lake, layer: str, below: str, tables: dict[str, DataFrame]) -> dict[str, int]:
+    """Write the tables of a layer with their checks; a broken rule of severity error is raised once all is written and recorded."""
+    done, counted = {}, {}
+    for t, df in tables.items():
+        done[t], counted[t] = bronze.overwrite_watched(df, lake.path(layer, t), checks.watched(layer, t))
+    under = lake.raw if below == "raw" else lambda t: lake.table(below, t)
+    broken = checks.run(lake.spark, layer, counted, lambda t: lake.table(layer, t), under, lake.path("checks", "results"), lake.path("checks", "violations"), datetime.now(timezone.utc).replace(tzinfo=None))
+    _stop_on(broken.select("table", "rule", "violations"), f"checks of the {layer} layer failed")
+    return done
+
+
 def build_typed(lake: Lake) -> dict[str, int]:
+    """Rebuild the typed tables from the current raw rows; their checks run with it and may end it."""
     _stop_on(completeness(lake), "not in the raw layer at the current checksum, ingest first")
-    done = {t: bronze.overwrite(df, lake.path("typed", t)) for t, df in typed_builders(lake).items()}
+    done = _write(lake, "typed", "raw", typed_builders(lake))
     req = lake.table("typed", "requests")
     over = lake.table("typed", "dim_coldstart_request_overrides").withColumn("request_ts_utc", F.try_to_timestamp(F.col("ts_utc")))
     notes = lake.table("typed", "dim_coldstart_run_notes")
@@ -254,7 +267,10 @@ def gold_builders(lake: Lake) -> dict[str, DataFrame]:
 
 
 def build_gold(lake: Lake) -> dict[str, int]:
-    return {t: bronze.overwrite(df, lake.path("gold", t)) for t, df in gold_builders(lake).items()}
+    """Rebuild the aggregates, unless a check of the typed layer stands broken."""
+    results = bronze.load(lake.spark, lake.path("checks", "results"), checks.RESULTS)
+    _stop_on(checks.standing(results, "typed").select("table", "rule", "violations"), "checks of the typed layer failed")
+    return _write(lake, "gold", "typed", gold_builders(lake))
 
 
 def verify(lake: Lake) -> DataFrame:

@@ -118,6 +118,16 @@ def overwrite(df: DataFrame, path: str, built_at: Column | None = None, stamp: s
     return seen.get["n"]
 
 
+def overwrite_watched(df: DataFrame, path: str, watch: Mapping[str, Column]) -> tuple[int, dict[str, int]]:
+    """overwrite() that also counts, in the same pass, the rows for which each condition of `watch` holds: (rows, {name: how many})."""
+    seen = Observation()
+    counts = [F.count_if(test).alias(f"w{i}") for i, test in enumerate(watch.values())]
+    out = df.withColumn("built_at", F.current_timestamp())
+    out.observe(seen, F.count(F.lit(1)).alias("n"), *counts).write.mode("overwrite").parquet(path)
+    got = seen.get
+    return got["n"], {name: got[f"w{i}"] for i, name in enumerate(watch)}
+
+
 def publishable(df: DataFrame, drop: Sequence[str] = ("built_at",)) -> DataFrame:
     """Timestamps as ISO text in UTC, NaN as null and infinities as text, rendered on the JVM whatever the driver's zone."""
     cols = []

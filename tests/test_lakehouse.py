@@ -238,3 +238,23 @@ def test_nothing_is_read_twice(lake, monkeypatch):
     with open(name, "wb") as f:
         f.write(before)
     assert lakehouse.build_manifest(lake, RULES, ["alpha", "beta"], reread=True) == lake.manifest().count() and max(opened) >= 3
+
+
+def test_a_broken_check_stops_the_build(lake):
+    from pathlib import Path
+    (Path(lake.landing) / "beta/logs/leak.log").unlink(missing_ok=True)
+    put(lake, "beta/logs/bad.log", "2026-13-45 14:50:51.989 | info | wk7 | hello\n")
+    land(lake)
+    lakehouse.ingest(lake, "bad")
+    with pytest.raises(lakehouse.BuildError, match="checks of the typed layer failed"):
+        lakehouse.build_typed(lake)
+    with pytest.raises(lakehouse.BuildError, match="checks of the typed layer failed"):
+        lakehouse.build_gold(lake)                                  # the next layer is not built on it
+    kept = [json.loads(r.row) for r in lake.table("checks", "violations").where("rule = 'recognised lines have a time'").collect()]
+    assert [(r["source_file"], r["line_no"]) for r in kept] == [("beta/logs/bad.log", 1)]
+    (Path(lake.landing) / "beta/logs/bad.log").unlink()
+    land(lake)
+    lakehouse.build_typed(lake)
+    assert set(lakehouse.build_gold(lake)) == set(lakehouse.GOLD_TABLES)
+    last = lake.table("checks", "results").groupBy("layer", "rule", "severity").agg(F.max_by("violations", "checked_at").alias("n")).collect()
+    assert {r.layer for r in last} == {"typed", "gold"} and all(r.n == 0 for r in last if r.severity == "error")
