@@ -292,6 +292,49 @@ def test_notices_are_found_however_common_they_are(spark):
     assert all(got[100 + i] == (["proprietary"], 1) for i in range(60))
 
 
+NAMED = [("This work is licensed under a Creative Commons Attribution 4.0 International License.", "cc-by"), ("CC BY-SA 4.0", "cc-by-sa"), ("Academic Free License, Version 3.0", None),
+         ("It is distributed under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 2.1 of the License, or any later version.", "lgpl"),
+         ("We discussed all rights reserved for members under the new law.", None), ("SPDX-License-Identifier: MIT", "mit"), ("SPDX-License-Identifier: Zlib", None), ("GPL-3.0-or-later", "gpl"),
+         ("Licensed under the Foo License, Version 2.0.", None), ("Licensed under the Eclipse Public License 2.0", None), ("wir gehen mit der Bahn", None),
+         ("MIT License\n\nCopyright (c) 2020 A B\n\nPermission is hereby granted, free of charge, to any person obtaining a copy of this software\nand associated documentation files, to deal in the Software without restriction.", "mit")]
+
+
+def test_families_are_told_apart(spark):
+    docs = spark.createDataFrame([(k, t, 1) for k, (t, _) in enumerate(NAMED)], "doc_id long, text string, licenses int")
+    out = licenses.license_scan(docs)
+    assert out.columns == ["doc_id", "text", "licenses", "n_notices"]
+    assert {k: r.licenses for k, r in enumerate(out.orderBy("doc_id").collect())} == {k: [f] if f else [] for k, (_, f) in enumerate(NAMED)}
+    assert licenses.license_scan(docs.limit(0)).count() == 0
+
+
+def test_sentences_confirmed_as_in_plain_python(spark):
+    """The comparison with templates, by brute force over all of them, for sentences of which words were taken out."""
+    rng = random.Random(12)
+    known = [r.asDict() for r in licenses.template_rows(spark).collect()]
+    texts = []
+    for row in known:
+        words = row["words"]
+        for share in (0.0, 0.15, 0.3):
+            texts.append(" ".join(w for w in words if rng.random() >= share) or "word")
+    base = spark.createDataFrame(list(enumerate(texts)), "id long, text string").withColumn("version", F.xxhash64("text"))
+    got = {r.id: (r.family, round(r.agreement, 9)) for r in licenses.license_units(base, licenses.train(spark), least=0.0).collect()}
+    grams = lambda words: set(words) | {f"{x} {y}" for x, y in zip(words, words[1:])}
+    seen = 0
+    for k, text in enumerate(texts):
+        own = grams(text.split())
+        fits = []
+        for t in known:
+            both = len(own & set(t["grams"]))
+            short = t["title"] or len(t["grams"]) < 10
+            if both >= 0.6 * len(t["grams"]) and (not short or both >= (0.5 if t["title"] else 0.33) * len(own)) and 2 * len(own & set(t["keys"])) >= len(t["keys"]):
+                fits.append((both / len(t["grams"]), both, t["family"]))
+        if k in got:
+            best = max(f[:2] for f in fits)
+            assert (got[k][1], got[k][0]) in {(round(s, 9), f) for s, b, f in fits if (s, b) == best}
+            seen += 1
+    assert seen > 100
+
+
 WRAPPED = {
     "bsd": "# Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided that the following conditions are met.",
     "gpl": " * This program is free software: you can redistribute it and/or modify\n * it under the terms of the GNU General Public License as published by\n * the Free Software Foundation, either version 3 of the License, or\n * any later version.",
