@@ -149,9 +149,9 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     min-hashes a side, a pair at 0.8 is missed with probability 2 * (1 - 0.8 ** 3) ** 16, about 2 in 100,000, and less above. In each
     bucket every class is compared with one centre, the class with most shared bands, never all with all. Where some then still lie in
     another component than the centre, they are compared with one drawn member of each of their buckets. What is left is compared
-    with the rest of its bucket, except where sizes or parity bitmaps prove that a pair cannot link. Buckets of more than `hot` classes are
-    split for that by second bands (see second_keys()), so that a template's many documents, alike but under the threshold, do not
-    all meet; there a pair at 0.8 is missed with probability 0.03, unless the centre or the drawn member links it.
+    with the rest of its bucket, except where sizes or parity bitmaps prove that a pair cannot link. After the centres, buckets of more than `hot` classes
+    give way to those of second bands (see second_keys()), so that a template's many documents, alike but under the threshold, do not
+    all meet; there a pair at 0.8 is missed with probability 0.03, unless a centre links it.
 
     Null, empty and wordless texts have no shingles and link with nothing, as do rows without an id (component null, kept). Rows that
     repeat an id are one document: linked to what either is, and kept or not alike.
@@ -167,8 +167,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sets = shingle_sets(docs, met.select("node").distinct(), classes, id_col, text_col, size)
     linked = lambda df: df.where(100 * F.col("shared") >= percent * F.col("total")).select("a", "b")
     groups = components(linked(overlaps(first, sets)).unionByName(one_document(found)))
-    open_ = met.where(F.col("members") > 2)                        # a bucket of two is done
-    for pairs in (lambda at: second_stars(at, percent), lambda at: leftover_pairs(at, sets, percent, hot)):
+    open_ = split_crowded(met, sets, hot).where(F.col("members") > 2)      # a bucket of two is done
+    for pairs in (lambda at: second_stars(at, percent), lambda at: leftover_pairs(at, percent)):
         more = materialize(linked(overlaps(materialize(pairs(stray_rows(open_, groups, classes))), sets)))
         if more.limit(1).count():                                  # the stars found so far stand for their links
             groups = components(groups.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more))
@@ -206,7 +206,7 @@ def stray_rows(met: DataFrame, groups: DataFrame, classes: DataFrame) -> DataFra
     at = materialize(at.withColumns({"g": F.coalesce("g", "node"), "h": F.coalesce("h", "centre")}))
     at = at.join(materialize(at.where(F.col("g") != F.col("h")).select("key").distinct()), "key", "left_semi")
     words = [F.get("parity", k).alias(f"p{k}") for k in range(PARITY)]
-    return materialize(at.join(classes.select("node", *words), "node").select("key", "members", "node", "n", "g", (F.col("g") != F.col("h")).alias("stray"), *[f"p{k}" for k in range(PARITY)]))
+    return materialize(at.join(classes.select("node", *words), "node").select("key", "node", "n", "g", (F.col("g") != F.col("h")).alias("stray"), *[f"p{k}" for k in range(PARITY)]))
 
 
 def could_link(x: str, y: str, percent: int) -> Column:
@@ -225,29 +225,30 @@ def second_stars(at: DataFrame, percent: int) -> DataFrame:
 
 
 def second_keys(sets: DataFrame, bands: int = 128, rows: int = 16) -> DataFrame:
-    """(key, node): `bands` further bands of `rows` min-hashes each, for the members of large buckets alone. A pair at 0.8 shares one with probability
+    """(key, node, n): `bands` further bands of `rows` min-hashes each, for the members of large buckets alone. A pair at 0.8 shares one with probability
     1 - (1 - 0.8 ** 16) ** 128, 0.97; a pair at 0.56 with 0.01, where two bands of the index let nine in ten meet."""
     def work(batches):
         both = Collections(bands // 2, rows, seed=21)
         for batch in batches:
             for node, values in zip(batch.column(0).to_pylist(), batch.column(1)):
                 keys = both.bands(values.values.to_numpy().view(np.uint64)) ^ np.arange(bands)
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.full(bands, node))], names=["key", "node"])
-    return sets.select("node", "shingles").mapInArrow(work, "key long, node long")
-
-
-def leftover_pairs(at: DataFrame, sets: DataFrame, percent: int, hot: int) -> DataFrame:
-    """(a, b): pairs of a stray and another class that could still link: all of a bucket, and in a bucket of more than `hot` classes those that share a second band."""
-    def met(rows: DataFrame) -> DataFrame:
-        x, y = rows.where("stray").alias("x"), rows.alias("y")
-        fits = (F.col("x.node") != F.col("y.node")) & (~F.col("y.stray") | (F.col("x.node") < F.col("y.node"))) & could_link("x", "y", percent)
-        return x.join(y, (F.col("x.key") == F.col("y.key")) & fits).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
-    crowded = at.where(F.col("members") > hot)
-    once = materialize(crowded.groupBy("node").agg(F.first("n").alias("n"), F.first("g").alias("g"), F.max("stray").alias("stray"), *[F.first(f"p{k}").alias(f"p{k}") for k in range(PARITY)]))
-    keys = materialize(second_keys(sets.join(once.select("node"), "node")))
-    shared = materialize(keys.groupBy("key").agg(F.count("*").alias("size")).where(F.col("size") > 1).select("key"))
-    again = materialize(keys.join(shared, "key").join(once, "node"))
-    return met(at.where(F.col("members") <= hot)).unionByName(met(again)).distinct()
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.full(bands, node)), pa.array(np.full(bands, len(values.values)))], names=["key", "node", "n"])
+    return sets.select("node", "shingles").mapInArrow(work, "key long, node long, n long")
+
+
+def split_crowded(met: DataFrame, sets: DataFrame, hot: int) -> DataFrame:
+    """(key, node, n, members, centre): the buckets of up to `hot` classes, and, for the members of all larger ones, the buckets of their second bands."""
+    crowd = materialize(met.where(F.col("members") > hot).select("node").distinct())
+    index = materialize(second_keys(sets.join(crowd, "node")).withColumn("weight", F.lit(0)))
+    again = index.drop("weight").join(materialize(buckets_of(index)), "key")
+    return materialize(met.where(F.col("members") <= hot).select("key", "node", "n", "members", "centre").unionByName(again.select("key", "node", "n", "members", "centre")))
+
+
+def leftover_pairs(at: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs of a stray and another class of its bucket that could still link."""
+    x, y = at.where("stray").alias("x"), at.alias("y")
+    fits = (F.col("x.node") != F.col("y.node")) & (~F.col("y.stray") | (F.col("x.node") < F.col("y.node"))) & could_link("x", "y", percent)
+    return x.join(y, (F.col("x.key") == F.col("y.key")) & fits).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
 
 
 def labelled(found: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFrame:
