@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import mmap
 import struct
 import uuid
 from collections.abc import Iterator
@@ -35,38 +36,110 @@ def unsqueezed(data: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
 
 
+#: Position of the k-th set bit of a byte, by (byte, k).
+BIT = np.array([[i for i in range(8) if byte >> i & 1] + [8] * (8 - byte.bit_count()) for byte in range(256)], np.int64)
+#: Bits of the unary part for each entry of its directory.
+BLOCK = 512
+#: Numbers looked up at a time, so that a search holds little beside its answers.
+AT_ONCE = 1 << 16
+
+
+def nth(counts: np.ndarray, k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """In each row of bit counts, the cell that holds bit number k, and the bit's number within it."""
+    upto = counts.cumsum(axis=1, dtype=np.int64)
+    cell = (upto <= k[:, None]).sum(axis=1)
+    row = np.arange(len(k))
+    return cell, k - (upto[row, cell] - counts[row, cell])
+
+
 class EliasFano:
-    """A sorted sequence of n numbers below `top` in about 2 + log2(top / n) bits each: low bits in planes, high bits in unary.
+    """A sorted sequence of n numbers below `top` in about 2 + log2(top / n) bits each, searched as it lies.
 
-    All parts are views of one buffer, so a level opens from bytes, an Arrow buffer or a memory-mapped file without being copied.
+    The low bits of all numbers follow one another; the high ones are gaps in unary, with a count of ones for every BLOCK
+    bits. All parts are views of one buffer, so a level opens from bytes, an Arrow buffer or a mapped file without being
+    copied or expanded.
     """
 
-    HEAD = struct.Struct("<QBQ")
+    HEAD = struct.Struct("<QQQ")
 
     def __init__(self, buffer):
         self.n, self.low_bits, size = self.HEAD.unpack_from(buffer)
-        raw = np.frombuffer(buffer, np.uint8)[self.HEAD.size:]
-        width = -(-self.n // 8)
-        self.planes = [raw[k * width:(k + 1) * width] for k in range(self.low_bits)]
-        self.high = raw[self.low_bits * width:self.low_bits * width + size]
+        words = np.frombuffer(buffer, np.uint64)[self.HEAD.size // 8:]
+        lows = self.n * self.low_bits // 64 + 2
+        self.low, self.high = words[:lows], words[lows:lows + size].reshape(-1, BLOCK // 64)
+        self.ones = words[lows + size:].view(np.int64)             # set bits before each block, then all of them
+        self.zeros = np.arange(len(self.ones), dtype=np.int64) * BLOCK - self.ones
 
     @classmethod
     def packed(cls, values: np.ndarray, top: int) -> bytes:
         n = len(values)
-        low = max(0, (top // max(1, n)).bit_length() - 1)
+        low = min(63, max(0, (top // max(1, n)).bit_length() - 1))
         values = values.astype(np.uint64)
-        planes = [np.packbits(((values >> np.uint64(k)) & np.uint64(1)).astype(bool)).tobytes() for k in range(low)]
+        words = np.zeros(n * low // 64 + 2, np.uint64)
+        if low and n:
+            bit = np.arange(n, dtype=np.int64) * low
+            word, shift, part = bit >> 6, (bit & 63).astype(np.uint64), values & np.uint64((1 << low) - 1)
+            new = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+            words[word[new]] = np.bitwise_or.reduceat(part << shift, new)
+            over = np.flatnonzero(shift + np.uint64(low) > 64)     # at most one number runs on from a word into the next
+            words[word[over] + 1] |= part[over] >> (np.uint64(64) - shift[over])
         high = (values >> np.uint64(low)).astype(np.int64) + np.arange(n)
-        bits = np.zeros(int(high[-1]) + 1 if n else 0, bool)
+        bits = np.zeros((int(high[-1]) + 1 if n else 0) // BLOCK * BLOCK + BLOCK, bool)     # at least one 0 at the end
         bits[high] = True
-        upper = np.packbits(bits).tobytes()
-        return cls.HEAD.pack(n, low, len(upper)) + b"".join(planes) + upper
+        upper = np.packbits(bits, bitorder="little").view(np.uint64)
+        ones = np.append(0, bits.reshape(-1, BLOCK).sum(axis=1).cumsum()).astype(np.int64)
+        return cls.HEAD.pack(n, low, len(upper)) + words.tobytes() + upper.tobytes() + ones.tobytes()
+
+    def select(self, k: np.ndarray, ones: bool = True) -> np.ndarray:
+        """Where the unary part has its k-th 1, or its k-th 0."""
+        directory = self.ones if ones else self.zeros
+        block = np.searchsorted(directory, k, "right") - 1
+        words = self.high[block] if ones else ~self.high[block]
+        cell, k = nth(np.bitwise_count(words), k - directory[block])
+        octets = np.ascontiguousarray(words[np.arange(len(k)), cell]).view(np.uint8).reshape(-1, 8)
+        octet, k = nth(np.bitwise_count(octets), k)
+        return block * BLOCK + cell * 64 + octet * 8 + BIT[octets[np.arange(len(k)), octet], k]
+
+    def lows(self, at: np.ndarray) -> np.ndarray:
+        bit = at * self.low_bits
+        word, shift = bit >> 6, (bit & 63).astype(np.uint64)
+        after = np.where(shift > 0, self.low[word + 1] << (np.uint64(64) - np.maximum(shift, np.uint64(1))), np.uint64(0))
+        return ((self.low[word] >> shift) | after) & np.uint64((1 << self.low_bits) - 1)
+
+    def at(self, k: np.ndarray) -> np.ndarray:
+        """The numbers at places k."""
+        high = (self.select(k) - k).astype(np.uint64)
+        return high << np.uint64(self.low_bits) | self.lows(k)
 
     def values(self) -> np.ndarray:
-        out = (np.flatnonzero(np.unpackbits(self.high)) - np.arange(self.n)).astype(np.uint64) << np.uint64(self.low_bits)
-        for k, plane in enumerate(self.planes):
-            out |= np.unpackbits(plane, count=self.n).astype(np.uint64) << np.uint64(k)
-        return out
+        return np.concatenate([self.at(np.arange(a, min(self.n, a + AT_ONCE))) for a in range(0, max(1, self.n), AT_ONCE)])
+
+    def successor(self, goals: np.ndarray, begin: np.ndarray | int = 0, end: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """For each goal, the place of the first number at or above it in places [begin, end), which is `end` if there is none, and whether it equals the goal.
+
+        Its high bits choose the numbers that share them, between two zeros of the unary part; these are halved by their low bits.
+        """
+        end = np.full(len(goals), self.n) if end is None else end
+        high = (goals >> np.uint64(self.low_bits)).astype(np.int64)
+        known = high <= self.zeros[-1] - 1
+        high = np.where(known, high, 0)
+        first = np.where(high > 0, self.select(np.maximum(high, 1) - 1, False) - high + 1, 0)
+        last = self.select(high, False) - high
+        first, last = np.where(known, first, self.n), np.where(known, last, self.n)
+        first = np.minimum(np.maximum(first, begin), end)
+        last = np.maximum(np.minimum(last, end), first)
+        goal, lo, hi = goals & np.uint64((1 << self.low_bits) - 1), first, last.copy()
+        open_ = np.flatnonzero(lo < hi)
+        while len(open_):
+            middle = (lo[open_] + hi[open_]) >> 1
+            less = self.lows(middle) < goal[open_]
+            lo[open_] = np.where(less, middle + 1, lo[open_])
+            hi[open_] = np.where(less, hi[open_], middle)
+            open_ = open_[lo[open_] < hi[open_]]
+        equal = np.zeros(len(goals), bool)
+        inside = np.flatnonzero(lo < last)
+        equal[inside] = self.lows(lo[inside]) == goal[inside]
+        return lo, equal
 
 
 class Trie:
@@ -75,6 +148,7 @@ class Trie:
     Level one is the sorted context hashes and a monotone pointer for each to where its successors begin. In level two a
     successor is a number relative to its context: its rank among the shard's successor words, added to a base that grows from
     context to context, so the whole level is one monotone sequence. A probability is a step of its logarithm in 255 steps.
+    No level is expanded: what a search holds beside the buffer is the directories and AT_ONCE n-grams.
     """
 
     PARTS = struct.Struct("<6Qd")
@@ -85,7 +159,7 @@ class Trie:
         for size in sizes:
             parts.append(view[at:at + size])
             at += size
-        self.contexts, self.pointers, self.words, self.successors = (EliasFano(p).values() for p in parts[:4])
+        self.contexts, self.pointers, self.words, self.successors = map(EliasFano, parts[:4])
         self.codes = np.frombuffer(parts[4], np.uint8)
 
     @classmethod
@@ -101,19 +175,34 @@ class Trie:
                  EliasFano.packed(base + rank.astype(np.uint64), max(1, len(level) * len(vocabulary))), codes.tobytes()]
         return cls.PARTS.pack(*map(len, parts), 0, least) + b"".join(parts)
 
+    @classmethod
+    def mapped(cls, data: bytes) -> Trie:
+        """A trie over pages of its own outside the heap, which the system takes back with it."""
+        pages = mmap.mmap(-1, len(data))
+        pages.write(data)
+        return cls(pages)
+
     def find(self, contexts: np.ndarray, words: np.ndarray) -> np.ndarray:
-        """The codes of n-grams, 0 for one that is absent: the context's pointers bound the search for its successor."""
+        """The codes of n-grams, 0 for one that is absent: the context's pointers bound the search for its successor.
+
+        A context is looked up once for each run of equal ones.
+        """
         out = np.zeros(len(contexts), np.uint8)
-        if not len(self.contexts):
+        if not self.contexts.n:
             return out
-        c, w = np.searchsorted(self.contexts, contexts), np.searchsorted(self.words, words)
-        c[c == len(self.contexts)] = 0
-        w[w == len(self.words)] = 0
-        there = np.flatnonzero((self.contexts[c] == contexts) & (self.words[w] == words))
-        c, goal = c[there], c[there].astype(np.uint64) * np.uint64(len(self.words)) + w[there].astype(np.uint64)
-        at = np.searchsorted(self.successors, goal)                # the next successor at or after the goal; bases keep it within its context
-        hit = (at < self.pointers[c + 1].astype(np.int64)) & (self.successors[np.minimum(at, len(self.successors) - 1)] == goal)
-        out[there[hit]] = self.codes[at[hit]]
+        for a in range(0, len(contexts), AT_ONCE):
+            context, word = contexts[a:a + AT_ONCE], words[a:a + AT_ONCE]
+            new = np.append(True, context[1:] != context[:-1])
+            place, there = self.contexts.successor(context[new])
+            begin, end = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
+            begin[there], end[there] = (self.pointers.at(place[there] + k).astype(np.int64) for k in (0, 1))
+            run = np.cumsum(new) - 1
+            rank, known = self.words.successor(word)
+            seek = np.flatnonzero(there[run] & known)
+            run = run[seek]
+            goal = place[run].astype(np.uint64) * np.uint64(self.words.n) + rank[seek].astype(np.uint64)
+            at, hit = self.successors.successor(goal, begin[run], end[run])
+            out[a + seek[hit]] = self.codes[at[hit]]
         return out
 
     @staticmethod
@@ -250,7 +339,7 @@ def trie_answers(state: DataFrame, shards: int, capacity: int, hot, prior: float
             i = np.minimum(np.searchsorted(level, keys), len(level) - 1)
             total[i[level[i] == keys]] = known[level[i] == keys]
         packed = Trie.packed(c, w, k / (total[at] + prior))
-        trie = Trie(packed)
+        trie = Trie.mapped(packed)
         data = [squeezed(trie.find(a, b)) for a, b in zip(contexts, prints)]
         n, shard = len(data), asked.column("shard")[0].as_py()
         return pa.table({"kind": ["answer"] * n + ["trie"], "batch": asked.column("batch").to_pylist() + [None], "shard": pa.array([shard] * (n + 1), pa.int32()),

@@ -168,6 +168,33 @@ def test_elias_fano_and_trie(tmp_path):
     assert not trie.find(c, w[::-1].copy() ^ np.uint64(1)).any() and not trie.find(np.array([99], np.uint64), w[:1]).any()
 
 
+def test_successors_are_found_on_the_compact_form():
+    rng = np.random.default_rng(2)
+    for top, n in ((1 << 64, 900), (1 << 64, 1), (1_000, 800), (700, 3_000), (10, 0), (1 << 20, 70_000)):
+        values = np.sort(rng.integers(0, top, n, dtype=np.uint64))
+        level = lm.EliasFano(lm.EliasFano.packed(values, top))
+        goals = np.concatenate([values[:2_000], rng.integers(0, top, 500, dtype=np.uint64), np.array([0, top - 1], np.uint64)])
+        at, equal = level.successor(goals)
+        assert (at == np.searchsorted(values, goals)).all() and (equal == np.isin(goals, values)).all()
+        begin = rng.integers(0, n + 1, len(goals))
+        end = np.minimum(n, begin + rng.integers(0, 9, len(goals)))
+        at, equal = level.successor(goals, begin, end)
+        assert at.tolist() == [a + int(np.searchsorted(values[a:b], g)) for a, b, g in zip(begin, end, goals)]
+        assert equal.tolist() == [bool((values[a:b] == g).any()) for a, b, g in zip(begin, end, goals)]
+
+
+def test_trie_answers_like_a_dictionary():
+    rng = random.Random(3)
+    grams = sorted({(rng.choice([0, 5, 1 << 63]) + rng.randrange(40), rng.randrange(1 << lm.PRINT) if rng.random() < 0.3 else rng.randrange(60)) for _ in range(3_000)})
+    chance = {g: rng.random() * 0.9 + 0.01 for g in grams}
+    trie = lm.Trie.mapped(lm.Trie.packed(*(np.array(x, np.uint64) for x in zip(*grams)), np.array([chance[g] for g in grams])))
+    asked = grams + [(c, (w * 7 + 1) % 61) for c, w in grams] + [(c + 41, w) for c, w in grams]
+    rng.shuffle(asked)
+    found = trie.probability(trie.find(*(np.array(x, np.uint64) for x in zip(*asked))), trie.least)
+    for g, p in zip(asked, found):
+        assert p == 0 if g not in chance else abs(math.log10(p) - math.log10(chance[g])) < 0.01
+
+
 @pytest.mark.parametrize("sizes", [{}, {"batch_tokens": 60, "shard_tokens": 40}])
 def test_scores_match_plain_counts(spark, sizes):
     rng = random.Random(4)
