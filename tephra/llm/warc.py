@@ -51,7 +51,8 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     """One record for each row, in archives of about `max_bytes` below `folder`; returns (path, n_records, n_bytes), written and complete.
 
     Of rows with equal payloads of `min_revisit` bytes or more, the one with the smallest id is the response and the others revisit
-    it. That id comes from an aggregate by digest, combined in every task first; digests of one row join nothing. A task writes to a
+    it. That id comes from an aggregate by digest, combined in every task first and kept as a table; digests of one row join nothing, and
+    the rows of one payload can be joined and written by many tasks. A task writes to a
     name of its own and renames the finished file, so an attempt that is lost or runs twice leaves whole archives only: the
     list that is returned names those of the attempts that counted.
 
@@ -60,7 +61,7 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(payload_col).cast("string"), F.lit("")).cast("binary").alias("payload"))
     rows = rows.withColumn("sha", F.unhex(F.sha1("payload")))
     first = rows.select("sha", "page_id", F.length("payload").alias("n")).where(F.col("n") >= min_revisit).groupBy("sha").agg(F.min("page_id").alias("first_id"), F.count("*").alias("copies"))
-    first = first.where(F.col("copies") > 1).select(F.col("sha").alias("first_sha"), "first_id")
+    first = materialize(first.where(F.col("copies") > 1).select(F.col("sha").alias("first_sha"), "first_id"))     # a table, so that adaptive execution can split a payload's rows
     rows = rows.join(first, F.col("sha") == F.col("first_sha"), "left").select("page_id", "url", "payload", "sha", "first_id")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,30 +128,46 @@ def headers(block: bytes) -> dict[str, str]:
     return {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines[1:])}
 
 
-def read_record(more: Callable[[], bytes]) -> dict:
-    """One record from its member: headers up to the empty line, then as many bytes as Content-Length says, digests summed on the way."""
+def read_record(more: Callable[[], bytes], keep: bool = True) -> dict:
+    """One record from its member: headers up to the empty line, then as many bytes as Content-Length says, digests summed on the way.
+
+    Only the headers, and the payload if it is to be kept, are held.
+    """
     data = bytearray()
     while (cut := data.find(b"\r\n\r\n")) < 0:
         if not (new := more()):
             raise ValueError("a record without headers")
         data += new
-    head, length = headers(bytes(data[:cut])), None
-    del data[:cut + 4]
-    length = int(head["content-length"])
-    while len(data) < length:
-        if not (new := more()):
+    head, new = headers(bytes(data[:cut])), bytes(data[cut + 4:])
+    left = int(head["content-length"])
+    block, body, http, inside, size, kept = hashlib.sha1(), hashlib.sha1(), bytearray(), False, 0, []
+    while left:
+        new = new[:left] or more()
+        if not new:
             raise ValueError("a record shorter than its Content-Length")
-        data += new
-    block = bytes(data[:length])
-    http, _, payload = block.partition(b"\r\n\r\n")
+        new = new[:left]
+        left -= len(new)
+        block.update(new)
+        if not inside:                                                 # the headers of the answer come before its payload
+            seen = max(0, len(http) - 3)
+            http += new
+            end = http.find(b"\r\n\r\n", seen)
+            inside, new = end >= 0, bytes(http[end + 4:]) if end >= 0 else b""
+            del http[end if inside else len(http):]
+        body.update(new)
+        size += len(new)
+        if keep:
+            kept.append(new)
+        new = b""
     kind = head["warc-type"]
     number = lambda name: int(v) if (v := head.get(name, "").removeprefix("<urn:page:").removesuffix(">")) else None
+    base32 = lambda digest: base64.b32encode(digest.digest()).decode()
     said = head.get("warc-payload-digest", "").removeprefix("sha1:")
-    whole = head.get("warc-block-digest", "").removeprefix("sha1:") == sha1_base32(block)
-    own = sha1_base32(payload) if kind != "revisit" else said
-    n = len(payload) if kind != "revisit" else int(headers(http)["content-length"])
+    whole = head.get("warc-block-digest", "").removeprefix("sha1:") == base32(block)
+    own = base32(body) if kind != "revisit" else said
+    n = size if kind != "revisit" else int(headers(bytes(http))["content-length"])
     return {"page_id": number("warc-record-id"), "url": head.get("warc-target-uri"), "record_type": kind, "refers_to": number("warc-refers-to"),
-            "payload": None if kind == "revisit" else payload, "payload_bytes": n, "payload_digest": own, "digest_ok": whole and own == said}
+            "payload": b"".join(kept) if keep and kind != "revisit" else None, "payload_bytes": n, "payload_digest": own, "digest_ok": whole and own == said}
 
 
 def read_archives(paths: DataFrame, path_col: str = "path", payload: bool = True) -> DataFrame:
@@ -172,11 +189,8 @@ def read_archives(paths: DataFrame, path_col: str = "path", payload: bool = True
                 with files.open_input_stream(path, compression=None) as source:
                     held, size = [], 0
                     for more in Members(source):
-                        record = read_record(more)
+                        held.append(record := read_record(more, payload))
                         size += len(record["payload"] or b"") + 200
-                        if not payload:
-                            record["payload"] = None
-                        held.append(record)
                         if size > 8 << 20:
                             yield pa.RecordBatch.from_pylist(held, schema)
                             held, size = [], 0
