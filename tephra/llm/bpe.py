@@ -74,10 +74,21 @@ def id_lists(coded: list[bytes | None]) -> pa.Array:
 def long_chunks(texts: DataFrame, chunk: int, overlap: int, pattern: str) -> DataFrame:
     """(row, k, body, offset, head, tail): the chunks of each text and the boundaries that a run started at the chunk's first character
     has in its own first `overlap` characters (head) and in those of the next chunk (tail). `body` reaches twice the overlap into the
-    next chunk, so that no boundary in the tail depends on where the body was cut."""
-    pieces = (texts.withColumn("k", F.explode(F.sequence(F.lit(0), F.floor((F.char_length("text") - 1) / chunk).cast("int"))))
-              .select("row", "k", F.substring("text", F.col("k") * chunk + 1, F.lit(chunk + 2 * overlap)).alias("body"))
-              .repartition("row", "k"))                            # the chunks of one long text go to many tasks
+    next chunk, so that no boundary in the tail depends on where the body was cut. A text is cut in one pass."""
+    def cut(batches):
+        names = ["row", "k", "body"]
+        for b in batches:
+            for row, text in zip(b.column("row").to_pylist(), b.column("text")):
+                text, held = text.as_py(), []
+                for k, at in enumerate(chunk_starts(len(text), chunk)):
+                    held.append((row, k, text[at:at + chunk + 2 * overlap]))
+                    if len(held) * chunk > 4 << 20:
+                        yield pa.RecordBatch.from_arrays(list(map(pa.array, zip(*held))), names=names)
+                        held = []
+                if held:
+                    yield pa.RecordBatch.from_arrays(list(map(pa.array, zip(*held))), names=names)
+
+    pieces = texts.mapInArrow(cut, "row string, k long, body string").withColumn("k", F.col("k").cast("int")).repartition("row", "k")     # the chunks of one long text go to many tasks
 
     def start():
         compiled = regex.compile(pattern)
