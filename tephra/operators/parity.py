@@ -62,7 +62,7 @@ def table_parity(left: DataFrame, right: DataFrame, key: Sequence[str], *, ignor
     """One row per difference: key (JSON), `problem` (only left, only right, or the columns that differ).
 
     Keys whose rows are equal on both sides are told by fingerprints and go no further; reals that differ within the tolerance make a key a suspect, no more. Rows of
-    a suspect are paired in column order. Equal rows collapse to a count before pairing, and the pairing
+    a suspect are paired in the order of their values, column after column, nulls first. Equal rows collapse to a count before pairing, and the pairing
     number runs in chunks of the order of all rows, cut at sampled quantiles: a key with very many rows is spread over
     as many tasks as it needs, whatever its rows begin with.
     """
@@ -76,10 +76,10 @@ def table_parity(left: DataFrame, right: DataFrame, key: Sequence[str], *, ignor
         return text.withColumn("_sort", F.to_json(short, {"ignoreNullFields": "false"}))
 
     def prepared(rows: DataFrame, side: str) -> DataFrame:
-        distinct = rows.join(wanted, "_key", "left_semi").groupBy("_key", "_sort", "_row").agg(F.count("*").alias("_n"))
+        distinct = rows.join(wanted, "_key", "left_semi").groupBy("_key", F.col("_row").alias("_sort")).agg(F.count("*").alias("_n"))
         numbered = ordered_scan(in_ranges(distinct), ["_key"], ["_sort"], F.col("_range"), running_sum={"_upto": F.col("_n")})
         return numbered.select("_key", F.explode(F.sequence(F.col("_upto") - F.col("_n") + 1, F.col("_upto"))).alias("_i"),
-                               F.col("_row").alias(side))
+                               F.col("_sort").alias(side))
 
     one, two = ordered(left), ordered(right)
     wanted = suspects(one.select("_key", "_sort"), two.select("_key", "_sort"))

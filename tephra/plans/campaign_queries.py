@@ -166,7 +166,14 @@ union all select 'orders', 'o_custkey', 'unique', count(*) from (select o_custke
 union all select o_custkey, count(*), 'warn', 'customer' from orders where o_custkey not in (select c_custkey from customer where c_acctbal > 0) group by 1""",
     "q_no_duplicates": """select 'orders' as grain, o_custkey::varchar || '|' || strftime(o_orderdate, '%Y-%m-%d') as key, count(*) as n from orders group by o_custkey, o_orderdate having count(*) > 1
 union all select 'events', user_id::varchar || '|' || round(value * 100)::bigint::varchar, count(*) from events group by user_id, value having count(*) > 1""",
-    "q_table_parity": """with b as (select distinct l_partkey as k, l_returnflag as f from lineitem)
-select '{"l_partkey":' || k::varchar || ',"l_returnflag":"' || f || '"}' as key, case when k % 97 = 0 then 'only left' when k % 89 = 0 and k % 83 = 0 then 'qty,n' when k % 89 = 0 then 'qty' else 'n' end as problem
-from b where k % 97 = 0 or k % 89 = 0 or k % 83 = 0 union all select '{"l_partkey":' || (k + 1000000)::varchar || ',"l_returnflag":"' || f || '"}', 'only right' from b where k % 101 = 0""",
+    "q_table_parity": """with b as (select l_partkey as k, l_returnflag as f, sum(l_quantity) as qty, max(l_shipdate) as last, count(*)::double as n from lineitem group by 1, 2),
+o as (select k, f, case when k % 89 = 0 then qty + 1 else qty * 1.000000001::double end as qty, last, case when k % 83 <> 0 then n end as n from b where k % 97 <> 0
+  union all select k + 1000000, f, qty, last, n from b where k % 101 = 0),
+l as (select *, row_number() over (partition by k, f order by qty nulls first, last nulls first, n nulls first) as i from b),
+r as (select *, row_number() over (partition by k, f order by qty nulls first, last nulls first, n nulls first) as i from o),
+p as (select coalesce(l.k, r.k) as k, coalesce(l.f, r.f) as f, case when r.i is null then 'only left' when l.i is null then 'only right' else nullif(concat_ws(',',
+    case when not coalesce(abs(l.qty - r.qty) <= greatest(1e-6::double * greatest(abs(l.qty), abs(r.qty)), 1e-9::double), l.qty is null and r.qty is null) then 'qty' end, case when l.last is distinct from r.last then 'last' end,
+    case when not coalesce(abs(l.n - r.n) <= greatest(1e-6::double * greatest(l.n, r.n), 1e-9::double), l.n is null and r.n is null) then 'n' end), '') end as problem
+  from l full join r on l.k = r.k and l.f = r.f and l.i = r.i)
+select '{"l_partkey":' || k::varchar || ',"l_returnflag":"' || f || '"}' as key, problem from p where problem is not null""",
 }

@@ -143,3 +143,10 @@ def test_point_in_time_joins_take_the_chunk_unit(spark):
     for unit in ("day", "hour", "minute"):
         assert quality.rebuild_mismatches(facts, history, "e", "t", ["x"], unit=unit).count() == 0
         assert quality.uncovered_observations(facts.withColumn("id", F.col("t").cast("string")), history, "e", "t", ["id", "e"], unit=unit).count() == 0
+
+
+def test_parity_pairs_numbers_by_value(spark):
+    left = spark.createDataFrame([("k", 999.9999999), ("k", 250.0)], "k string, a double")
+    right = spark.createDataFrame([("k", 1000.0), ("k", 250.0)], "k string, a double")
+    assert parity.table_parity(left, right, ["k"]).count() == 0          # as text, 1000 comes before 250
+    assert [r.problem for r in parity.table_parity(left, right.withColumn("a", F.nullif("a", F.lit(250.0))), ["k"]).collect()] == ["a"]
