@@ -7,7 +7,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import drop_materialized, materialize
@@ -141,17 +141,16 @@ def components(links: DataFrame) -> DataFrame:
         mark = now
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80, tables: int = 16, rows: int = 3, hot: int = 64) -> DataFrame:
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80, tables: int = 16, rows: int = 3) -> DataFrame:
     """(id, n_shingles, component_id, kept) for every row of `docs`: groups of texts linked by 100 * intersection >= percent * union of their
     distinct `size`-word shingles (64-bit hashes).
 
     Rows with equal sets form a class, the node of the graph. Classes meet in tensored tables: with 16 bands of three
     min-hashes a side, a pair at 0.8 is missed with probability 2 * (1 - 0.8 ** 3) ** 16, about 2 in 100,000, and less above. In each
     bucket every class is compared with one centre, the class with most shared bands, never all with all. Where some then still lie in
-    another component than the centre, they are compared with one drawn member of each of their buckets. What is left is compared
-    with the rest of its bucket, except where sizes or parity bitmaps prove that a pair cannot link. After the centres, buckets of more than `hot` classes
-    give way to those of second bands (see second_keys()), so that a template's many documents, alike but under the threshold, do not
-    all meet; there a pair at 0.8 is missed with probability 0.03, unless a centre links it.
+    another component than a centre they met, all that met this centre are open, and links between open classes are found without loss: two sets that
+    link share one of their rarest shingles (see rare_rows()). Open classes that share one are first compared with one drawn member for each such shingle; what
+    stays apart is compared pair by pair, except where the shingle's places, sizes or parity bitmaps prove that a pair cannot link. One rule serves groups of any size.
 
     Null, empty and wordless texts have no shingles and link with nothing, as do rows without an id (component null, kept). Rows that
     repeat an id are one document: linked to what either is, and kept or not alike.
@@ -161,18 +160,18 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     classes = found.where(F.col("id").isNotNull() & F.col("cls").isNotNull()).groupBy("node").agg(F.min("id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("parity").alias("parity"))
     classes = materialize(classes)
     index = materialize(index_rows(classes, tables))
-    met = materialize(index.drop("weight").join(materialize(buckets_of(index)), "key"))
+    met = materialize(index.select("key", "node").join(materialize(buckets_of(index)), "key").groupBy("centre", "node").agg(F.max("members").alias("members")))
     drop_materialized(index)
-    first = met.where(F.col("node") != F.col("centre")).select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
+    first = met.where(F.col("node") != F.col("centre")).select(F.col("centre").alias("a"), F.col("node").alias("b"))
     sets = shingle_sets(docs, met.select("node").distinct(), classes, id_col, text_col, size)
     linked = lambda df: df.where(100 * F.col("shared") >= percent * F.col("total")).select("a", "b")
     groups = components(linked(overlaps(first, sets)).unionByName(one_document(found)))
-    open_ = split_crowded(met, sets, hot).where(F.col("members") > 2)      # a bucket of two is done
-    for pairs in (lambda at: second_stars(at, percent), lambda at: leftover_pairs(at, percent)):
-        more = materialize(linked(overlaps(materialize(pairs(stray_rows(open_, groups, classes))), sets)))
+    rare = materialize(rare_rows(open_classes(met, groups), sets, percent))
+    for pairs in (second_stars, leftover_pairs):
+        more = materialize(linked(overlaps(materialize(pairs(apart_rows(rare, groups, classes), percent)), sets)))
         if more.limit(1).count():                                  # the stars found so far stand for their links
             groups = components(groups.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more))
-    for done in (met, sets):                                       # groups is a table of its own by now
+    for done in (met, sets, rare):                                 # groups is a table of its own by now
         drop_materialized(done)
     return labelled(found, classes, groups)
 
@@ -199,27 +198,53 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, classes: DataFrame, id_col:
     return materialize(sets.where(F.xxhash64("cls") == F.col("node")).dropDuplicates(["node"]).select("node", "shingles"))
 
 
-def stray_rows(met: DataFrame, groups: DataFrame, classes: DataFrame) -> DataFrame:
-    """The members of buckets that hold some class of another component than the centre's (those are stray), with their parity words."""
+def open_classes(met: DataFrame, groups: DataFrame) -> DataFrame:
+    """(node): the classes that met a centre in a bucket of three or more, where some class that did lies in another component than that centre."""
     group = lambda of, name: groups.select(F.col("id").alias(of), F.col("component").alias(name))
-    at = met.where(F.col("node") != F.col("centre")).join(group("node", "g"), "node", "left").join(group("centre", "h"), "centre", "left")
-    at = materialize(at.withColumns({"g": F.coalesce("g", "node"), "h": F.coalesce("h", "centre")}))
-    at = at.join(materialize(at.where(F.col("g") != F.col("h")).select("key").distinct()), "key", "left_semi")
+    at = met.where(F.col("members") > 2).select("centre", "node")          # a bucket of two is done
+    of = at.join(group("node", "g"), "node", "left").join(group("centre", "h"), "centre", "left")
+    strays = of.where(F.coalesce("g", "node") != F.coalesce("h", "centre")).select("centre").distinct()
+    return materialize(at.join(materialize(strays), "centre", "left_semi").select("node").distinct())
+
+
+def rare_rows(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(key, node, n, place): each set's rarest shingles among the open classes, so many that two sets which link must share one.
+
+    All sets are put in one order, by the number of open classes that hold a shingle, then by its hash. If the first shingle that two sets share is number `place` of
+    n, they share n - place + 1 at most; below percent of n no set can link. Shingles of one class count for the places but make no row.
+    """
+    each = materialize(sets.join(open_, "node").select("node", F.size("shingles").cast("long").alias("n"), F.explode("shingles").alias("key")))
+    held = materialize(each.groupBy("key").agg(F.count("*").alias("held")).where(F.col("held") > 1))
+    # those of one class lead every order, so that their number is all that counts
+    ranked = each.join(held, "key").withColumn("at", F.row_number().over(Window.partitionBy("node").orderBy("held", "key")))
+    alone = F.col("n") - F.count("*").over(Window.partitionBy("node"))
+    places = ranked.withColumn("place", alone + F.col("at"))
+    return places.where(100 * (F.col("n") - F.col("place") + 1) >= percent * F.col("n")).select("key", "node", "n", "place")
+
+
+def apart_rows(rare: DataFrame, groups: DataFrame, classes: DataFrame) -> DataFrame:
+    """The rows of the rare shingles that classes of several components share, with the component and the parity words."""
+    at = rare.join(groups.select(F.col("id").alias("node"), F.col("component").alias("g")), "node", "left").withColumn("g", F.coalesce("g", "node"))
+    at = materialize(at)
+    several = materialize(at.groupBy("key").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where(F.col("lo") != F.col("hi")).select("key"))
     words = [F.get("parity", k).alias(f"p{k}") for k in range(PARITY)]
-    return materialize(at.join(classes.select("node", *words), "node").select("key", "node", "n", "g", (F.col("g") != F.col("h")).alias("stray"), *[f"p{k}" for k in range(PARITY)]))
+    return materialize(at.join(several, "key", "left_semi").join(classes.select("node", *words), "node"))
 
 
 def could_link(x: str, y: str, percent: int) -> Column:
-    """Different components, and sizes and bitmaps that allow a link: as many bits as differ, as many members at least are not shared."""
+    """Different components, and places, sizes and bitmaps that allow a link: what follows the first shared shingle is all that two sets can share; as many bits as differ,
+    as many members at least are not shared."""
     apart = sum((F.bit_count(F.col(f"{x}.p{k}").bitwiseXOR(F.col(f"{y}.p{k}"))) for k in range(1, PARITY)), F.bit_count(F.col(f"{x}.p0").bitwiseXOR(F.col(f"{y}.p0"))))
     both = F.col(f"{x}.n") + F.col(f"{y}.n")
+    rest = F.least(F.col(f"{x}.n") - F.col(f"{x}.place"), F.col(f"{y}.n") - F.col(f"{y}.place")) + 1
     return ((F.col(f"{x}.g") != F.col(f"{y}.g")) & (100 * F.least(f"{x}.n", f"{y}.n") >= percent * F.greatest(f"{x}.n", f"{y}.n"))
+            & ((100 + percent) * rest >= percent * both)
             & (100 * (both - apart) >= percent * (both + apart)))          # intersection (both - apart) / 2 at most, union (both + apart) / 2 at least
 
 
 def second_stars(at: DataFrame, percent: int) -> DataFrame:
-    """(a, b): in each bucket with strays, members against one drawn by hash, another in every bucket: what links at all mostly finds a link so."""
-    drawn = at.groupBy("key").agg(F.min(F.struct(F.xxhash64("key", "node").alias("by"), "node", "n", "g", *[f"p{k}" for k in range(PARITY)])).alias("c"))
+    """(a, b): the holders of each rare shingle against one drawn by hash, another for every shingle: what links at all mostly finds a link so."""
+    drawn = at.groupBy("key").agg(F.min(F.struct(F.xxhash64("key", "node").alias("by"), *[c for c in at.columns if c != "key"])).alias("c"))
     pairs = at.alias("x").join(materialize(drawn.select("key", "c.*")).alias("y"), (F.col("x.key") == F.col("y.key")) & could_link("x", "y", percent))
     return pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
 
@@ -236,19 +261,11 @@ def second_keys(sets: DataFrame, bands: int = 128, rows: int = 16) -> DataFrame:
     return sets.select("node", "shingles").mapInArrow(work, "key long, node long, n long")
 
 
-def split_crowded(met: DataFrame, sets: DataFrame, hot: int) -> DataFrame:
-    """(key, node, n, members, centre): the buckets of up to `hot` classes, and, for the members of all larger ones, the buckets of their second bands."""
-    crowd = materialize(met.where(F.col("members") > hot).select("node").distinct())
-    index = materialize(second_keys(sets.join(crowd, "node")).withColumn("weight", F.lit(0)))
-    again = index.drop("weight").join(materialize(buckets_of(index)), "key")
-    return materialize(met.where(F.col("members") <= hot).select("key", "node", "n", "members", "centre").unionByName(again.select("key", "node", "n", "members", "centre")))
-
-
 def leftover_pairs(at: DataFrame, percent: int) -> DataFrame:
-    """(a, b): pairs of a stray and another class of its bucket that could still link."""
-    x, y = at.where("stray").alias("x"), at.alias("y")
-    fits = (F.col("x.node") != F.col("y.node")) & (~F.col("y.stray") | (F.col("x.node") < F.col("y.node"))) & could_link("x", "y", percent)
-    return x.join(y, (F.col("x.key") == F.col("y.key")) & fits).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+    """(a, b): pairs that share a rare shingle and could still link. The smaller set of a pair shares more than `percent` of itself, so fewer of its shingles are looked at."""
+    x, y = at.alias("x"), at.where((100 + percent) * (F.col("n") - F.col("place") + 1) >= 2 * percent * F.col("n")).alias("y")
+    smaller = (F.col("y.n") < F.col("x.n")) | ((F.col("y.n") == F.col("x.n")) & (F.col("y.node") < F.col("x.node")))
+    return x.join(y, (F.col("x.key") == F.col("y.key")) & smaller & could_link("x", "y", percent)).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
 
 
 def labelled(found: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFrame:

@@ -448,6 +448,15 @@ def test_a_template_under_the_threshold_does_not_pair_all(spark, monkeypatch):
     assert totals[600] <= 6 * totals[150] and totals[600] < 600 * 599 / 20
 
 
+def test_pairs_at_the_threshold_link_in_a_crowd_too(spark):
+    """Pairs at exactly 0.8 among many other documents at 0.71: each must link, whatever the crowd."""
+    common = [f"t{i}" for i in range(151)]
+    pairs = 250
+    rows = [(2 * k + side, " ".join([*common, *[f"p{k}x{i}" for i in range(10)], *[f"d{k}x{side}x{i}" for i in range(20)]])) for k in range(pairs) for side in (0, 1)]
+    got = {r.id: r.component_id for r in minhash.near_groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(2), size=2).collect()}
+    assert got == {i: i - i % 2 for i in range(2 * pairs)}
+
+
 def test_second_keys_find_nine_in_ten_at_the_threshold(spark):
     rng = np.random.default_rng(5)
     pairs = []
