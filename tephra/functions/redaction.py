@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,20 +42,28 @@ PORTABLE = [p for p in PATTERNS if p[0] != "kv_secret"]
 
 
 # Text every match of the pattern contains. Looking for it costs far less than running the pattern,
-# and most texts hold none. Patterns that ignore case have no such text.
+# and most texts hold none.
 ANCHORS = {
     "hf_token": ["hf_"], "runpod_key": ["rpa_"], "sk_key": ["sk-"], "github_token": ["ghp_", "gho_", "ghu_", "ghs_", "ghr_"],
     "github_pat": ["github_pat_"], "aws_access_key": ["AKIA", "ASIA"], "slack_token": ["xox"], "private_key": ["-----BEGIN "],
     "private_key_truncated": ["-----BEGIN "], "jwt": ["eyJ"], "google_api_key": ["AIza"], "stripe_key": ["k_live_", "k_test_"],
     "sendgrid_key": ["SG."], "slack_webhook": ["https://hooks.slack.com/services/T"], "url_password": ["://"],
 }
+# The same for patterns that ignore case, looked for in the text in lower case.
+LOWER_ANCHORS = {
+    "bearer": ["bearer"], "basic_auth": ["basic"], "query_secret": ["key=", "token=", "secret=", "password="],
+    "kv_secret": ["apikey", "api_key", "api-key", "secret", "token", "password", "passwd", "authorization", "credential"],
+}
 
 
 def may_match(name: str, text: Column) -> Column:
-    found = F.lit(name not in ANCHORS)
-    for anchor in ANCHORS.get(name, []):
-        found = found | text.contains(anchor)
-    return found
+    if name in LOWER_ANCHORS:
+        return bound(F.lower(text), lambda t: any_of(t, LOWER_ANCHORS[name]))
+    return any_of(text, ANCHORS[name]) if name in ANCHORS else F.lit(True)
+
+
+def any_of(text: Column, anchors: Sequence[str]) -> Column:
+    return reduce(or_, [text.contains(a) for a in anchors])
 
 
 def bound(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -66,3 +66,9 @@ def test_shapes(spark):
             assert r.hits.get(r.want) == 1, r.was
     once = df.select(redaction.redact(F.col("text")).alias("text"))
     assert once.where(redaction.redact(F.col("text")) != F.col("text")).count() == 0        # idempotent
+
+
+def test_plain_text_is_not_searched(spark):
+    df = spark.createDataFrame([("Plain prose about keys, tides and İstanbul.", None), *[(t.swapcase(), n) for t, n in CAUGHT.items() if n in redaction.LOWER_ANCHORS]], "text string, want string")
+    for r in df.select("want", *[redaction.may_match(n, F.col("text")).alias(n) for n in redaction.LOWER_ANCHORS]).collect():
+        assert [n for n in redaction.LOWER_ANCHORS if r[n]] == [] if r.want is None else r[r.want]
