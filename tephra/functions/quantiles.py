@@ -2,7 +2,7 @@
 
 `percentile_disc` keeps every distinct value of a group in one task. Here a first pass counts values per
 (group, leading digits of the value), which finds exactly the digit bucket that holds each wanted rank; a
-second pass ranks only the values of those buckets. Both passes combine on the map side, no task sees a
+second pass ranks only the values of those buckets, except where all values of a bucket are equal. Both passes combine on the map side, no task sees a
 whole group, and the result is an observed value at rank ceil(q * n), or the interpolated quantile.
 """
 
@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .ordered import ordered_scan
 
 # Buckets per power of two. The histogram of a group holds at most COARSE rows per octave its values span,
@@ -69,7 +70,7 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], wanted: Sequence[Quantil
 
     group = Window.partitionBy("_k", "_m")
     upto = group.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hist = (values.groupBy("_k", "_m", "_b").agg(F.count("*").alias("_n"))
+    hist = (values.groupBy("_k", "_m", "_b").agg(F.count("*").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
             .withColumn("_upto", F.sum("_n").over(upto)).withColumn("_total", F.sum("_n").over(group)))
     total = F.col("_total")
     ranks = []
@@ -84,15 +85,21 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], wanted: Sequence[Quantil
                   for end, rank in ends]
     here = F.filter(F.array(*ranks), lambda r: (r["m"] == F.col("_m")) & (r["rank"] <= F.col("_upto"))
                     & (r["rank"] > F.col("_upto") - F.col("_n")))
-    targets = (hist.select("_k", "_m", "_b", (F.col("_upto") - F.col("_n")).alias("_below"), F.explode(here).alias("t"))
-               .select("_k", "_m", "_b", (F.col("t.rank") - F.col("_below")).alias("_rank"), "t.w", "t.end", "t.part"))
+    targets = (hist.select("_k", "_m", "_b", "_lo", "_hi", (F.col("_upto") - F.col("_n")).alias("_below"), F.explode(here).alias("t"))
+               .select("_k", "_m", "_b", "_lo", "_hi", (F.col("t.rank") - F.col("_below")).alias("_rank"), "t.w", "t.end", "t.part"))
+    all_targets = materialize(targets)
+    one_value = F.col("_lo") == F.col("_hi")
+    # adding zero leaves no negative one
+    sure = all_targets.where(one_value).select("_k", (F.col("_lo") + F.lit(0.0)).alias("_v"), "w", "end", "part")
+    targets = all_targets.where(~one_value).drop("_lo", "_hi")
 
     inside = (values.join(targets.select("_k", "_m", "_b"), ["_k", "_m", "_b"], "left_semi")
               .groupBy("_k", "_m", "_b", "_v").agg(F.count("*").alias("_n")))
     ranked = ordered_scan(inside, ["_k", "_m", "_b"], ["_v"], leading_digits(F.col("_v"), FINE),
                           running_sum={"_upto": F.col("_n")})
     found = (ranked.join(targets, ["_k", "_m", "_b"])
-             .where((F.col("_rank") <= F.col("_upto")) & (F.col("_rank") > F.col("_upto") - F.col("_n"))))
+             .where((F.col("_rank") <= F.col("_upto")) & (F.col("_rank") > F.col("_upto") - F.col("_n")))
+             .select("_k", "_v", "w", "end", "part").unionByName(sure))
 
     cells = []
     for i, w in enumerate(wanted):
