@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 VERSION = ["source_file", "source_sha256"]
 
 
@@ -35,10 +37,14 @@ def keep_preferred(df: DataFrame, key: Sequence[str], priority: Column, tie: str
 
 
 def one_ingest(rows: DataFrame) -> DataFrame:
-    """All rows of the latest ingest of each file version; a forced second append does not double them."""
+    """All rows of the latest ingest of each file version; a forced second append does not double them.
+
+    The versions are a table of their own, so that its true size is known: while it is small the rows are not dealt out by version, where a few
+    files would fill a few tasks.
+    """
     latest = (rows.groupBy(*VERSION).agg(F.max(F.struct("ingested_at", "run_label")).alias("_l"))
               .select(*VERSION, "_l.*"))
-    return rows.join(latest, [*VERSION, "ingested_at", "run_label"], "left_semi")
+    return rows.join(materialize(latest), [*VERSION, "ingested_at", "run_label"], "left_semi")
 
 
 def current_rows(rows: DataFrame, manifest: DataFrame) -> DataFrame:
@@ -46,7 +52,7 @@ def current_rows(rows: DataFrame, manifest: DataFrame) -> DataFrame:
 
     The manifest decides, not ingest time: a reverted, renamed or emptied file selects the right version.
     """
-    current = manifest.select(*VERSION).distinct()
+    current = materialize(manifest.select(*VERSION).distinct())
     return one_ingest(rows.join(current, VERSION, "left_semi"))
 
 
