@@ -150,3 +150,10 @@ def test_parity_pairs_numbers_by_value(spark):
     right = spark.createDataFrame([("k", 1000.0), ("k", 250.0)], "k string, a double")
     assert parity.table_parity(left, right, ["k"]).count() == 0          # as text, 1000 comes before 250
     assert [r.problem for r in parity.table_parity(left, right.withColumn("a", F.nullif("a", F.lit(250.0))), ["k"]).collect()] == ["a"]
+
+
+def test_rows_of_few_versions_are_not_dealt_out_by_version(spark):
+    from tephra.operators import snapshot
+    rows = spark.range(3_000_000).select("id", F.concat(F.lit("f"), F.col("id") % 3).alias("source_file"), F.lit("v").alias("source_sha256"), F.lit("2024-01-01").alias("ingested_at"), F.lit("r").alias("run_label"))
+    plan = snapshot.current_rows(rows, rows.where("id % 3 < 2"))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 2
