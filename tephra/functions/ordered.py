@@ -5,16 +5,22 @@ on one key that task never ends. Here each key's timeline is cut into chunks (a
 numbers). A window runs inside each (key, chunk), the last row of each chunk summarises it, a second
 window runs over those summaries only (one row per chunk of a key), and its result is joined back on
 (key, chunk), the partitioning the rows already have.
+
+Keys of few rows need none of this: `by_size` counts the rows of each key and cuts only the busy ones into
+chunks; the others are sorted once, by key, and steps that follow on the same key find them in place.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 CHUNK = "_chunk"
+MOST = 200_000          # rows of one key that a task sorts at once; busier keys are cut into chunks
 
 
 def by_time(col: str, unit: str = "day") -> Column:
@@ -27,7 +33,19 @@ def by_number(col: str, size: int = 1_000_000) -> Column:
     return F.floor(F.col(col) / F.lit(size))
 
 
-def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column, *,
+def by_size(df: DataFrame, keys: Sequence[str], build: Callable[[DataFrame, bool], DataFrame], most: int = MOST) -> DataFrame:
+    """`build(rows, whole)` on the rows of all keys: whole=True for keys of at most `most` rows, False for busier ones.
+
+    There are at most rows / `most` busy keys; their names become a table, so that the plan has their branch only where there are any.
+    `keys` must hold no nulls, and `build` must keep keys apart.
+    """
+    busy = materialize(df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > most).select(*keys))
+    if busy.isEmpty():
+        return build(df, True)
+    return build(df.join(busy, keys, "left_anti"), True).unionByName(build(df.join(busy, keys, "left_semi"), False))
+
+
+def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column, *, whole: bool = False,
                  lag: Mapping[str, Column] | None = None,
                  lead: Mapping[str, Column] | None = None,
                  running_sum: Mapping[str, Column] | None = None,
@@ -42,6 +60,8 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk
     carry_backward    first non-null value at or after the row
     runs              number (from 1) of the row's run of equal values, and NAME_starts on its first row
 
+    `whole` says that each key fits a task: one window by key, no chunks.
+
     The rows and their chunk summaries both read `df`: give chains of scans a materialised input
     (`tephra.session.materialize`), or each step doubles the work before it.
 
@@ -52,13 +72,13 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk
     lag, lead = dict(lag or {}), dict(lead or {})
     sums, fwd, bwd, runs = dict(running_sum or {}), dict(carry_forward or {}), dict(carry_backward or {}), dict(runs or {})
     kept = df.columns
-    names = list(keys) + [CHUNK]
+    names = list(keys) if whole else list(keys) + [CHUNK]
     inside = Window.partitionBy(*names).orderBy(*order)
     sofar = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     onward = (Window.partitionBy(*names).orderBy(*[F.col(c).desc() for c in order])
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
 
-    staged = df.withColumn(CHUNK, chunk)
+    staged = df if whole else df.withColumn(CHUNK, chunk)
     exprs = {}
     for kind, group in (("lag", lag), ("lead", lead)):
         if group:
@@ -68,24 +88,31 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk
     exprs |= {f"_r_{n}": e for n, e in runs.items()}
     staged = staged.select("*", *[e.alias(n) for n, e in exprs.items()])
 
-    local = {"_is_last": F.lead(F.lit(1)).over(inside).isNull()}
+    local = {} if whole else {"_is_last": F.lead(F.lit(1)).over(inside).isNull()}
     if lag:
         local["_lag_in"] = F.lag("_lag").over(inside)
     if lead:
         local["_lead_in"] = F.lead("_lead").over(inside)
-        local["_lead_first"] = F.first("_lead").over(sofar)
+        if not whole:
+            local["_lead_first"] = F.first("_lead").over(sofar)
     local |= {f"_sl_{n}": F.coalesce(F.sum(f"_s_{n}").over(sofar), F.lit(0)) for n in sums}
     local |= {f"_fl_{n}": F.last(f"_f_{n}", ignorenulls=True).over(sofar) for n in fwd}
-    # the first non-null of the whole chunk, known on its last row, is what earlier chunks see
-    local |= {f"_bh_{n}": F.first(f"_b_{n}", ignorenulls=True).over(sofar) for n in bwd}
+    if not whole:       # the first non-null of the whole chunk, known on its last row, is what earlier chunks see
+        local |= {f"_bh_{n}": F.first(f"_b_{n}", ignorenulls=True).over(sofar) for n in bwd}
     local |= {f"_bl_{n}": F.last(f"_b_{n}", ignorenulls=True).over(onward) for n in bwd}
     for n in runs:
         before_it = F.lag(f"_r_{n}").over(inside)
         local[f"_rd_{n}"] = (before_it.isNotNull() & (before_it != F.col(f"_r_{n}"))).cast("bigint")
         local[f"_r0_{n}"] = F.lag(F.lit(1)).over(inside).isNull()
-        local[f"_rf_{n}"] = F.first(f"_r_{n}").over(sofar)
+        if not whole:
+            local[f"_rf_{n}"] = F.first(f"_r_{n}").over(sofar)
     rows = staged.select("*", *[e.alias(n) for n, e in local.items()])
     rows = rows.select("*", *[F.sum(f"_rd_{n}").over(sofar).alias(f"_rl_{n}") for n in runs])
+    if whole:
+        return rows.select(
+            *kept, *[F.col("_lag_in")[n].alias(n) for n in lag], *[F.col("_lead_in")[n].alias(n) for n in lead],
+            *[F.col(f"_sl_{n}").alias(n) for n in sums], *[F.col(f"_fl_{n}").alias(n) for n in fwd], *[F.col(f"_bl_{n}").alias(n) for n in bwd],
+            *[c for n in runs for c in ((F.col(f"_rl_{n}") + 1).alias(n), (F.col(f"_r0_{n}") | (F.col(f"_rd_{n}") == 1)).alias(f"{n}_starts"))])
 
     over_chunks = Window.partitionBy(*keys).orderBy(CHUNK)
     before = over_chunks.rowsBetween(Window.unboundedPreceding, -1)
@@ -127,13 +154,14 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk
 
 
 def asof_join(facts: DataFrame, histories: Sequence[tuple[DataFrame, Mapping[str, str]]], key: str, at: str, *,
-              valid_from: str = "valid_from", valid_to: str = "valid_to", unit: str = "day") -> DataFrame:
+              valid_from: str = "valid_from", valid_to: str = "valid_to", unit: str = "day", most: int = MOST) -> DataFrame:
     """Left point-in-time join: per history the version of `key` with valid_from <= at < valid_to (null = open).
 
     `histories` pairs each history with {its column: output name}; the windows of one key must not overlap
     within a history. Facts and the version starts of all histories are laid on one timeline and the latest
     version of each is carried forward, so the cost is one sort; a range join would pair every fact of a
-    busy key with every version of it. Facts without a key or time keep null version columns.
+    busy key with every version of it. Facts without a key or time keep null version columns. A key of more than
+    `most` facts and versions is cut into chunks of a `unit`.
     """
     known = F.col(key).isNotNull() & F.col(at).isNotNull()
     line = facts.where(known).select(F.col(key).alias("_key"), F.col(at).alias("_at"), F.lit(1).alias("_side"), F.lit(0).alias("_which"),
@@ -144,8 +172,9 @@ def asof_join(facts: DataFrame, histories: Sequence[tuple[DataFrame, Mapping[str
             history.where(F.col(key).isNotNull() & (F.col(valid_to).isNull() | (F.col(valid_to) > F.col(valid_from))))
             .select(F.col(key).alias("_key"), F.col(valid_from).alias("_at"), F.lit(0).alias("_side"), F.lit(i).alias("_which"),
                     version.alias(f"_version{i}")), allowMissingColumns=True)
-    seen = ordered_scan(line, ["_key"], ["_at", "_side", "_which"], by_time("_at", unit),
-                        carry_forward={f"_seen{i}": F.col(f"_version{i}") for i in range(len(histories))}).where("_side = 1")
+    seen = by_size(line, ["_key"], lambda rows, whole: ordered_scan(
+        rows, ["_key"], ["_at", "_side", "_which"], by_time("_at", unit), whole=whole,
+        carry_forward={f"_seen{i}": F.col(f"_version{i}") for i in range(len(histories))}).where("_side = 1"), most)
     out = []
     for i, (_, columns) in enumerate(histories):
         last = F.col(f"_seen{i}")

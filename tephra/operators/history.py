@@ -1,17 +1,17 @@
 """Version histories (type 2) from snapshots and from change logs, and state changes between snapshots.
 
 Every ordered step runs through `ordered_scan`, so an entity with a third of all observations is split by
-time. Polls are ordered by (polled_at_utc, poll_id) directly; there is no global sequence number.
+time; entities of few rows keep them in one task from step to step. Polls are ordered by (polled_at_utc, poll_id) directly; there is no global sequence number.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.ordered import by_number, by_time, ordered_scan
+from ..functions.ordered import MOST, by_number, by_size, by_time, ordered_scan
 from ..functions.text import (blank_to_null, list_or_all, row_hash, selection_of_lists, ticks_between, version_key)
 from ..session import materialize
 from .snapshot import pick_max
@@ -39,36 +39,51 @@ def endpoint_config(endpoints: DataFrame) -> DataFrame:
 
 
 def versions_from_observations(obs: DataFrame, complete_polls: DataFrame, key: str, tracked: Sequence[str], *,
-                               current: Mapping[str, str] | None = None, unit: str = "day") -> DataFrame:
+                               current: Mapping[str, str] | None = None, unit: str = "day", most: int = MOST) -> DataFrame:
     """Type 2 history out of periodic observations: one row per entity x run of equal `config_hash`.
 
     A version starts at the first observation that differs from the one before (A, B, A is three versions).
     It ends where the next starts, or, for the last one, at the first complete poll after the entity was
     last seen: an incomplete listing never proves a deletion. `current` columns carry the newest value on
-    every version. `obs`: key, polled_at_utc, poll_id, config_hash and the tracked columns.
+    every version. `obs`: key, polled_at_utc, poll_id, config_hash and the tracked columns. Entities of more
+    than `most` observations are cut into chunks of a `unit`.
     """
-    known = obs.where(F.col(key).isNotNull())
-    seen = ordered_scan(known.select(key, *OBSERVED_ORDER, *tracked, "config_hash"), [key], OBSERVED_ORDER, by_time("polled_at_utc", unit),
+    return by_size(obs.where(F.col(key).isNotNull()), [key],
+                   lambda rows, whole: _observed_versions(rows, complete_polls, key, tracked, dict(current or {}), unit, whole), most)
+
+
+def _observed_versions(known: DataFrame, complete_polls: DataFrame, key: str, tracked: Sequence[str], newest: Mapping[str, str], unit: str,
+                       whole: bool) -> DataFrame:
+    day = by_time("polled_at_utc", unit)
+    extra = [F.col(c).alias(f"_new_{o}") for o, c in newest.items()] if whole else []
+    seen = ordered_scan(known.select(key, *OBSERVED_ORDER, *tracked, "config_hash", *extra), [key], OBSERVED_ORDER, day, whole=whole,
                         lag={"changed_after": F.col("polled_at_utc")}, running_sum={"_pos": F.lit(1)},
                         runs={"version_no": F.col("config_hash")})
-    starts = materialize(seen.where("version_no_starts").drop("version_no_starts"))
-    versions = ordered_scan(starts, [key], OBSERVED_ORDER, by_time("polled_at_utc", unit),
+    if whole:
+        all_of_it = Window.partitionBy(key).orderBy(*OBSERVED_ORDER).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        seen = seen.select("*", F.last("_pos").over(all_of_it).alias("_n"), F.last("polled_at_utc").over(all_of_it).alias("_last"),
+                           *[F.last(f"_new_{o}").over(all_of_it).alias(o) for o in newest])
+    starts = seen.where("version_no_starts").drop("version_no_starts")
+    versions = ordered_scan(starts if whole else materialize(starts), [key], OBSERVED_ORDER, day, whole=whole,
                             lead={"_next_from": F.col("polled_at_utc"), "_next_seen": F.col("changed_after"), "_next_pos": F.col("_pos")})
     totals = known.groupBy(key).agg(F.count("*").alias("_n"), F.max("polled_at_utc").alias("_last"))
-    newest = dict(current or {})
-    if newest:
-        latest = pick_max(known.select(key, *OBSERVED_ORDER, *[F.col(c).alias(o) for o, c in newest.items()]),
-                          [key], [F.col(c) for c in OBSERVED_ORDER]).drop(*OBSERVED_ORDER)
-        totals = totals.join(latest, key)
-    ended = totals.join(deletions(totals.select(key, "_last"), complete_polls, key, unit), key, "left")
+    gone = deletions(totals.select(key, "_last"), complete_polls, key, unit)
+    if whole:
+        ended = versions.join(gone, key, "left")
+    else:
+        if newest:
+            latest = pick_max(known.select(key, *OBSERVED_ORDER, *[F.col(c).alias(o) for o, c in newest.items()]),
+                              [key], [F.col(c) for c in OBSERVED_ORDER]).drop(*OBSERVED_ORDER)
+            totals = totals.join(latest, key)
+        ended = versions.join(totals.join(gone, key, "left"), key)
     is_last = F.col("_next_from").isNull()
-    return (versions.join(ended, key).select(
+    return ended.select(
         version_key(F.col(key), F.col("polled_at_utc")).alias("version_key"), key, F.col("version_no").cast("bigint").alias("version_no"),
         F.col("polled_at_utc").alias("valid_from"), F.coalesce("_next_from", "deleted_at").alias("valid_to"),
         (is_last & F.col("deleted_at").isNull()).alias("is_current"), (is_last & F.col("deleted_at").isNotNull()).alias("is_deleted"),
         "changed_after", ticks_between(F.col("changed_after"), F.col("polled_at_utc"), 60).alias("change_window_min"),
         *tracked, "config_hash", (F.coalesce("_next_pos", F.col("_n") + 1) - F.col("_pos")).cast("bigint").alias("n_polls"),
-        F.coalesce("_next_seen", "_last").alias("last_seen"), *newest))
+        F.coalesce("_next_seen", "_last").alias("last_seen"), *newest)
 
 
 def deletions(last_seen: DataFrame, complete_polls: DataFrame, key: str, unit: str = "day") -> DataFrame:
@@ -80,7 +95,7 @@ def deletions(last_seen: DataFrame, complete_polls: DataFrame, key: str, unit: s
     """
     line = (last_seen.select(F.col("_last").alias("_at")).distinct().withColumn("_side", F.lit(1))
             .unionByName(complete_polls.select(F.col("polled_at_utc").alias("_at")).distinct().withColumn("_side", F.lit(0))))
-    found = ordered_scan(line, [], ["_at", "_side"], by_time("_at", unit),
+    found = ordered_scan(materialize(line), [], ["_at", "_side"], by_time("_at", unit),
                          carry_backward={"deleted_at": F.when(F.col("_side") == 0, F.col("_at"))})
     ends = found.where("_side = 1 and deleted_at is not null").select(F.col("_at").alias("_last"), "deleted_at")
     return last_seen.join(ends, "_last").select(key, "deleted_at")
@@ -98,29 +113,39 @@ def releases_wide(changes: DataFrame, key: str, columns: Sequence[str]) -> DataF
 
 
 def versions_from_changes(changes: DataFrame, latest: DataFrame, deleted: DataFrame, key: str, columns: Sequence[str], *,
-                          chunk: int = 100_000) -> DataFrame:
+                          chunk: int = 100_000, most: int = MOST) -> DataFrame:
     """Type 2 history out of a change log of diffs.
 
     Each column holds the `new` of its last diff so far, else the `old` of its next diff, else the value now
     (`latest`). Releases that leave every tracked column unchanged collapse into one version. `deleted`
-    (key, deleted_at) closes the last version of entities that are gone.
+    (key, deleted_at) closes the last version of entities that are gone. Entities of more than `most` diffs
+    are cut into chunks of `chunk` releases.
     """
-    wide = materialize(releases_wide(changes.where(F.col(key).isNotNull()), key, columns))
+    return by_size(changes.where(F.col(key).isNotNull()), [key],
+                   lambda rows, whole: _logged_versions(rows, latest, deleted, key, columns, chunk, whole), most)
+
+
+def _logged_versions(changes: DataFrame, latest: DataFrame, deleted: DataFrame, key: str, columns: Sequence[str], chunk: int,
+                     whole: bool) -> DataFrame:
+    # whole entities are dealt out once, by key, for all steps; else every scan's input is a table
+    step = (lambda df: df) if whole else materialize
+    wide = step(releases_wide(changes.repartition(key) if whole else changes, key, columns))
     order = ["release_version", "created_at_utc"]
     by_release = by_number("release_version", chunk)
-    filled = ordered_scan(wide, [key], order, by_release,
+    filled = ordered_scan(wide, [key], order, by_release, whole=whole,
                           carry_forward={f"_new_{c}": F.col(f"new_{c}") for c in columns},
                           carry_backward={f"_old_{c}": F.col(f"old_{c}") for c in columns})
     now = latest.select(key, *[F.col(c).cast("string").alias(f"_now_{c}") for c in columns])
     states = filled.join(now, key, "left").select(
         key, *order, *[F.nullif(F.coalesce(f"_new_{c}", f"_old_{c}", f"_now_{c}"), F.lit(UNSET)).alias(c) for c in columns])
-    hashed = materialize(states.withColumn("config_hash", row_hash(columns)))
-    numbered = materialize(ordered_scan(hashed, [key], order, by_release, runs={"version_no": F.col("config_hash")}))
-    spans = numbered.groupBy(key, "version_no").agg(
+    hashed = step(states.withColumn("config_hash", row_hash(columns)))
+    numbered = ordered_scan(hashed, [key], order, by_release, whole=whole, runs={"version_no": F.col("config_hash")})
+    # one row of each version starts it
+    versions = step(numbered.groupBy(key, "version_no").agg(
+        F.max(F.when(F.col("version_no_starts"), F.struct(*columns, "config_hash"))).alias("_state"),
         F.min("release_version").alias("release_from"), F.max("release_version").alias("release_to"),
-        F.count("*").alias("n_releases"), F.min("created_at_utc").alias("valid_from"))
-    versions = numbered.where("version_no_starts").select(key, "version_no", *columns, "config_hash").join(spans, [key, "version_no"])
-    windows = ordered_scan(versions, [key], ["version_no"], by_number("version_no", chunk), lead={"_next_from": F.col("valid_from")})
+        F.count("*").alias("n_releases"), F.min("created_at_utc").alias("valid_from")).select("*", "_state.*").drop("_state"))
+    windows = ordered_scan(versions, [key], ["version_no"], by_number("version_no", chunk), whole=whole, lead={"_next_from": F.col("valid_from")})
     is_last = F.col("_next_from").isNull()
     return (windows.join(deleted.select(key, "deleted_at"), key, "left").select(
         version_key(F.col(key), F.col("valid_from")).alias("version_key"), key, F.col("version_no").cast("bigint").alias("version_no"),
